@@ -11,24 +11,19 @@ NEVER = "01/01/1980 00:00:00"
 CLOCK_FORMATS = ("d/M/yyyy H:m:s", "yyyy-M-d H:m:s")
 
 
-def number(payload: Column, path: str) -> Column:
-    """Double at a JSON path; null when absent, empty or not a number."""
-    return F.try_variant_get(payload, path, "double")
+def fields(document: Column | str, path: str, types: str) -> Column:
+    """The part at a JSON path as a typed value, e.g. a struct, read in one go.
 
-
-def whole(payload: Column, path: str) -> Column:
-    """Bigint at a JSON path; a fractional number is truncated, fractional text is null."""
-    return F.try_variant_get(payload, path, "bigint")
-
-
-def text(payload: Column, path: str) -> Column:
-    return F.try_variant_get(payload, path, "string")
+    Lenient: what is absent or does not fit its type is null, down to single fields. A
+    fractional number is truncated for a bigint, fractional text is null.
+    """
+    return F.try_variant_get(document, path, types)
 
 
-def stable_json(payload: Column, path: str) -> Column:
-    """Compact JSON with sorted keys of the part at a path; null when absent or null."""
-    part = F.to_json(F.try_variant_get(payload, path, "variant"))
-    return F.when(part != "null", part)
+def stable_json(part: Column) -> Column:
+    """Compact JSON with sorted keys of a VARIANT; null when absent or null."""
+    text = F.to_json(part)
+    return F.when(text != "null", text)
 
 
 def normalise_json(document: Column | str) -> Column:

@@ -43,7 +43,7 @@ def audited(spark: SparkSession, layers: Layers, job: str, run_date: str, work:
 def attempts(runs: DataFrame) -> DataFrame:
     """Number the runs of a job and date by start time, as column ``attempt``."""
     order = [F.col("started_at"), F.col("ended_at"), F.col("status")]
-    return numbered(runs, ["job", "run_date"], [F.date_trunc("hour", "started_at")], order, "attempt")
+    return numbered(runs, ["job", "run_date"], [F.date_trunc("minute", "started_at")], order, "attempt")
 
 
 def last_status(runs: DataFrame) -> DataFrame:

@@ -32,6 +32,21 @@ FEED_TYPES = {
 SEGMENT_CODES = {0: "IDX_I", 1: "NSE_EQ", 2: "NSE_FNO", 3: "NSE_CURRENCY"}
 
 
+# The fields of a quote and of a packet.
+QUOTE = """struct<
+    last_trade_time: string, last_price: double, last_quantity: bigint, average_price: double,
+    volume: bigint, buy_quantity: bigint, sell_quantity: bigint, net_change: double,
+    ohlc: struct<open: double, high: double, low: double, close: double>,
+    oi: bigint, oi_day_high: bigint, oi_day_low: bigint,
+    upper_circuit_limit: double, lower_circuit_limit: double, depth: variant>"""
+PACKET = """struct<
+    type: string, exchange_segment: bigint, security_id: bigint, LTT: string, LTP: double,
+    LTQ: bigint, avg_price: double, volume: bigint, total_buy_quantity: bigint,
+    total_sell_quantity: bigint, open: double, high: double, low: double, close: variant,
+    prev_close: double, OI: bigint, prev_OI: bigint, oi_day_high: bigint, oi_day_low: bigint,
+    depth: variant>"""
+
+
 def record(**values: Column) -> list[Column]:
     """The record's columns in order and type; what is not given is null."""
     return [
@@ -59,52 +74,45 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
     no shuffle is needed.
     """
     parsed = payloads.withColumn("_doc", F.try_parse_json("payload"))
-    status = F.lower(F.coalesce(m.text(F.col("_doc"), "$.status"), F.lit("")))
-    data = F.try_variant_get("_doc", "$.data", "map<string,variant>")
-    checked = parsed.filter(
-        F.when(status != "success", F.raise_error(F.lit("Snapshot payload is not successful")).cast("boolean"))
-        .when(data.isNull(), F.raise_error(F.lit("Snapshot payload has no data object")).cast("boolean"))
-        .otherwise(True))
+    status = F.lower(F.coalesce(m.fields("_doc", "$.status", "string"), F.lit("")))
+    data = m.fields("_doc", "$.data", f"map<string, map<string, {QUOTE}>>")
+    parsed = parsed.withColumn("_data", F.when(status == "success", data).otherwise(
+        F.raise_error(F.lit("Snapshot payload is not successful"))))
 
     def quotes(segment: Column) -> Column:
-        by_id = F.try_variant_get(segment["value"], "$", "map<string,variant>")
-        entries = F.coalesce(F.map_entries(by_id), F.array().cast("array<struct<key:string,value:variant>>"))
-        objects = F.filter(entries, lambda e: F.try_variant_get(
-            e["value"], "$", "map<string,variant>").isNotNull())
-        return F.transform(objects, lambda e: F.struct(
-            segment["key"].alias("segment"), e["key"].alias("id"), e["value"].alias("quote")))
-
-    listed = checked.select(
-        "batch_id", "received_at", F.flatten(F.transform(F.map_entries(data), quotes)).alias("_quotes"))
+        return F.transform(
+            F.filter(F.map_entries(segment["value"]), lambda e: e["value"].isNotNull()),
+            lambda e: F.struct(segment["key"].alias("segment"), e["key"].alias("id"), e["value"].alias("q")))
+
+    segments = F.filter(F.map_entries("_data"), lambda e: e["value"].isNotNull())
+    listed = parsed.select("batch_id", "received_at", F.when(
+        F.col("_data").isNotNull(), F.flatten(F.transform(segments, quotes)),
+    ).otherwise(F.raise_error(F.lit("Snapshot payload has no data object"))).alias("_quotes"))
     # A VARIANT cannot be compared, so the positions are sorted and the quotes picked by them.
     places = F.array_sort(F.transform(F.col("_quotes"), lambda q, i: F.struct(
         q["segment"].alias("segment"), F.length(q["id"]).alias("size"), q["id"].alias("id"), i.alias("at"))))
-    sorted_quotes = listed.withColumn("_places", places).select(
-        "batch_id", "received_at",
-        F.when(F.size("_places") > 0, F.transform("_places", lambda p: F.get("_quotes", p["at"])))
-        .otherwise(F.raise_error(F.lit("Snapshot payload contains no instrument rows"))).alias("_quotes"))
-    rows = sorted_quotes.select(
-        "batch_id", "received_at", F.posexplode("_quotes").alias("_at", "_q")
-    ).select("batch_id", "received_at", (F.col("_at") + 1).alias("sequence"), "_q.*")
-    q, received = F.col("quote"), F.col("received_at")
-    rows = rows.withColumn(
-        "exchange_time", m.exchange_time(m.text(q, "$.last_trade_time"), received, local=True))
+    in_order = listed.withColumn("_places", places).select("batch_id", "received_at", F.when(
+        F.size("_places") > 0, F.transform("_places", lambda p: F.get("_quotes", p["at"])),
+    ).otherwise(F.raise_error(F.lit("Snapshot payload contains no instrument rows"))).alias("_quotes"))
+    # The outer form: for the plain one Spark infers a filter on the size of the array and
+    # pushes it, with all that leads to the array, below the parser. No array is empty here.
+    rows = in_order.select(
+        "batch_id", "received_at", F.posexplode_outer("_quotes").alias("_at", "_quote"),
+    ).select("batch_id", "received_at", (F.col("_at") + 1).alias("sequence"), "_quote.*")
+    received = F.col("received_at")
+    rows = rows.withColumn("_time", m.exchange_time(F.col("q.last_trade_time"), received, local=True))
+    same_name = (
+        "last_price", "last_quantity", "average_price", "volume", "buy_quantity", "sell_quantity",
+        "net_change", "oi_day_high", "oi_day_low", "upper_circuit_limit", "lower_circuit_limit")
     return rows.select(*record(
         source=F.lit(source), batch_id=F.col("batch_id"), sequence=F.col("sequence"),
         event_id=m.event_id(F.col("batch_id"), F.col("segment"), F.col("id"), F.col("sequence")),
         feed_type=F.lit(mode), exchange_segment=F.col("segment"), security_id=F.col("id"),
-        received_at=received, exchange_time=F.col("exchange_time"),
-        trading_date=m.trading_date(F.col("exchange_time"), received),
-        last_price=m.number(q, "$.last_price"), last_quantity=m.whole(q, "$.last_quantity"),
-        average_price=m.number(q, "$.average_price"), volume=m.whole(q, "$.volume"),
-        buy_quantity=m.whole(q, "$.buy_quantity"), sell_quantity=m.whole(q, "$.sell_quantity"),
-        open=m.number(q, "$.ohlc.open"), high=m.number(q, "$.ohlc.high"),
-        low=m.number(q, "$.ohlc.low"), close=m.number(q, "$.ohlc.close"),
-        net_change=m.number(q, "$.net_change"), open_interest=m.whole(q, "$.oi"),
-        oi_day_high=m.whole(q, "$.oi_day_high"), oi_day_low=m.whole(q, "$.oi_day_low"),
-        upper_circuit_limit=m.number(q, "$.upper_circuit_limit"),
-        lower_circuit_limit=m.number(q, "$.lower_circuit_limit"),
-        depth_json=m.stable_json(q, "$.depth"),
+        received_at=received, exchange_time=F.col("_time"),
+        trading_date=m.trading_date(F.col("_time"), received),
+        **{name: F.col(f"q.{name}") for name in same_name},
+        **{name: F.col(f"q.ohlc.{name}") for name in ("open", "high", "low", "close")},
+        open_interest=F.col("q.oi"), depth_json=m.stable_json(F.col("q.depth")),
     ))
 
 
@@ -123,48 +131,48 @@ def normalize_packets(packets: DataFrame, strict: bool = False,
     a valid segment code or security id is rejected, or fails the job when ``strict``.
     Works on batch and streaming frames.
     """
-    known = packets.withColumn("_doc", F.try_parse_json("payload")).withColumn(
-        "_feed", _lookup(F.lower(F.trim(m.text(F.col("_doc"), "$.type"))), FEED_TYPES)
-    ).filter(F.col("_feed").isNotNull())
-    doc = F.col("_doc")
-    tagged = known.withColumn(
-        "_segment", _lookup(m.whole(doc, "$.exchange_segment"), SEGMENT_CODES)
-    ).withColumn("_security", m.whole(doc, "$.security_id"))
+    # The one-element explode keeps the filters above the parser: pushed below it, each of
+    # them would parse the payload once more.
+    packet = m.fields(F.try_parse_json("payload"), "$", PACKET)
+    parsed = packets.select("*", F.explode_outer(F.array(packet)).alias("p"))
+    known = parsed.withColumn(
+        "_feed", _lookup(F.lower(F.trim("p.type")), FEED_TYPES)
+    ).filter(F.col("_feed").isNotNull()).withColumn(
+        "_segment", _lookup(F.col("p.exchange_segment"), SEGMENT_CODES))
     reason = (
         F.when(F.col("_segment").isNull(), "invalid exchange_segment")
-        .when(F.coalesce(F.col("_security"), F.lit(0)) <= 0, "invalid security_id")
+        .when(F.coalesce(F.col("p.security_id"), F.lit(0)) <= 0, "invalid security_id")
     )
     if strict:
-        accepted = tagged.filter(F.when(reason.isNull(), True).otherwise(
+        accepted = known.filter(F.when(reason.isNull(), True).otherwise(
             F.raise_error(F.concat(F.lit("Live packet has an "), reason)).cast("boolean")))
     else:
-        accepted = tagged.filter(reason.isNull())
-    rejected = tagged.filter(reason.isNotNull()).select(
+        accepted = known.filter(reason.isNull())
+    rejected = known.filter(reason.isNotNull()).select(
         "payload", "batch_id", "sequence", "received_at", reason.alias("reason"))
 
     # A close of nothing, "", 0 or false falls back to the previous close.
-    close = F.to_json(F.try_variant_get(doc, "$.close", "variant"))
+    close = F.to_json("p.close")
     empty = (
         close.isNull() | close.isin("null", '""', "false", "[]", "{}")
         | F.coalesce(close.try_cast("double") == 0, F.lit(False))
     )
     received = F.col("received_at")
-    rows = accepted.withColumn("_time", m.exchange_time(m.text(doc, "$.LTT"), received, local=False))
+    rows = accepted.withColumn("_time", m.exchange_time(F.col("p.LTT"), received, local=False))
     return rows.select(*record(
         source=F.lit(source), batch_id=F.col("batch_id"), sequence=F.col("sequence"),
-        event_id=m.event_id(F.col("batch_id"), F.col("_segment"), F.col("_security"), F.col("sequence")),
+        event_id=m.event_id(F.col("batch_id"), F.col("_segment"), F.col("p.security_id"), F.col("sequence")),
         feed_type=F.col("_feed"), exchange_segment=F.col("_segment"),
-        security_id=F.col("_security"), received_at=received, exchange_time=F.col("_time"),
+        security_id=F.col("p.security_id"), received_at=received, exchange_time=F.col("_time"),
         trading_date=m.trading_date(F.col("_time"), received),
-        last_price=m.number(doc, "$.LTP"), last_quantity=m.whole(doc, "$.LTQ"),
-        average_price=m.number(doc, "$.avg_price"), volume=m.whole(doc, "$.volume"),
-        buy_quantity=m.whole(doc, "$.total_buy_quantity"),
-        sell_quantity=m.whole(doc, "$.total_sell_quantity"),
-        open=m.number(doc, "$.open"), high=m.number(doc, "$.high"), low=m.number(doc, "$.low"),
-        close=F.when(empty, m.number(doc, "$.prev_close")).otherwise(m.number(doc, "$.close")),
-        open_interest=m.whole(doc, "$.OI"), previous_open_interest=m.whole(doc, "$.prev_OI"),
-        oi_day_high=m.whole(doc, "$.oi_day_high"), oi_day_low=m.whole(doc, "$.oi_day_low"),
-        depth_json=m.stable_json(doc, "$.depth"),
+        last_price=F.col("p.LTP"), last_quantity=F.col("p.LTQ"), average_price=F.col("p.avg_price"),
+        volume=F.col("p.volume"), buy_quantity=F.col("p.total_buy_quantity"),
+        sell_quantity=F.col("p.total_sell_quantity"),
+        open=F.col("p.open"), high=F.col("p.high"), low=F.col("p.low"),
+        close=F.when(empty, F.col("p.prev_close")).otherwise(m.fields("p.close", "$", "double")),
+        open_interest=F.col("p.OI"), previous_open_interest=F.col("p.prev_OI"),
+        oi_day_high=F.col("p.oi_day_high"), oi_day_low=F.col("p.oi_day_low"),
+        depth_json=m.stable_json(F.col("p.depth")),
     )), rejected
 
 
