@@ -36,7 +36,7 @@ def gold_append(spark, sf):
 
 DATE_REPLACED = f"""
 SELECT o_orderkey, o_custkey, o_orderstatus,
-       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1998-10-03' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
+       CASE WHEN CAST(o_orderdate AS DATE) = DATE '1995-06-19' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice,
        {{date}} AS o_orderdate, o_orderpriority FROM orders
 """
 
@@ -48,7 +48,7 @@ def replace_one_date(spark, sf, orders, partition_by=None):
     # Every price changes in Silver, but only one day is published.
     silver_orders(spark, sf, space, orders.withColumn("o_totalprice", -F.col("o_totalprice")))
     for _ in range(2):
-        publish_gold(spark, space, "orders", "orders", "delete_and_insert", "O_ORDERDATE", "1998-10-03")
+        publish_gold(spark, space, "orders", "orders", "delete_and_insert", "O_ORDERDATE", "1995-06-19")
     return tables.read(spark, space.resolve("orders", "gold"))
 
 
@@ -58,7 +58,7 @@ def gold_date_replace(spark, sf):
 
 
 @query(DATE_REPLACED.format(date="strftime(o_orderdate, '%Y-%m')").replace(
-    "CAST(o_orderdate AS DATE) = DATE '1998-10-03'", "date_trunc('month', o_orderdate) = DATE '1998-10-01'"))
+    "CAST(o_orderdate AS DATE) = DATE '1995-06-19'", "date_trunc('month', o_orderdate) = DATE '1995-06-01'"))
 def gold_date_replace_partition(spark, sf):
     # Partitioned by the first day of the month: only that partition is rewritten.
     month = F.to_date(F.date_trunc("month", "o_orderdate"))
@@ -68,7 +68,7 @@ def gold_date_replace_partition(spark, sf):
     publish_gold(spark, space, "orders", "orders", partition_by="o_orderdate")
     silver_orders(spark, sf, space, orders.withColumn("o_totalprice", -F.col("o_totalprice")))
     for _ in range(2):
-        publish_gold(spark, space, "orders", "orders", "delete_and_insert", "o_orderdate", "1998-10-01")
+        publish_gold(spark, space, "orders", "orders", "delete_and_insert", "o_orderdate", "1995-06-01")
     gold = tables.read(spark, space.resolve("orders", "gold"))
     return gold.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM"))
 

@@ -152,15 +152,15 @@ def mapper_vocabulary(spark, sf):
     })
 
 
-@query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1998-10-03'")
+@query(f"SELECT {ORDER_COLUMNS} FROM orders WHERE CAST(o_orderdate AS DATE) = DATE '1995-06-19'")
 def date_scope_day(spark, sf):
-    return date_scope(load(spark, sf, "orders"), "o_orderdate", "1998-10-03")
+    return date_scope(load(spark, sf, "orders"), "o_orderdate", "1995-06-19")
 
 
 @query(f"""SELECT {ORDER_COLUMNS} FROM orders
-WHERE o_orderdate IS NULL OR CAST(o_orderdate AS DATE) <> DATE '1998-10-03'""")
+WHERE o_orderdate IS NULL OR CAST(o_orderdate AS DATE) <> DATE '1995-06-19'""")
 def date_scope_keep(spark, sf):
-    return date_scope(load(spark, sf, "orders"), "o_orderdate", "1998-10-03", keep=True)
+    return date_scope(load(spark, sf, "orders"), "o_orderdate", "1995-06-19", keep=True)
 
 
 @query("""

@@ -1,0 +1,134 @@
+"""Files by extension, by glob and by date; JDBC reader options; tables and history."""
+
+import os
+import time
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import rows
+from tierlake.plans import audit
+from tierlake.plans.lake import ingest
+from tierlake.sources.files import file_format, list_files, newest_file, read_files, resolve_dated_file
+from tierlake.sources.jdbc import narrow, table_options
+
+DAY = "2024-01-05"
+
+
+def touch(folder, *names):
+    for age, name in enumerate(names):
+        path = folder / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text("a\n1\n")
+        os.utime(path, (time.time() + age * 60,) * 2)
+
+
+@pytest.mark.parametrize("pattern, files, expected", [
+    ("x.csv", ["x.csv"], "x.csv"),
+    ("x__2024-01-04.csv", ["x__2024-01-04.csv", "x__2024-01-05.csv"], "x__2024-01-04.csv"),
+    ("x__YYYY-MM-DD.csv", ["x__2024-01-05.csv"], "x__2024-01-05.csv"),
+    ("x__DD-MM-YYYY.csv", ["x__05-01-2024.csv"], "x__05-01-2024.csv"),
+    ("x__MM-DD-YYYY.csv", ["x__01-05-2024.csv"], "x__01-05-2024.csv"),
+    ("x__YYYY_MM_DD.csv", ["x__2024_01_05.csv"], "x__2024_01_05.csv"),
+    ("x__DD_MM_YYYY.csv", ["x__05_01_2024.csv"], "x__05_01_2024.csv"),
+    ("x__MM_DD_YYYY.csv", ["x__01_05_2024.csv"], "x__01_05_2024.csv"),
+    ("x__YYYYMMDD.csv", ["x__20240105.csv"], "x__20240105.csv"),
+    ("x__DDMMYYYY.csv", ["x__05012024.csv"], "x__05012024.csv"),
+    ("x__any.csv", ["x__20240105.csv", "x__05_01_2024.json", "x__2024-01-06.csv"], "x__05_01_2024.json"),
+    ("x__any.csv", ["x__2024_01_05.csv", "x__01-05-2024.csv", "xy__20240105.csv"], "x__2024_01_05.csv"),
+])
+def test_dated_files(spark, tmp_path_factory, pattern, files, expected):
+    tmp_path = tmp_path_factory.mktemp("files")
+    touch(tmp_path, *files)
+    found = resolve_dated_file(spark, f"{tmp_path}/{pattern}", DAY)
+    assert found.removeprefix("file:") == f"{tmp_path}/{expected}"
+
+
+@pytest.mark.parametrize("pattern", ["x.csv", "x__YYYY-MM-DD.csv", "x__any.csv", "y__any.csv", "d=YYYY-MM-DD/*.csv"])
+def test_absent_files(spark, tmp_path_factory, pattern):
+    tmp_path = tmp_path_factory.mktemp("files")
+    touch(tmp_path, "x__20240104.csv", "x__extra__20240105.csv")
+    with pytest.raises(FileNotFoundError):
+        resolve_dated_file(spark, f"{tmp_path}/{pattern}", DAY)
+
+
+def test_globs(spark, tmp_path):
+    touch(tmp_path, "d=2024-01-05/h=01/a.csv", "d=2024-01-05/h=02/b.csv", "d=2024-01-06/h=01/c.csv")
+    found = resolve_dated_file(spark, f"{tmp_path}/d=YYYY-MM-DD/h=*/?.csv", DAY)
+    assert found == f"{tmp_path}/d=2024-01-05/h=*/?.csv"
+    assert read_files(spark, found).count() == 2
+    assert newest_file(list_files(spark, found)).endswith("b.csv")
+
+
+def test_formats(spark, tmp_path, sheet):
+    df = spark.createDataFrame([(1, "2024-01-05 00:00:00", "007")], "id int, at string, code string")
+    df.write.option("header", True).csv(f"{tmp_path}/a.csv")
+    df.write.json(f"{tmp_path}/a.JSON")
+    df.write.parquet(f"{tmp_path}/a.parquet")
+    contract = sheet([("id", "int"), ("at", "timestamp"), ("code", "string")])
+    for name in ("a.csv", "a.JSON", "a.parquet"):
+        read = read_files(spark, f"{tmp_path}/{name}", contract)
+        contract.check(read)
+        assert [tuple(r)[2:] for r in contract.cast(read).collect()] == [("007",)]
+    assert dict(read_files(spark, f"{tmp_path}/a.csv").dtypes)["id"] == "int"
+    assert file_format("x/y.tar.CSV") == "csv"
+    with pytest.raises(ValueError, match="xlsx"):
+        read_files(spark, "x.xlsx")
+    with pytest.raises(FileNotFoundError):
+        read_files(spark, f"{tmp_path}/none.csv")
+
+
+def test_jdbc_options(spark):
+    base = {"url": "jdbc:x", "user": "u"}
+    assert table_options(base, "orders", "public") == base | {"dbtable": '"public"."orders"'}
+    split = table_options(base, "orders", split_column="id", bounds=(0, 100), splits=8)
+    assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "0", "100", "8")
+    for bad in ({"table": 'a" --'}, {"table": "a", "schema": "b.c"}, {"table": "a", "split_column": "x y", "bounds": (0, 1)},
+                {"table": "a", "split_column": "x"}):
+        with pytest.raises(ValueError):
+            table_options(base, **bad)
+    df = spark.createDataFrame([(1, "x", "y"), (2, "x", "z")], "id int, a string, b string")
+    assert rows(narrow(df, ["id", "b"], {"b": "z"})) == [(2, "z")]
+    with pytest.raises(ValueError):
+        narrow(df, filters={"a = 1 OR b": "z"})
+
+
+def test_history(spark, layers):
+    at = [datetime(2026, 1, 1, h) for h in range(6)]
+    for job, day, start, status in (("a", DAY, 0, "failed"), ("a", DAY, 2, "success"), ("b", DAY, 1, "success"),
+                                    ("a", "2024-01-06", 3, "running")):
+        audit.record_run(spark, layers, job, day, at[start], at[start + 1], status)
+    runs = audit.read_runs(spark, layers)
+    assert sorted((r.job, str(r.run_date), r.attempt, r.status) for r in audit.attempts(runs).collect()) == [
+        ("a", "2024-01-05", 1, "failed"), ("a", "2024-01-05", 2, "success"), ("a", "2024-01-06", 1, "running"),
+        ("b", "2024-01-05", 1, "success")]
+    assert rows(audit.last_status(runs), "job", "status") == [("a", "running"), ("b", "success")]
+    assert [r.status for r in audit.run_history(runs, limit=2).collect()] == ["running", "success"]
+    jobs = spark.createDataFrame([("a", "Alpha")], "job string, title string")
+    assert [(r.job, r.title) for r in audit.run_history(runs, limit=3, jobs=jobs).collect()] == [
+        ("a", "Alpha"), ("a", "Alpha"), ("b", None)]
+    assert audit.run_history(runs, "b").count() == 1
+    assert audit.audited(spark, layers, "c", DAY, lambda: 7) == 7
+    with pytest.raises(KeyError):
+        audit.audited(spark, layers, "c", DAY, lambda: {}["x"])
+    assert sorted(r.status for r in audit.run_history(audit.read_runs(spark, layers), "c").collect()) == ["failed", "success"]
+
+
+def test_catalog_and_adhoc(spark, layers, sheet):
+    ingest(spark, layers, "t", spark.range(9), sheet([("id", "bigint")]), DAY)
+    assert rows(audit.list_columns(spark, layers)) == [
+        (layers.lake, "t", 1, "id", "bigint"), (layers.lake, "t", 2, "ingest_date", "date")]
+    assert audit.list_columns(spark, layers, "gold").count() == 0
+    found = audit.run_sql(spark, f"SELECT id * 2 AS n FROM {layers.lake}.t ORDER BY id DESC", limit=2)
+    assert [r.n for r in found.collect()] == [16, 14]
+    assert audit.run_sql(spark, "SELECT id FROM range(1000)").count() == 500
+
+
+def test_partition_pruning_and_no_python(spark, layers, sheet):
+    for day in (DAY, "2024-01-06"):
+        ingest(spark, layers, "t", spark.range(9).withColumn("x", F.lit("y")),
+               sheet([("id", "bigint"), ("x", "string")]), day)
+    plan = spark.table(f"{layers.lake}.t").filter(F.col("ingest_date") == F.lit(DAY).cast("date")).select("id")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<id:bigint>" in text and "InMemoryFileIndex(1 paths)" in text

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,15 +35,17 @@ def equal_pairs(conditions: Sequence[Mapping[str, str]] | None) -> list[tuple[st
     return pairs
 
 
-def _belongs_to(df: DataFrame, expression: str) -> bool:
-    try:
-        df.select(F.expr(expression))
-        return True
-    except AnalysisException:
-        return False
+def _left_to_right(right: DataFrame, alias: str, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """The pairs with the expression over the right frame second, as it may come first."""
+    def of_right(expression: str) -> bool:
+        return expression in right.columns or bool(
+            re.search(rf"(?<![\w.`]){re.escape(alias)}\.", expression, re.IGNORECASE))
 
+    return [(b, a) if of_right(a) and not of_right(b) else (a, b) for a, b in pairs]
 
-def join_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str) -> list[DataFrame]:
+
+def join_on(left: DataFrame, right: DataFrame, alias: str, pairs: Sequence[tuple[str, str]],
+            how: str) -> list[DataFrame]:
     """Join two aliased frames on ``lh = rh`` pairs. The result is the union of the list.
 
     AQE splits a hot key of an inner, left or right join. It cannot split a full join, so
@@ -55,7 +57,7 @@ def join_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
         return [left.join(right, on, how)]
     # The left keys are reduced to distinct values before the anti join: a hot key is
     # combined on the map side.
-    sides = [(a, b) if _belongs_to(left, a) else (b, a) for a, b in pairs]
+    sides = _left_to_right(right, alias, pairs)
     known = left.select(*(F.expr(a).alias(f"_k{i}") for i, (a, _) in enumerate(sides))).distinct()
     same = F.expr(" AND ".join(f"({b}) = _k{i}" for i, (_, b) in enumerate(sides)))
     alone = right.join(known, same, "left_anti")

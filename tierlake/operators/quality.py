@@ -58,7 +58,8 @@ def require_passing(report: DataFrame) -> None:
 def duplicate_names(sheet: DataFrame, column: str) -> DataFrame:
     """Names that occur more than once, ignoring case and outer blanks."""
     name = F.lower(F.trim(column)).alias("name")
-    return sheet.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    names = sheet.dropna(subset=[column]).groupBy(name)
+    return names.agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
 def profile(df: DataFrame, keys: Sequence[str] = (), measures: Sequence[str] = ()) -> DataFrame:

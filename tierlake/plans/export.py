@@ -177,9 +177,13 @@ def _count(connection, table: str) -> int:
         statement.close()
 
 
+def staging_options(options: Mapping[str, str], staging: str) -> dict[str, str]:
+    return {"batchsize": str(BATCH_ROWS), **options, "dbtable": staging}
+
+
 def write_staging(df: DataFrame, options: Mapping[str, str], staging: str) -> None:
-    df.write.format("jdbc").options(**{
-        "batchsize": str(BATCH_ROWS), **options, "dbtable": staging}).mode("append").save()
+    options = staging_options(options, staging)
+    df.write.format("jdbc").options(**options).mode("append").save()
 
 
 def export_jdbc(spark: SparkSession, df: DataFrame, options: Mapping[str, str], table: str, strategy: str,

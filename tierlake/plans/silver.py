@@ -43,7 +43,7 @@ def join_sources(spark: SparkSession, sources: Sequence[Mapping]) -> list[DataFr
         right = read_source(spark, source).alias(alias)
         if how in ("right", "full") and len(frames) > 1:
             raise ValueError("A right or full join cannot follow a full join")
-        frames = [joined for frame in frames for joined in join_on(frame, right, pairs, how)]
+        frames = [joined for frame in frames for joined in join_on(frame, right, alias, pairs, how)]
     return frames
 
 
@@ -173,7 +173,7 @@ def live_ticks_model(spark: SparkSession, layers: Layers, bronze: str, day: str
                      name: str = "nse_live_ticks") -> int:
     """Live events, one per event id, whatever minute or day is replayed."""
     rows = on_date(tables.read(spark, layers.resolve(bronze, "bronze")), "snapshot_date", day)
-    rows = rows.select(*RECORD.names, "snapshot_date")
+    rows = rows.select(*RECORD, "snapshot_date")
     count = write_silver(spark, layers, name, rows, "merge", keys=["event_id"])
     require_passing(run_tests(tables.read(spark, layers.resolve(name, "silver")), TICK_TESTS))
     return count

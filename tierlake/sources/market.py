@@ -12,17 +12,18 @@ from pyspark.sql import types as T
 
 from tierlake.functions import market as m
 
-# The market record.
-RECORD = T.StructType.fromDDL("""
-    source string, batch_id string, sequence bigint, event_id string, feed_type string,
-    exchange_segment string, security_id string,
-    received_at timestamp, trading_date date, exchange_time timestamp,
-    last_price double, last_quantity bigint, average_price double, volume bigint,
-    buy_quantity bigint, sell_quantity bigint,
-    open double, high double, low double, close double, net_change double,
-    open_interest bigint, previous_open_interest bigint, oi_day_high bigint, oi_day_low bigint,
-    upper_circuit_limit double, lower_circuit_limit double, depth_json string
-""")
+# The columns of the market record and their types.
+RECORD = {
+    "source": "string", "batch_id": "string", "sequence": "bigint", "event_id": "string",
+    "feed_type": "string", "exchange_segment": "string", "security_id": "string",
+    "received_at": "timestamp", "trading_date": "date", "exchange_time": "timestamp",
+    "last_price": "double", "last_quantity": "bigint", "average_price": "double",
+    "volume": "bigint", "buy_quantity": "bigint", "sell_quantity": "bigint",
+    "open": "double", "high": "double", "low": "double", "close": "double",
+    "net_change": "double", "open_interest": "bigint", "previous_open_interest": "bigint",
+    "oi_day_high": "bigint", "oi_day_low": "bigint",
+    "upper_circuit_limit": "double", "lower_circuit_limit": "double", "depth_json": "string",
+}
 
 # Packet types of the live feed, and its segment codes.
 FEED_TYPES = {
@@ -50,15 +51,14 @@ PACKET = """struct<
 def record(**values: Column) -> list[Column]:
     """The record's columns in order and type; what is not given is null."""
     return [
-        values.get(field.name, F.lit(None)).cast(field.dataType).alias(field.name)
-        for field in RECORD
+        values.get(name, F.lit(None)).cast(kind).alias(name) for name, kind in RECORD.items()
     ]
 
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """One payload per file: its text, the file as batch id, its time as time of receipt."""
     return (
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.col("value").alias("payload"),
                 F.sha2(F.col("_metadata.file_path"), 256).alias("batch_id"),
                 F.col("_metadata.file_modification_time").alias("received_at"))
