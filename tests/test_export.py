@@ -164,5 +164,6 @@ def test_failures_roll_back(spark, data):
 
 
 def test_staging_options():
-    assert staging_options({"url": "u"}, "s") == {"url": "u", "batchsize": "5000", "dbtable": "s"}
+    assert staging_options({"url": "u"}, "s") == {
+        "url": "u", "batchsize": "5000", "numPartitions": "16", "dbtable": "s"}
     assert staging_options({"url": "u", "batchsize": "10"}, "s")["batchsize"] == "10"

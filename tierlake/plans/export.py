@@ -20,6 +20,7 @@ from tierlake.names import identifier, run_day
 from tierlake.operators.filters import date_scope
 
 BATCH_ROWS = 5000
+CONNECTIONS = 16
 STRATEGIES = ("append", "truncate", "delete_and_insert")
 
 # Source type names without parameters -> warehouse types.
@@ -178,7 +179,7 @@ def _count(connection, table: str) -> int:
 
 
 def staging_options(options: Mapping[str, str], staging: str) -> dict[str, str]:
-    return {"batchsize": str(BATCH_ROWS), **options, "dbtable": staging}
+    return {"batchsize": str(BATCH_ROWS), "numPartitions": str(CONNECTIONS), **options, "dbtable": staging}
 
 
 def write_staging(df: DataFrame, options: Mapping[str, str], staging: str) -> None:

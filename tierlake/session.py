@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -37,15 +36,3 @@ def workspace(spark: SparkSession, name: str) -> str:
             raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors")
         base = tempfile.mkdtemp(prefix="tierlake-")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-@contextmanager
-def dynamic_overwrite(spark: SparkSession):
-    """Inside the block an overwriting insert replaces only the partitions it writes."""
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)

@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake.names import TableName
-from tierlake.session import dynamic_overwrite
 
 _CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
 
@@ -71,7 +70,10 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     known = properties(spark, table) if exists(spark, table) else {}
     target = TableName(table.database, f"{table.table}__{uuid.uuid4().hex[:16]}")
     counted, seen = _counted(spread(df, partition_by) if rebalance else df)
-    counted.write.format("parquet").partitionBy(*partition_by).saveAsTable(target.sql)
+    # The option stays with the table: every later overwriting insert into it replaces only
+    # the partitions it writes, whatever the session is set to.
+    (counted.write.format("parquet").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).saveAsTable(target.sql))
     rows = seen.get["rows"]
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
@@ -121,8 +123,7 @@ def overwrite_partitions(spark: SparkSession, table: TableName, df: DataFrame,
         raise ValueError(f"{table.sql} is not partitioned")
     target, rows = _aligned(spark, table, df)
     counted, seen = _counted(spread(rows, parts) if rebalance else rows)
-    with dynamic_overwrite(spark):
-        counted.write.insertInto(target, overwrite=True)
+    counted.write.insertInto(target, overwrite=True)
     return seen.get["rows"]
 
 
@@ -177,19 +178,26 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     if set(parts) <= set(keys):
         return overwrite_partitions(
             spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys))
-    hits = source.select(*keys).withColumn("_hit", F.lit(1))
-    touched = (
-        target.select(*dict.fromkeys([*keys, *parts])).join(hits, list(keys), "left")
-        .groupBy(*parts).agg(F.count("_hit").alias("_hits"), F.count(F.lit(1)).alias("_rows"))
-        .filter("_hits > 0").collect()
+    # Only key and partition columns of the target are read to find what is touched.
+    matched = (
+        target.select(*dict.fromkeys([*keys, *parts])).join(source.select(*keys), list(keys), "left_semi")
+        .groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect()
     )
-    values = {tuple(row[p] for p in parts): row for row in [*touched, *arriving]}
-    old = target.filter(_any_of(parts, list(values.values())))
+
+    def place(row) -> tuple:
+        return tuple(row[p] for p in parts)
+
+    filled = {place(row) for row in arriving}
+    left = {place(row): row for row in matched if place(row) not in filled}
+    emptied = []
+    if left:
+        sizes = (target.filter(_any_of(parts, list(left.values())))
+                 .groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect())
+        emptied = [row for row in sizes if row["_rows"] == left[place(row)]["_rows"]]
+    old = target.filter(_any_of(parts, [*left.values(), *arriving]))
     rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys))
-    filled = {tuple(row[p] for p in parts) for row in arriving}
-    for row in touched:
-        if row["_hits"] == row["_rows"] and tuple(row[p] for p in parts) not in filled:
-            drop_partition(spark, table, {p: row[p] for p in parts})
+    for row in emptied:
+        drop_partition(spark, table, {p: row[p] for p in parts})
     return rows
 
 
