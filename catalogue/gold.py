@@ -73,6 +73,22 @@ def gold_date_replace_partition(spark, sf):
     return gold.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM"))
 
 
+@query(f"""
+SELECT event_id, {stamp('ts')} AS ts, user_id, event_type, props,
+       CASE WHEN CAST(ts AS DATE) = DATE '2024-01-10' THEN value * 2 ELSE value END AS value
+FROM events
+""")
+def gold_date_replace_day(spark, sf):
+    # Partitioned by the day of a timestamp, in a column that Gold does not show.
+    events, space = load(spark, sf, "events"), layers(spark)
+    write_silver(spark, space, "events", events)
+    publish_gold(spark, space, "events", "events", partition_by="ts")
+    write_silver(spark, space, "events", events.withColumn("value", F.col("value") * 2))
+    for _ in range(2):
+        publish_gold(spark, space, "events", "events", "delete_and_insert", "ts", "2024-01-10")
+    return tables.read(spark, space.resolve("events", "gold"))
+
+
 @query("""
 SELECT c.c_nationkey, o.o_orderkey, o.o_totalprice * 2 AS price
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey

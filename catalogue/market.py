@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from catalogue.base import load, query, stamp
 from tierlake.functions.market import normalise_json
-from tierlake.operators.instruments import match_instruments
+from tierlake.operators.instruments import classify_instruments, match_instruments
+from tierlake.session import workspace
+from tierlake.sources.instruments import read_master
 from tierlake.sources.market import flatten_snapshots, normalize_packets, to_event_json
 
 
@@ -135,6 +137,18 @@ def master(spark, sf):
         F.concat(F.lit("Shown "), F.col("p_partkey")).alias("SEM_CUSTOM_SYMBOL"))
 
 
+@query("""
+SELECT printf('%07d', p_partkey + 1) AS "SEM_SMST_SECURITY_ID", p_name || '-' || p_brand AS "SEM_TRADING_SYMBOL",
+       CASE p_type WHEN 'ECONOMY' THEN 'NSE_EQ' WHEN 'PROMO' THEN 'IDX_I' ELSE 'NSE_FNO' END AS exchange_segment
+FROM part WHERE p_type IN ('ECONOMY', 'PROMO') OR p_size % 12 + 1 >= 6
+""")
+def instrument_master_scan(spark, sf):
+    path = workspace(spark, "master")
+    master(spark, sf).write.option("header", True).csv(path)
+    active = classify_instruments(read_master(spark, path), "2026-06-01")
+    return active.select("SEM_SMST_SECURITY_ID", "SEM_TRADING_SYMBOL", "exchange_segment")
+
+
 @query("""
 WITH active AS (
   SELECT CASE p_type WHEN 'ECONOMY' THEN 'NSE_EQ' WHEN 'PROMO' THEN 'IDX_I' ELSE 'NSE_FNO' END AS seg,

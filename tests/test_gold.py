@@ -32,7 +32,7 @@ def gold(spark, layers):
 
 
 @pytest.mark.parametrize("partition_by, date_column", [
-    (None, "snapshot_date"), (None, "quote_at"), ("snapshot_date", "SNAPSHOT_DATE")])
+    (None, "snapshot_date"), (None, "quote_at"), ("snapshot_date", "SNAPSHOT_DATE"), ("quote_at", "quote_at")])
 def test_sequence(spark, layers, partition_by, date_column):
     silver(spark, layers)
     for _ in range(2):
@@ -46,8 +46,11 @@ def test_sequence(spark, layers, partition_by, date_column):
     for _ in range(2):
         assert publish_gold(spark, layers, "quotes", "quotes", "delete_and_insert", date_column, "2026-10-21") == 2
         assert gold(spark, layers) == sorted([changed[0], *DATA[1:]])
+    table = layers.resolve("quotes", "gold")
+    assert tables.read(spark, table).columns == tables.read(spark, layers.resolve("quotes", "silver")).columns
     if partition_by:
-        assert tables.partition_columns(spark, layers.resolve("quotes", "gold")) == ["snapshot_date"]
+        hidden = {"snapshot_date": "snapshot_date", "quote_at": "_day"}[partition_by]
+        assert tables.partition_columns(spark, table) == [hidden]
 
 
 def test_refusals_leave_gold_unchanged(spark, layers):
@@ -78,10 +81,11 @@ def test_refusals_leave_gold_unchanged(spark, layers):
     assert publish_gold(spark, layers, "quotes", "quotes", "replace") == 1
 
 
-def test_rows_without_a_date_are_kept(spark, layers):
-    schema = "id int, at timestamp"
+@pytest.mark.parametrize("partition_by", [None, "at"])
+def test_rows_without_a_date_are_kept(spark, layers, partition_by):
+    schema = "id int, at timestamp_ntz"
     silver(spark, layers, [(1, None), (2, datetime(2026, 10, 21, 23)), (3, datetime(2026, 10, 22))], schema)
-    publish_gold(spark, layers, "quotes", "quotes")
+    publish_gold(spark, layers, "quotes", "quotes", partition_by=partition_by)
     silver(spark, layers, [(9, datetime(2026, 10, 21, 1))], schema)
     assert publish_gold(spark, layers, "quotes", "quotes", "delete_and_insert", "at", "2026-10-21") == 1
     assert [r[0] for r in gold(spark, layers)] == [1, 3, 9]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tierlake import tables
+from tierlake.operators.joins import missing_keys, require_complete
 from tierlake.operators.quality import duplicate_names, reconcile, require_passing, run_tests
 from tierlake.plans.silver import (
     build_silver, explain_silver, live_ticks_model, market_snapshot_model, materialise, run_silver,
@@ -153,6 +154,14 @@ def test_data_tests(spark):
     assert rows(duplicate_names(df, "k")) == [("a", 2)]
 
 
+def test_completeness(spark):
+    asked = spark.createDataFrame([("A", i) for i in range(15)], "s string, i int")
+    require_complete(asked, asked.union(asked), ["s", "i"])
+    with pytest.raises(ValueError, match=r"^12 requested.*: A:0, A:1, A:2, A:3, A:4, A:5, A:6, A:7, A:8, A:9$"):
+        require_complete(asked, asked.filter("i > 11"), ["s", "i"])
+    assert rows(missing_keys(asked, asked.filter("i <> 4"), ["s", "i"])) == [("A", 4)]
+
+
 def test_reconcile(spark):
     left = spark.createDataFrame([(1, 0.1), (2, 0.2), (2, None)], "k int, v double")
     report = {r["measure"]: (float(r["left_value"]), float(r["right_value"]), r["matches"])

@@ -79,6 +79,26 @@ def test_formats(spark, tmp_path, sheet):
         read_files(spark, f"{tmp_path}/none.csv")
 
 
+def test_json_follows_the_contract(spark, tmp_path, sheet):
+    contract = sheet([("n", "int"), ("x", "double"), ("at", "timestamp"), ("ok", "boolean"), ("s", "string")])
+
+    def read(*lines, **kw):
+        path = tmp_path / f"{abs(hash(lines))}.json"
+        path.write_text("\n".join(lines) + "\n")
+        found = read_files(spark, str(path), contract, **kw)
+        contract.check(found)
+        return [tuple(r) for r in contract.cast(found).selectExpr("n", "x", "string(at)", "ok", "s").collect()]
+
+    for strict in (True, False):
+        assert read('{"n": 12.0, "x": "1.5", "at": "2026-10-25T04:00:05Z", "ok": true, "s": 7}', '{"n": "3"}',
+                    strict=strict) == [(12, 1.5, "2026-10-25 04:00:05", True, "7"), (3, None, None, None, None)]
+        with pytest.raises(Exception, match="INVALID"):
+            read('{"n": "12.5"}', strict=strict)
+    with pytest.raises(Exception, match="without metadata mapping: a, b"):
+        read('{"n": 1}', '{"n": 1, "a": 2, "b": 3}')
+    assert read('{"n": 1, "a": 2}', strict=False) == [(1, None, None, None, None)]
+
+
 def test_jdbc_options(spark):
     base = {"url": "jdbc:x", "user": "u"}
     assert table_options(base, "orders", "public") == base | {"dbtable": '"public"."orders"'}

@@ -112,6 +112,13 @@ class Contract:
         """All columns as text, for sources that need a schema before the cast."""
         return T.StructType([T.StructField(name, T.StringType()) for name in self.names])
 
+    def json_schema(self) -> T.StructType:
+        """Text columns as text, others as VARIANT, which keeps 12.0 apart from "12.0"."""
+        return T.StructType([
+            T.StructField(f.name, T.StringType() if isinstance(self.data_type(f), T.StringType) else T.VariantType())
+            for f in self.fields
+        ])
+
     def check(self, df: DataFrame) -> None:
         """The column sets must be equal, in the same case. Looks at the schema only."""
         have = {name.lower() for name in df.columns}

@@ -37,8 +37,9 @@ def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, st
 
     ``replace`` refuses an empty source and may change the schema. ``append`` of nothing
     is 0. ``delete_and_insert`` keeps the other dates and the rows without one. A Gold table
-    that is partitioned by its date column has just that partition rewritten; else a new
-    version with all kept rows is published.
+    that was published with ``partition_by`` its date column, or by the day of its timestamp
+    column, has just that partition rewritten; else a new version with all kept rows is
+    published.
     """
     source_name, target_name, strategy = plan_publish(layers, silver, gold, strategy, date_column, day)
     source = tables.read(spark, source_name)
@@ -55,22 +56,27 @@ def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, st
         require_rows(source, "Refusing an empty Gold replacement; Gold was not changed")
     layers.ensure(spark, "gold")
     present = tables.exists(spark, target_name)
-    parts = [partition_by] if partition_by else []
+    parts, day_of = [], None
     if present:
         target = tables.read(spark, target_name)
         if strategy != "replace":
             tables.check_compatible(source, target)
             # Names may differ in case; the published ones stay.
             source = source.toDF(*target.columns)
-        parts = parts or [p for p in tables.partition_columns(spark, target_name) if p in source.columns]
+        day_of = tables.day_of(spark, target_name)
+        day_of = day_of if day_of in source.columns else None
+        parts = [p for p in tables.partition_columns(spark, target_name) if p in source.columns]
+    if partition_by:
+        by_day = not isinstance(source.schema[partition_by].dataType, T.DateType)
+        parts, day_of = ([], partition_by) if by_day else ([partition_by], None)
     if strategy == "append" and present:
         return tables.append(spark, target_name, source)
     if strategy == "delete_and_insert" and present:
         column = next(c for c in target.columns if c.lower() == date_column.lower())
-        if parts == [column]:
+        if column in (tables.day_of(spark, target_name), *tables.partition_columns(spark, target_name)):
             return tables.overwrite_partitions(spark, target_name, source, rebalance=False)
         kept = date_scope(target, column, day, keep=True)
-        tables.replace(spark, target_name, kept.unionByName(source), parts)
+        tables.replace(spark, target_name, kept.unionByName(source), parts, day=day_of)
         # Every row of that day in the new version comes from Silver.
         return date_scope(tables.read(spark, target_name), column, day).count()
-    return tables.replace(spark, target_name, source, parts)
+    return tables.replace(spark, target_name, source, parts, day=day_of)

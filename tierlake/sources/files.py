@@ -89,12 +89,30 @@ def file_format(path: str) -> str:
     return extension
 
 
-def read_files(spark: SparkSession, path: str, contract: Contract | None = None) -> DataFrame:
+def _read_json(spark: SparkSession, path: str, contract: Contract | None, strict: bool) -> DataFrame:
+    if contract is None:
+        return spark.read.json(path)
+    schema = contract.json_schema()
+    if not strict:
+        return spark.read.schema(schema).json(path)
+    lines = spark.read.option("singleVariantColumn", "_line").json(path)
+    names = F.map_keys(F.variant_get("_line", "$", "map<string,variant>"))
+    extra = F.array_except(names, F.array(*(F.lit(name) for name in contract.names)))
+    refuse = F.raise_error(F.concat(F.lit("Fields without metadata mapping: "), F.concat_ws(", ", extra)))
+    known = lines.filter(F.when(F.size(extra) == 0, True).otherwise(refuse.cast("boolean")))
+    kinds = ", ".join(f"`{field.name}`: {field.dataType.simpleString()}" for field in schema)
+    return known.select(F.variant_get("_line", "$", f"struct<{kinds}>").alias("_row")).select("_row.*")
+
+
+def read_files(spark: SparkSession, path: str, contract: Contract | None = None, *,
+               strict: bool = True) -> DataFrame:
     """Scan CSV, JSON lines or Parquet, chosen by extension.
 
     Without a contract CSV and JSON types are inferred, which is a pass of its own over
-    the data. With a contract there is one pass: CSV columns are read as text, and JSON
-    fields of the contract as text (other fields are ignored); the cast follows.
+    the data. With a contract there is one pass, and the cast follows: CSV columns come as
+    text; JSON fields come as text or VARIANT, and a line with a field outside the contract
+    fails the job. ``strict=False`` ignores such fields and is faster. A contract field that no
+    line has is null.
     """
     kind = file_format(path)
     if not exists(spark, path):
@@ -102,6 +120,5 @@ def read_files(spark: SparkSession, path: str, contract: Contract | None = None)
     if kind == "csv":
         return spark.read.option("header", True).option("inferSchema", contract is None).csv(path)
     if kind == "json":
-        reader = spark.read if contract is None else spark.read.schema(contract.text_schema())
-        return reader.json(path)
+        return _read_json(spark, path, contract, strict)
     return spark.read.parquet(path)

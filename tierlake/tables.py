@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from tierlake.names import TableName
 
-_CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
+_CURRENT, _PREVIOUS, _DAY_OF = "tierlake.current", "tierlake.previous", "tierlake.day_of"
+_DAY = "_day"
 
 
 def exists(spark: SparkSession, table: TableName) -> bool:
@@ -43,6 +44,11 @@ def partition_columns(spark: SparkSession, table: TableName) -> list[str]:
     return [column.name for column in columns if column.isPartition]
 
 
+def day_of(spark: SparkSession, table: TableName) -> str | None:
+    """The timestamp column whose day partitions the physical table, if there is one."""
+    return properties(spark, table).get(_DAY_OF)
+
+
 def read(spark: SparkSession, table: TableName) -> DataFrame:
     return spark.table(table.sql)
 
@@ -65,10 +71,17 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by: Sequence[str] = (),
-            *, allow_empty: bool = False, rebalance: bool = True) -> int:
-    """Write ``df`` as a new version and point the table at it. Returns the row count."""
+            *, day: str | None = None, allow_empty: bool = False, rebalance: bool = True) -> int:
+    """Write ``df`` as a new version and point the table at it. Returns the row count.
+
+    ``day`` names a timestamp column: the physical table is partitioned by its day, in a
+    column that the view leaves out.
+    """
     known = properties(spark, table) if exists(spark, table) else {}
     target = TableName(table.database, f"{table.table}__{uuid.uuid4().hex[:16]}")
+    columns = ", ".join(f"`{name}`" for name in df.columns)
+    if day:
+        df, partition_by = df.withColumn(_DAY, F.to_date(day)), [_DAY]
     counted, seen = _counted(spread(df, partition_by) if rebalance else df)
     # The option stays with the table: every later overwriting insert into it replaces only
     # the partitions it writes, whatever the session is set to.
@@ -78,13 +91,10 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
         raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
-    columns = ", ".join(f"`{name}`" for name in df.columns)
-    previous = known.get(_CURRENT, "")
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES "
-        f"('{_CURRENT}' = '{target.table}', '{_PREVIOUS}' = '{previous}') "
-        f"AS SELECT {columns} FROM {target.sql}"
-    )
+    notes = {_CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, "")} | ({_DAY_OF: day} if day else {})
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) "
+              f"AS SELECT {columns} FROM {target.sql}")
     if known.get(_PREVIOUS):
         spark.sql(f"DROP TABLE IF EXISTS {TableName(table.database, known[_PREVIOUS]).sql}")
     return rows
@@ -101,8 +111,11 @@ def check_compatible(source: DataFrame, target: DataFrame) -> None:
 
 def _aligned(spark: SparkSession, table: TableName, df: DataFrame) -> tuple[str, DataFrame]:
     """Columns by name, in the order of the physical table; drift is an error."""
-    target = physical(spark, table).sql
+    notes = properties(spark, table)
+    target = TableName(table.database, notes[_CURRENT]).sql
     columns = spark.table(target).columns
+    if notes.get(_DAY_OF):
+        df = df.withColumn(_DAY, F.to_date(notes[_DAY_OF]))
     if sorted(c.lower() for c in df.columns) != sorted(c.lower() for c in columns):
         raise ValueError(f"Columns {df.columns} do not match those of {table.sql}: {columns}")
     return target, df.select(*(F.col(f"`{c}`") for c in columns))
