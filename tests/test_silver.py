@@ -217,3 +217,31 @@ def test_explain_and_views(spark, layers, views):
     materialise(spark, layers, "staged", spark.table("quotes"), "view")
     materialise(spark, layers, "mart", spark.table("staged"))
     assert tables.read(spark, layers.resolve("mart", "silver")).count() == 3
+
+
+def test_merge_of_a_joined_source(spark, layers, views):
+    joined = spec(strategy="merge", keys=["security_id"], sources=[
+        {"fqn": "quotes", "alias": "src"},
+        {"fqn": "names", "alias": "n", "join_conds": [{"lh": "n.id", "rh": "src.security_id"}]}])
+    for _ in range(2):
+        run_silver(spark, layers, joined)
+    assert rows(tables.read(spark, layers.resolve("doubled", "silver")), "security_id", "last_price") == [("1333", 201.0)]
+    assert [t.name for t in spark.catalog.listTables(layers.silver) if t.tableType == "MANAGED"] == [
+        tables.physical(spark, layers.resolve("doubled", "silver")).table]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_merges(spark, layers, seed):
+    """Rows wander between dates, and to and from no date, as in a dictionary."""
+    import random
+
+    rng, schema = random.Random(seed), "id int, v int, snapshot_date date"
+    dates, expected, table = [None, D1, D2, date(2026, 10, 23)], {}, layers.resolve("t", "silver")
+    for step in range(5):
+        change = {i: (i, step, rng.choice(dates)) for i in rng.sample(range(12), 6 if step < 2 else 3)}
+        expected |= change
+        write_silver(spark, layers, "t", spark.createDataFrame(list(change.values()), schema), "merge", keys=["id"])
+        found = [tuple(r) for r in tables.read(spark, table).collect()]
+        assert sorted(found, key=str) == sorted(expected.values(), key=str)
+    listed = spark.sql(f"SHOW PARTITIONS {tables.physical(spark, table).sql}").count()
+    assert listed == len({row[2] for row in expected.values()})

@@ -18,7 +18,7 @@ from tierlake.contract import Contract
 PLACEHOLDERS = ("REQUIRED_", "change-me")
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, repr=False)
 class Keys:
     """Secrets of a run, handed in by the caller. ``cipher`` is raw AES key material."""
 

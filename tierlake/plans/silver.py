@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from contextlib import redirect_stdout
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tierlake import tables
@@ -91,12 +91,13 @@ def explain_silver(spark: SparkSession, spec: Mapping, day: str | None = None) -
 
 def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame, strategy: str = "overwrite",
                  *, keys: Sequence[str] = (), delete_date: str | None = None,
-                 one_day: bool = False) -> int:
+                 one_day: bool = False, stage: bool = False) -> int:
     """Write a model. Tables with a ``snapshot_date`` are partitioned by it.
 
     ``insert_overwrite`` replaces the dates that arrive, keeps rows without a date, and with
     ``delete_date`` clears that date even when nothing arrives for it. ``merge`` updates by
-    key. ``one_day``: all rows have one date, so the write needs no shuffle.
+    key; ``stage`` writes its source out first. ``one_day``: all rows have one date, so the
+    write needs no shuffle.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"Unsupported Silver strategy: {strategy!r}")
@@ -106,14 +107,18 @@ def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame,
     if strategy == "insert_overwrite" and not parts:
         raise ValueError("insert_overwrite needs a snapshot_date column")
     if strategy == "merge":
-        return tables.merge_by_key(spark, table, df, keys, parts)
+        return tables.merge_by_key(spark, table, df, keys, parts, stage=stage)
     if strategy == "overwrite" or not tables.exists(spark, table):
         return tables.replace(spark, table, df, parts, allow_empty=True, rebalance=not one_day)
     if strategy == "append":
         return tables.append(spark, table, df)
+    seen = Observation()
+    if delete_date is not None:
+        arrives = F.col("snapshot_date") == F.lit(run_day(delete_date))
+        df = df.observe(seen, F.count_if(arrives).alias("rows"))
     undated = tables.read(spark, table).filter("snapshot_date IS NULL").select(*df.columns)
     count = tables.overwrite_partitions(spark, table, df.unionByName(undated), rebalance=not one_day)
-    if delete_date is not None and on_date(df, "snapshot_date", delete_date).isEmpty():
+    if delete_date is not None and seen.get["rows"] == 0:
         tables.drop_partition(spark, table, {"snapshot_date": run_day(delete_date)})
     return count
 
@@ -126,7 +131,8 @@ def run_silver(spark: SparkSession, layers: Layers, spec: Mapping, run_date: str
     count = write_silver(
         spark, layers, name, build_silver(spark, spec, run_date), strategy,
         keys=spec.get("keys") or (), delete_date=run_date if strategy == "insert_overwrite" else None,
-        one_day=any(source.get("snapshot_date") for source in spec["sources"]))
+        one_day=any(source.get("snapshot_date") for source in spec["sources"]),
+        stage=len(spec["sources"]) > 1)
     if tests:
         require_passing(run_tests(tables.read(spark, layers.resolve(name, "silver")), tests))
     return count

@@ -10,7 +10,8 @@ physical table. One writer per table at a time.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -156,6 +157,17 @@ def _any_of(parts: Sequence[str], rows: Sequence) -> Column:
     return reduce(Column.__or__, alternatives, F.lit(False))
 
 
+@contextmanager
+def staged(spark: SparkSession, table: TableName, df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` written once beside a table, for steps that would each compute it again."""
+    name = TableName(table.database, f"{table.table}__{uuid.uuid4().hex[:16]}")
+    df.write.format("parquet").saveAsTable(name.sql)
+    try:
+        yield spark.table(name.sql)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name.sql}")
+
+
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``target`` whose key is not in ``source``, and all rows of ``source``."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
@@ -163,16 +175,20 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
 
 
 def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys: Sequence[str],
-                 partition_by: Sequence[str] = (), *, atomic: bool = False) -> int:
+                 partition_by: Sequence[str] = (), *, atomic: bool = False, stage: bool = False) -> int:
     """Update rows with a known key, insert the others. Returns the rows written.
 
     Only partitions that hold a matched key or receive a row are rewritten. With
     several such partitions the change becomes visible partition by partition;
     ``atomic`` publishes a whole new version instead. Running it again with the same
-    source gives the same table.
+    source gives the same table. The source is read several times, mostly by few columns;
+    ``stage`` writes it out first, which pays for one that takes more than a scan.
     """
     if not keys:
         raise ValueError("A merge needs at least one key column")
+    if stage:
+        with staged(spark, table, source) as rows:
+            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic)
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Merge source has several rows for one key {list(keys)}")
