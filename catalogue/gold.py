@@ -120,6 +120,18 @@ def adhoc_topk(spark, sf):
         GROUP BY o_custkey ORDER BY spent DESC, o_custkey""", limit=20)
 
 
+@query("""
+SELECT * FROM (VALUES ('orders', 1, 'o_orderkey', 'bigint'), ('orders', 2, 'o_custkey', 'bigint'),
+  ('orders', 3, 'o_orderstatus', 'string'), ('orders', 4, 'o_totalprice', 'double'),
+  ('orders', 5, 'o_orderdate', 'timestamp_ntz'), ('orders', 6, 'o_orderpriority', 'string'))
+  t("table", position, "column", type)
+""")
+def catalog_listing(spark, sf):
+    space = layers(spark)
+    silver_orders(spark, sf, space)
+    return audit.list_columns(spark, space, "silver").drop("database")
+
+
 def run_log(spark, sf):
     """The events read as a run history: a job per type, a run per event."""
     return load(spark, sf, "events").select(

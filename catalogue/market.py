@@ -7,12 +7,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.base import load, query, stamp
+from catalogue.base import layers, load, query, stamp
+from tierlake import tables
 from tierlake.functions.market import normalise_json
 from tierlake.operators.instruments import classify_instruments, match_instruments
+from tierlake.plans.bronze import bronze_full
+from tierlake.plans.lake import ingest
+from tierlake.plans.silver import live_ticks_model, market_snapshot_model
 from tierlake.session import workspace
 from tierlake.sources.instruments import read_master
-from tierlake.sources.market import flatten_snapshots, normalize_packets, to_event_json
+from tierlake.sources.market import (
+    SNAPSHOT_KEY, TICK_KEY, flatten_snapshots, market_contract, normalize_packets, to_event_json)
 
 
 def snapshot_payloads(spark, sf):
@@ -53,6 +58,27 @@ def payload_flatten(spark, sf):
         "exchange_time", "trading_date", "depth_json")
 
 
+@query(f"""
+WITH quotes AS (
+  SELECT event_id, ts, 'NSE_EQ' AS segment, CAST(event_id + 1000 AS VARCHAR) AS id, value FROM events
+  UNION ALL SELECT event_id, ts, 'NSE_EQ', CAST(event_id + 2000000 AS VARCHAR), value FROM events
+  UNION ALL SELECT event_id, ts, 'IDX_I', '7', NULL FROM events)
+SELECT segment AS exchange_segment, id AS security_id, {stamp('ts')} AS received_at, value AS last_price,
+       CAST(event_id AS VARCHAR) AS batch_id, '2024-01-31' AS snapshot_date
+FROM quotes QUALIFY row_number() OVER (PARTITION BY segment, id ORDER BY ts DESC, event_id DESC) = 1
+""")
+def model_market_snapshot(spark, sf):
+    # One index is in every payload: a third of all quotes have the same key.
+    space, sheet = layers(spark), market_contract(SNAPSHOT_KEY)
+    quotes = flatten_snapshots(snapshot_payloads(spark, sf), "quote")
+    ingest(spark, space, "quotes", quotes, sheet, "2024-01-31")
+    bronze_full(spark, space, "quotes", "2024-01-31", sheet)
+    for _ in range(2):
+        market_snapshot_model(spark, space, "quotes", "2024-01-31")
+    return tables.read(spark, space.resolve("nse_market_snapshot", "silver")).select(
+        "exchange_segment", "security_id", "received_at", "last_price", "batch_id", "snapshot_date")
+
+
 def packets(spark, sf):
     """One packet per event; errors are control packets, every fifth user has a bad segment."""
     kind = F.create_map(*(F.lit(v) for pair in {
@@ -95,6 +121,24 @@ def live_rejected(spark, sf):
     return rejected.select("sequence", "reason")
 
 
+@query(f"""
+SELECT sha256('b:' || CASE user_id % 5 WHEN 0 THEN 'IDX_I' WHEN 1 THEN 'NSE_EQ' WHEN 2 THEN 'NSE_FNO'
+         ELSE 'NSE_CURRENCY' END || ':' || user_id || ':' || event_id) AS event_id,
+       event_id AS sequence, {stamp('ts')} AS received_at, value AS last_price, '2024-01-31' AS snapshot_date
+FROM events WHERE event_type <> 'error' AND user_id % 5 <> 4 AND user_id > 0
+""")
+def model_live_ticks(spark, sf):
+    # The ticks arrive twice; the model has each of them once.
+    space, sheet = layers(spark), market_contract(TICK_KEY)
+    ticks, _ = normalize_packets(packets(spark, sf))
+    for _ in range(2):
+        ingest(spark, space, "ticks", ticks, sheet, "2024-01-31", "append")
+    bronze_full(spark, space, "ticks", "2024-01-31", sheet)
+    live_ticks_model(spark, space, "ticks", "2024-01-31")
+    return tables.read(spark, space.resolve("nse_live_ticks", "silver")).select(
+        "event_id", "sequence", "received_at", "last_price", "snapshot_date")
+
+
 @query("""
 SELECT event_id, '{"a":{"m":[' || user_id || ',null],"z":' || substr(props, 7) || ',"z":"' || event_type || '"}' AS doc
 FROM events

@@ -35,9 +35,11 @@ def folders(path):
 def test_batch_landing(spark, tmp_path, contract):
     land_minutes(events(spark, range(6)), f"{tmp_path}/raw")
     assert folders(tmp_path / "raw") == ["date=2026-10-25/hour=09/minute=15", "date=2026-10-25/hour=09/minute=16"]
-    one = read_files(spark, minute_glob(f"{tmp_path}/raw", START), contract)
-    assert rows(one, "event_id") == [("e0",), ("e1",), ("e2",)]
+    path = minute_glob(f"{tmp_path}/raw", START)
+    one = contract.cast(read_files(spark, path, contract))
+    assert rows(one, "event_id", "price") == [("e0", 0.0), ("e1", 1.0), ("e2", 2.0)]
     assert one.filter("received_at = '2026-10-25T09:15:20Z'").count() == 1
+    assert spark.read.text(path).filter("value LIKE '%\"received_at\":\"2026-10-25T09:15:20Z\"%'").count() == 1
     counts = minute_counts(events(spark, range(7)))
     assert sorted(r.events for r in counts.collect()) == [1, 3, 3]
 

@@ -67,6 +67,8 @@ def protect(df: DataFrame, contract: Contract, keys: Keys = Keys()) -> DataFrame
     A contract without protected columns needs no keys.
     """
     levels = {f.name: f.level for f in contract.fields if f.level in ("hash", "pii", "mask")}
+    if not levels:
+        return df
     used = set(levels.values())
     if used & {"hash", "pii"} and (not keys.salt or keys.salt.startswith(PLACEHOLDERS)):
         raise ValueError("Set a strong salt before processing protected columns")

@@ -17,7 +17,7 @@ from tierlake.operators.joins import equal_pairs, join_on, join_type
 from tierlake.operators.quality import require_passing, run_tests
 from tierlake.operators.sequences import day_gap
 from tierlake.sources.instruments import SEGMENTS
-from tierlake.sources.market import RECORD
+from tierlake.sources.market import RECORD, SNAPSHOT_KEY, TICK_KEY
 
 STRATEGIES = ("overwrite", "append", "insert_overwrite", "merge")
 
@@ -150,7 +150,7 @@ def materialise(spark: SparkSession, layers: Layers, name: str, df: DataFrame, k
 
 # --- bundled models ---------------------------------------------------------------
 
-SNAPSHOT_KEYS = ("exchange_segment", "security_id", "snapshot_date")
+SNAPSHOT_KEYS = (*SNAPSHOT_KEY, "snapshot_date")
 
 # Data tests of the two market models.
 SNAPSHOT_TESTS = (
@@ -180,7 +180,7 @@ def live_ticks_model(spark: SparkSession, layers: Layers, bronze: str, day: str
     """Live events, one per event id, whatever minute or day is replayed."""
     rows = on_date(tables.read(spark, layers.resolve(bronze, "bronze")), "snapshot_date", day)
     rows = rows.select(*RECORD, "snapshot_date")
-    count = write_silver(spark, layers, name, rows, "merge", keys=["event_id"])
+    count = write_silver(spark, layers, name, rows, "merge", keys=TICK_KEY)
     require_passing(run_tests(tables.read(spark, layers.resolve(name, "silver")), TICK_TESTS))
     return count
 

@@ -6,10 +6,13 @@ are read from VARIANT values inside the JVM.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierlake.contract import Contract, Field
 from tierlake.functions import market as m
 
 # The columns of the market record and their types.
@@ -48,6 +51,17 @@ PACKET = """struct<
     depth: variant>"""
 
 
+# Key columns of the two market contracts; both order by the time of receipt.
+SNAPSHOT_KEY = ("exchange_segment", "security_id")
+TICK_KEY = ("event_id",)
+
+
+def market_contract(keys: Sequence[str]) -> Contract:
+    """The contract of market records, with ``SNAPSHOT_KEY`` or ``TICK_KEY``."""
+    return Contract(tuple(
+        Field(name, kind, key=name in keys, time=name == "received_at") for name, kind in RECORD.items()))
+
+
 def record(**values: Column) -> list[Column]:
     """The record's columns in order and type; what is not given is null."""
     return [

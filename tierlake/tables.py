@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 
 from tierlake.names import TableName
 
-_CURRENT, _PREVIOUS, _DAY_OF = "tierlake.current", "tierlake.previous", "tierlake.day_of"
+# What a logical table knows of itself, as properties of its view.
+_CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
+_PARTS, _DAY_OF = "tierlake.partitions", "tierlake.day_of"
 _DAY = "_day"
 
 
@@ -41,8 +43,7 @@ def physical(spark: SparkSession, table: TableName) -> TableName:
 
 
 def partition_columns(spark: SparkSession, table: TableName) -> list[str]:
-    columns = spark.catalog.listColumns(physical(spark, table).sql)
-    return [column.name for column in columns if column.isPartition]
+    return [name for name in properties(spark, table).get(_PARTS, "").split(",") if name]
 
 
 def day_of(spark: SparkSession, table: TableName) -> str | None:
@@ -92,7 +93,8 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
         raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
-    notes = {_CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, "")} | ({_DAY_OF: day} if day else {})
+    notes = {_CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, ""),
+             _PARTS: ",".join(partition_by)} | ({_DAY_OF: day} if day else {})
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
     spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) "
               f"AS SELECT {columns} FROM {target.sql}")
