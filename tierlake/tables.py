@@ -87,8 +87,12 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     counted, seen = _counted(spread(df, partition_by) if rebalance else df)
     # The option stays with the table: every later overwriting insert into it replaces only
     # the partitions it writes, whatever the session is set to.
-    (counted.write.format("parquet").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partition_by).saveAsTable(target.sql))
+    try:
+        (counted.write.format("parquet").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).saveAsTable(target.sql))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {target.sql}")
+        raise
     rows = seen.get["rows"]
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
