@@ -28,11 +28,12 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .text import Words, map_texts
+from .text import LOWER, Words, map_texts
 
 #: Distinct words whose encodings a Python worker keeps between chunks; then it starts anew.
 CACHE_WORDS = 400_000
-CHUNK_TOKENS = 1 << 21
+#: Added to a byte that ends a word.
+END = 256
 
 
 def byte_letters() -> dict[str, int]:
@@ -76,7 +77,7 @@ class Vocabulary:
         for table in (self.inner, self.final):
             for raw in [raw for raw, i in table.items() if self.merge(self.symbols[i]) != [i]]:
                 del table[raw]
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        self._link()
         self.pairs: dict[int, bool] = {}
         self.word_cache: dict[bytes, tuple[int, str, str]] = {}
 
@@ -99,33 +100,77 @@ class Vocabulary:
             known = self.pairs[key] = self.merge(self.symbols[left] + self.symbols[right]) == [left, right]
         return known
 
+    def _link(self) -> None:
+        """Suffix automaton of the tokens: a state is the longest suffix read that starts a token.
+
+        A symbol is a byte, plus END at a word's end. ends[state] has (length, token) of the tokens that are
+        suffixes, longest first.
+        """
+        self.next: dict[int, int] = {}
+        self.ends: list[tuple[tuple[int, int], ...]] = [()]
+        self.fall = [0]
+        depth = [0]
+        own: dict[int, tuple[int, int]] = {}
+        for table, mark in ((self.inner, 0), (self.final, END)):
+            for raw, token in table.items():
+                state = 0
+                for symbol in [*raw[:-1], raw[-1] + mark]:
+                    key = state << 9 | symbol
+                    if key not in self.next:
+                        self.next[key] = len(depth)
+                        depth.append(depth[state] + 1)
+                        self.fall.append(0)
+                        self.ends.append(())
+                    state = self.next[key]
+                own[state] = (len(raw), token)
+        edges = sorted(self.next.items(), key=lambda x: depth[x[1]])
+        for key, state in edges:
+            before, symbol = key >> 9, key & 511
+            if before:
+                self.fall[state] = self.step(self.fall[before], symbol)
+            self.ends[state] = ((own[state],) if state in own else ()) + self.ends[self.fall[state]]
+        self.tree_edges = len(edges)
+
+    def step(self, state: int, symbol: int) -> int:
+        at = state
+        while (to := self.next.get(at << 9 | symbol)) is None and at:
+            at = self.fall[at]
+        return to or 0
+
     def encode_sorted(self, words: list[bytes]) -> Iterator[tuple[bytes, list[int]]]:
         """The ids of each of the distinct words, which come in ascending order."""
-        inner, final, longest, stable = self.inner, self.final, self.longest, self.stable
-        last = [0]  # last[i]: the last token of the prefix of length i
-        size = [0]  # and its length in bytes
+        move, ends, step, pairs, stable = self.next.get, self.ends, self.step, self.pairs, self.stable
+        states = [0]  # states[i], last[i], size[i]: of the prefix of length i
+        last = [0]  # its last token
+        size = [0]  # that token's length in bytes
         before = b""
         for word in words:
-            n, shared, most = len(word), 0, min(len(before), len(word))
+            n, shared, most = len(word), 0, min(len(before), len(word), len(last))
             while shared < most and before[shared] == word[shared]:
                 shared += 1
             # The states of the last word's inner prefixes go up to its length less one.
-            shared = min(shared, len(last) - 1)
-            del last[shared + 1 :], size[shared + 1 :]
-            for i in range(shared + 1, n):
-                for length in range(min(i, longest), 0, -1):
-                    token = inner.get(word[i - length : i])
-                    if token is not None and (length == i or stable(last[i - length], token)):
-                        last.append(token)
-                        size.append(length)
+            shared = min(shared, len(last) - 1, n - 1)
+            del states[shared + 1 :], last[shared + 1 :], size[shared + 1 :]
+            state = states[shared]
+            for i in range(shared + 1, n + 1):
+                symbol = word[i - 1] + (END if i == n else 0)
+                if (to := move(state << 9 | symbol)) is None:
+                    to = step(state, symbol)
+                state = to
+                for length, token in ends[state]:
+                    if length == i:
                         break
-            ids = []
-            for length in range(min(n, longest), 0, -1):
-                token = final.get(word[n - length :])
-                if token is not None and (length == n or stable(last[n - length], token)):
-                    ids.append(token)
-                    at = n - length
-                    break
+                    left = last[i - length]
+                    if (fits := pairs.get(left << 20 | token)) is None:
+                        fits = stable(left, token)
+                    if fits:
+                        break
+                if i < n:
+                    states.append(state)
+                    last.append(token)
+                    size.append(length)
+            ids = [token]
+            at = n - length
             while at:
                 ids.append(last[at])
                 at -= size[at]
@@ -164,14 +209,24 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def distinct_words(words: Words) -> tuple[list[bytes], np.ndarray]:
-    """The distinct words of a chunk and, for each word, the number of its distinct word."""
+    """The distinct pieces of a chunk and, for each piece, the number of its distinct one."""
     _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
     raw = words.data.tobytes()
     return [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())], number
 
 
+#: ASCII letters, and ASCII marks that stand in a pre-token of their own kind only: between the two a word can be cut.
+#: The apostrophe is in contractions, and <|> in special tokens.
+LETTER = np.zeros(256, bool)
+LETTER[[*range(65, 91), *range(97, 123)]] = True
+SIGN = np.zeros(256, bool)
+SIGN[list(b'!"#$%&()*+,-./:;=?@[]^`{}~')] = True
+
+
 def _encode(path: str, data: np.ndarray, offsets: np.ndarray, with_ids: bool) -> dict[str, object]:
-    words = Words(data, offsets)
+    if not (data == ord("<")).any():
+        data = LOWER[data]
+    words = Words(data, offsets, (LETTER[data[:-1]] & SIGN[data[1:]]) | (SIGN[data[:-1]] & LETTER[data[1:]]))
     distinct, number = distinct_words(words)
     made = vocabulary(path).encode_words(distinct)
     count = np.array([x[0] for x in made], np.int64)

@@ -73,9 +73,12 @@ def windows(prefix: np.ndarray, length: int) -> np.ndarray:
 
 
 class Words:
-    """The words of consecutive texts: byte spans, hashes, and the text (row) each belongs to."""
+    """The words of consecutive texts: byte spans, hashes, and the text (row) each belongs to.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    cuts[i] also ends a word after byte i.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None):
         self.data, self.offsets = data, offsets
         gap = SEPARATOR[data]
         first, last = np.ones(len(data), bool), np.ones(len(data), bool)
@@ -83,6 +86,9 @@ class Words:
         inner = offsets[(offsets > 0) & (offsets < len(data))]
         first[inner] = True
         last[inner - 1] = True
+        if cuts is not None and len(data):
+            first[1:] |= cuts
+            last[:-1] |= cuts
         self.gap = gap
         self.start = np.flatnonzero(first & ~gap)
         self.end = np.flatnonzero(last & ~gap) + 1
