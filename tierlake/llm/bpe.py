@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .text import LOWER, Words, map_texts
+from .text import LOWER, Words, distinct_words, map_texts
 
 #: Distinct words whose encodings a Python worker keeps between chunks; then it starts anew.
 CACHE_WORDS = 400_000
@@ -208,13 +208,6 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def distinct_words(words: Words) -> tuple[list[bytes], np.ndarray]:
-    """The distinct pieces of a chunk and, for each piece, the number of its distinct one."""
-    _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    raw = words.data.tobytes()
-    return [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())], number
-
-
 #: ASCII letters, and ASCII marks that stand in a pre-token of their own kind only: between the two a word can be cut.
 #: The apostrophe is in contractions, and <|> in special tokens.
 LETTER = np.zeros(256, bool)
