@@ -6,25 +6,63 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import encode
+from .decontamination import leaks
+from .quality_classifier import score, train
 from .quality_rules import repetition
+from .secret_scans import scan
+from .token_counts import token_counts
+from .warc import read_archives, write_archives
+from .work import work_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op3_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_folder(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    records = read_archives(spark, path, with_payload=False).where("gap IS NULL")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    weights = train(docs, table(spark, sf_dir, "labels"), ~held_out, "quality")
+    return score(docs, weights).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_counts": op2_token_counts,
+    "op3_warc_salvage": op3_warc_salvage,
+    "op4_secret_scans": op4_secret_scans,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_quality_rules": op7_quality_rules,
+    "op9_decontamination": op9_decontamination,
     "op10_bpe_encoding": op10_bpe_encoding,
 }
 

@@ -145,11 +145,7 @@ def redact(docs: DataFrame, path: str | None = None, version: str = VERSION, mar
         ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), cut,
         lambda x: F.concat(x["text"], F.substring(text, x["at"] + 1, F.length(text))),
     )
-    new = F.when(F.col("_spans").isNotNull(), clean).otherwise(text)
-    out = [
-        new.alias("text") if c == "text"
-        else F.when(F.col("_spans").isNotNull(), F.length(new).cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars"
-        else F.col(f"`{c}`")
-        for c in docs.columns
-    ]
-    return rows.select(*out)
+    rows = rows.withColumn("_clean", F.when(F.col("_spans").isNotNull(), clean).otherwise(text))
+    length = F.when(F.col("_spans").isNotNull(), F.length("_clean").cast("bigint")).otherwise(F.col("n_chars"))
+    new = {"text": F.col("_clean")} | ({"n_chars": length} if "n_chars" in docs.columns else {})
+    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
