@@ -13,6 +13,8 @@ from .decontamination import leaks
 from .quality_classifier import score, train
 from .quality_rules import repetition
 from .secret_scans import scan
+from .substring_dedup import dedup as dedup_words
+from .suffix_array_dedup import dedup as dedup_bytes
 from .token_counts import token_counts
 from .warc import read_archives, write_archives
 from .work import work_folder
@@ -44,10 +46,18 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score(docs, weights).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_words(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,7 +71,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_salvage": op3_warc_salvage,
     "op4_secret_scans": op4_secret_scans,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe_encoding": op10_bpe_encoding,
 }
