@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import encode
 from .decontamination import leaks
+from .jaccard_join import Similarity, join
 from .quality_classifier import score, train
 from .quality_rules import repetition
 from .secret_scans import scan
@@ -24,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = join(table(spark, sf_dir, "documents"), Similarity(shingle=3, percent=90))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -66,7 +72,14 @@ def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_token_counts": op2_token_counts,
     "op3_warc_salvage": op3_warc_salvage,
     "op4_secret_scans": op4_secret_scans,
@@ -76,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe_encoding": op10_bpe_encoding,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}
