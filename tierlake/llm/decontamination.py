@@ -111,5 +111,6 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows, with all their columns, that leak no item; rows whose id is null are judged by their text alone."""
     found = leaks(docs.select(F.struct("doc_id", F.xxhash64("text").alias("mark")).alias("doc_id"), "text"), benchmark)
     bad = found.select(F.col("doc_id.doc_id").alias("_bad"), F.col("doc_id.mark").alias("_mark")).distinct()
-    on = F.col("doc_id").eqNullSafe(F.col("_bad")) & (F.xxhash64("text") == F.col("_mark"))
-    return docs.join(bad, on, "left_anti")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.xxhash64("text").alias("own"))
+    on = F.col("row.doc_id").eqNullSafe(F.col("_bad")) & (F.col("own") == F.col("_mark"))
+    return rows.join(bad, on, "left_anti").select("row.*")

@@ -128,8 +128,8 @@ def redact(docs: DataFrame, path: str | None = None, version: str = VERSION, mar
     n_chars, where the rows have it, is the new length.
     """
     ledger = extend_ledger(docs, path or work_folder(docs.sparkSession, "ledger"), version)
-    rows = _with_findings(docs, ledger, [F.col(f"`{c}`") for c in docs.columns])
-    text = F.col("text")
+    rows = _with_findings(docs, ledger, [F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")])
+    text = F.col("row.text")
 
     def cut(seen: Column, s: Column) -> Column:
         start = F.greatest(s["value"], seen["at"])
@@ -145,7 +145,8 @@ def redact(docs: DataFrame, path: str | None = None, version: str = VERSION, mar
         ordered, F.struct(F.lit(0).alias("at"), F.lit("").alias("text")), cut,
         lambda x: F.concat(x["text"], F.substring(text, x["at"] + 1, F.length(text))),
     )
-    rows = rows.withColumn("_clean", F.when(F.col("_spans").isNotNull(), clean).otherwise(text))
-    length = F.when(F.col("_spans").isNotNull(), F.length("_clean").cast("bigint")).otherwise(F.col("n_chars"))
-    new = {"text": F.col("_clean")} | ({"n_chars": length} if "n_chars" in docs.columns else {})
-    return rows.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    row = F.col("row").withField("text", F.col("_clean"))
+    if "n_chars" in docs.columns:
+        row = row.withField("n_chars", F.length("_clean").cast(docs.schema["n_chars"].dataType))
+    new = F.when(F.col("_spans").isNotNull(), row).otherwise(F.col("row"))
+    return rows.withColumn("_clean", clean).select(new.alias("row")).select("row.*")

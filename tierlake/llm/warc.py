@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 VERSION = b"WARC/1.0\r\n"
 MAGIC = b"\x1f\x8b\x08"
-NEXT = re.compile(rb"\x1f\x8b\x08|(?<![^\n])WARC/1\.\d\r\n")
+NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + bytes(8)
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
