@@ -24,9 +24,10 @@ def components(edges: DataFrame) -> DataFrame:
         before = state
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("m"))
+        least = stored(least, "least")  # beside a read table Spark can split a large star
         large = both.join(least, F.col("a") == F.col("c")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.distinct(), "edges")
-        least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "c")
+        least = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "c"), "least")
         small = large.join(least, F.col("a") == F.col("c"))
         turned = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         now = stored(turned.unionAll(least.select(F.col("c").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
