@@ -109,7 +109,10 @@ def parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without a colon")
-        header[name.strip().lower().decode("latin-1")] = value.strip().decode("utf-8", "replace")
+        field = name.strip().lower().decode("latin-1")
+        if field in header and field != "warc-concurrent-to":
+            raise Damaged("header field twice")  # a cut header runs into the next one
+        header[field] = value.strip().decode("utf-8", "replace")
     length = header.get("content-length", "")
     if not length.isascii() or not length.isdigit():
         raise Damaged("no block length")
