@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import encode
 from .decontamination import leaks
 from .jaccard_join import Similarity, join
+from .oracles import ORACLES
 from .quality_classifier import score, train
 from .quality_rules import repetition
 from .secret_scans import scan
@@ -20,6 +21,8 @@ from .token_counts import token_counts
 from .warc import read_archives, write_archives
 from .work import work_folder
 
+__all__ = ["ORACLES", "QUERIES"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -91,5 +94,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_encoding": op10_bpe_encoding,
     "pipeline": pipeline,
 }
-
-ORACLES: dict[str, str] = {}
