@@ -121,15 +121,22 @@ def adhoc_topk(spark, sf):
 
 
 @query("""
-SELECT * FROM (VALUES ('orders', 1, 'o_orderkey', 'bigint'), ('orders', 2, 'o_custkey', 'bigint'),
+SELECT t."table", t.position, t."column", t.type, count(*) FILTER (v.value IS NOT NULL) AS filled
+FROM (VALUES ('orders', 1, 'o_orderkey', 'bigint'), ('orders', 2, 'o_custkey', 'bigint'),
   ('orders', 3, 'o_orderstatus', 'string'), ('orders', 4, 'o_totalprice', 'double'),
   ('orders', 5, 'o_orderdate', 'timestamp_ntz'), ('orders', 6, 'o_orderpriority', 'string'))
   t("table", position, "column", type)
+JOIN (UNPIVOT (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM orders) ON COLUMNS(*)) v ON v.name = t."column"
+GROUP BY ALL
 """)
 def catalog_listing(spark, sf):
+    # Each listed column with the number of its values.
     space = layers(spark)
     silver_orders(spark, sf, space)
-    return audit.list_columns(spark, space, "silver").drop("database")
+    rows = tables.read(spark, space.resolve("orders", "silver"))
+    counts = rows.agg(*(F.count(c).alias(c) for c in rows.columns))
+    filled = counts.unpivot([], counts.columns, "column", "filled")
+    return audit.list_columns(spark, space, "silver").drop("database").join(filled, "column")
 
 
 def run_log(spark, sf):

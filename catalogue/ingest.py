@@ -74,6 +74,17 @@ def csv_dated_scan(spark, sf):
     return prepare(read_files(spark, found, sheet), sheet)
 
 
+@query("SELECT * FROM customer")
+def csv_glob_reordered(spark, sf):
+    # Two kinds of files under one glob, with other orders of columns.
+    folder, customer = workspace(spark, "csv"), load(spark, sf, "customer")
+    for part, columns in enumerate((customer.columns, customer.columns[::-1])):
+        half = customer.filter(F.col("c_custkey") % 2 == part).select(*columns)
+        half.write.option("header", True).csv(f"{folder}/part={part}")
+    sheet = contract(spark, CUSTOMER)
+    return prepare(read_files(spark, f"{folder}/part=*/*.csv", sheet), sheet)
+
+
 @query(f"SELECT {ORDER_COLUMNS} FROM orders")
 def json_glob_scan(spark, sf):
     folder = workspace(spark, "json")

@@ -114,10 +114,13 @@ def live_packets(spark, sf):
 @query("""
 SELECT event_id AS sequence, CASE WHEN user_id % 5 = 4 THEN 'invalid exchange_segment'
        ELSE 'invalid security_id' END AS reason
-FROM events WHERE event_type <> 'error' AND (user_id % 5 = 4 OR user_id <= 0)
+FROM events WHERE event_id % 7 <> 0 AND event_type <> 'error' AND (user_id % 5 = 4 OR user_id <= 0)
+UNION ALL SELECT event_id, 'unparsable' FROM events WHERE event_id % 7 = 0
 """)
 def live_rejected(spark, sf):
-    _, rejected = normalize_packets(packets(spark, sf))
+    # Every seventh packet is cut off.
+    cut = F.when(F.col("sequence") % 7 == 0, F.substring("payload", 1, 20)).otherwise(F.col("payload"))
+    _, rejected = normalize_packets(packets(spark, sf).withColumn("payload", cut))
     return rejected.select("sequence", "reason")
 
 

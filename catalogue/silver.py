@@ -80,6 +80,28 @@ for name, test in {"semi": "", "anti": "NOT"}.items():
           "(FROM customer WHERE c_custkey + 700 = p_partkey)")(frame)
 
 
+@query("""
+SELECT o.o_orderkey, c.c_custkey, c.c_name, p.p_partkey, s.s_suppkey
+FROM orders o FULL JOIN customer c ON c.c_custkey + 200 = o.o_custkey
+FULL JOIN part p ON p.p_partkey = c.c_custkey + 300 RIGHT JOIN supplier s ON s.s_suppkey = p.p_partkey
+""")
+def silver_full_then_full(spark, sf):
+    views = {name: view(spark, sf, name) for name in ("orders", "customer", "part", "supplier")}
+
+    def joined(name, alias, how, left, right):
+        return {"fqn": views[name], "alias": alias, "join_type": how, "join_conds": [{"lh": left, "rh": right}]}
+
+    return build_silver(spark, {
+        "sources": [
+            {"fqn": views["orders"], "alias": "o"},
+            joined("customer", "c", "FULL JOIN", "o.o_custkey", "c.c_custkey + 200"),
+            joined("part", "p", "FULL OUTER JOIN", "c.c_custkey + 300", "p.p_partkey"),
+            joined("supplier", "s", "RIGHT JOIN", "p.p_partkey", "s.s_suppkey")],
+        "columns": [{"source_expr": e} for e in (
+            "o.o_orderkey", "c.c_custkey", "c.c_name", "p.p_partkey", "s.s_suppkey")],
+    })
+
+
 @query("""
 SELECT l.l_orderkey, l.l_linenumber, o.o_orderkey, c.c_custkey, c.c_name
 FROM orders o FULL JOIN lineitem l ON l.l_orderkey = o.o_orderkey + 5000

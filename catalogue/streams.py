@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalogue.base import EVENT_COLUMNS, EVENTS, EVENTS_BY_ID, contract, layers, load, query
+from catalogue.base import EVENT_COLUMNS, EVENTS, EVENTS_BY_ID, contract, layers, load, query, stamp
+from catalogue.market import packets
 from tierlake import tables
 from tierlake.plans.bronze import bronze_full
 from tierlake.session import workspace
 from tierlake.streaming.ingest import dedup_stream, ingest_stream, upsert_batch
-from tierlake.streaming.landing import land_minutes, minute_counts
+from tierlake.sources.market import TICK_KEY, market_contract
+from tierlake.streaming.landing import land_minutes, land_packets, minute_counts
 
 
 def event_stream(spark, sf):
@@ -42,7 +44,7 @@ def stream_replay_dedup(spark, sf):
         ingest_stream(spark, f"{folder}/events", space, "events", sheet, f"{folder}/{run}",
                       ingest_date="2024-01-31").awaitTermination()
     bronze_full(spark, space, "events", "2024-01-31", sheet)
-    return tables.read(spark, space.resolve("events", "bronze")).drop("stream_batch")
+    return tables.read(spark, space.resolve("events", "bronze"))
 
 
 @query(f"SELECT {EVENT_COLUMNS} FROM events UNION ALL SELECT {EVENT_COLUMNS} FROM events")
@@ -51,7 +53,69 @@ def stream_ingest_twice(spark, sf):
     for run in ("first", "first", "replay"):
         ingest_stream(spark, f"{folder}/events", space, "events", sheet, f"{folder}/{run}",
                       max_files=10).awaitTermination()
-    return tables.read(spark, space.resolve("events", "lake")).drop("stream_batch", "ingest_date")
+    return tables.read(spark, space.resolve("events", "lake")).drop("ingest_date")
+
+
+@query(f"SELECT DISTINCT {EVENT_COLUMNS}, '2024-01-31' AS snapshot_date FROM events")
+def stream_replay_without_keys(spark, sf):
+    # A contract without keys keeps distinct rows; the replay adds none.
+    folder, space = landed(spark, sf), layers(spark)
+    sheet = contract(spark, EVENTS.replace(" key", "").replace("timestamp time", "timestamp"))
+    for run in ("first", "replay"):
+        ingest_stream(spark, f"{folder}/events", space, "events", sheet, f"{folder}/{run}",
+                      ingest_date="2024-01-31").awaitTermination()
+    bronze_full(spark, space, "events", "2024-01-31", sheet)
+    return tables.read(spark, space.resolve("events", "bronze"))
+
+
+@query("""
+SELECT CASE event_id % 3 WHEN 1 THEN 'unparsable' ELSE 'undeclared: more' END AS reason, count(*) AS n
+FROM events WHERE event_id % 3 <> 0 GROUP BY 1 UNION ALL SELECT 'accepted', count(*) FROM events WHERE event_id % 3 = 0
+""")
+def stream_rejects(spark, sf):
+    # Of three lines one is cut off and one has a field that the contract does not know.
+    folder, space = workspace(spark, "faulty"), layers(spark)
+    line = F.format_string('{"event_id": %d, "kind": "%s"}', "event_id", "event_type")
+    more = F.format_string('{"event_id": %d, "kind": "%s", "more": 1}', "event_id", "event_type")
+    kind = F.col("event_id") % 3
+    lines = load(spark, sf, "events").select(
+        F.when(kind == 0, line).when(kind == 1, F.substring(line, 1, 20)).otherwise(more).alias("value"))
+    lines.write.text(f"{folder}/raw")
+    sheet = contract(spark, "event_id bigint key\nkind string")
+    ingest_stream(spark, f"{folder}/raw", space, "lines", sheet, f"{folder}/checkpoint",
+                  ingest_date="2024-01-31").awaitTermination()
+    good = tables.read(spark, space.resolve("lines", "lake")).select(F.lit("accepted").alias("reason"))
+    bad = tables.read(spark, space.resolve("lines_rejected", "lake")).select("reason")
+    return good.unionByName(bad).groupBy("reason").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+SELECT event_id AS sequence, CAST(user_id AS VARCHAR) AS security_id, value AS last_price, {stamp('ts')} AS received_at,
+       '2024-01-31' AS snapshot_date
+FROM events WHERE event_type <> 'error' AND user_id % 5 <> 4 AND user_id > 0 AND event_id % 7 <> 0
+UNION ALL SELECT count(*), 'rejected', NULL, NULL, NULL FROM events
+WHERE event_id % 7 = 0 OR event_type <> 'error' AND (user_id % 5 = 4 OR user_id <= 0)
+""")
+def stream_packets_to_bronze(spark, sf):
+    # Packets, some cut off, are normalised and landed by minute, then ingested twice. The
+    # packets of a hundred-minute stretch stand in one minute, so that the folders stay few.
+    folder, space, sheet = workspace(spark, "packets"), layers(spark), market_contract(TICK_KEY)
+    cut = F.when(F.col("sequence") % 7 == 0, F.substring("payload", 1, 9)).otherwise(F.col("payload"))
+    minute = F.timestamp_seconds((F.unix_timestamp("received_at") / 864000).cast("long") * 864000)
+    made = packets(spark, sf).withColumns({"payload": cut, "real": F.col("received_at"), "received_at": minute})
+    made.write.parquet(f"{folder}/in")
+    stream = spark.readStream.schema(made.schema).parquet(f"{folder}/in")
+    land_packets(stream, f"{folder}/raw", f"{folder}/landing", interval=None).awaitTermination()
+    for run in ("first", "replay"):
+        ingest_stream(spark, f"{folder}/raw/status=accepted", space, "ticks", sheet, f"{folder}/{run}",
+                      ingest_date="2024-01-31").awaitTermination()
+    bronze_full(spark, space, "ticks", "2024-01-31", sheet)
+    ticks = tables.read(spark, space.resolve("ticks", "bronze"))
+    real = load(spark, sf, "events").select(F.col("event_id").alias("sequence"), F.col("ts").cast("timestamp").alias("received_at"))
+    good = ticks.drop("received_at").join(real, "sequence").select(
+        "sequence", "security_id", "last_price", "received_at", "snapshot_date")
+    bad = spark.read.text(f"{folder}/raw/status=rejected").agg(F.count("*").alias("sequence"))
+    return good.unionByName(bad.withColumn("security_id", F.lit("rejected")), allowMissingColumns=True)
 
 
 @query(f"SELECT {EVENT_COLUMNS} FROM events")

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 import uuid
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

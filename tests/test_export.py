@@ -27,7 +27,7 @@ def test_types(source, target):
 
 @pytest.mark.parametrize("source", ["array(varchar)", "map(varchar,int)", "decimal(39,0)", "decimal(5,6)", "decimal", "row(x int)"])
 def test_unsupported_types(source):
-    with pytest.raises(ValueError, match="Unsupported type"):
+    with pytest.raises(ValueError, match="has no type"):
         ddl_type(source)
 
 
@@ -39,9 +39,9 @@ def test_spark_types(spark):
         '"X" BLOB, "D" NUMBER(2,1), "V" CLOB, "S" CLOB)')
     row = converted(df).first()
     assert (row.B, row.V, row.I) == (1, '{"a":1}', 1)
-    with pytest.raises(ValueError, match="Unsupported type"):
+    with pytest.raises(ValueError, match="has no type"):
         create_statement(spark.sql("SELECT array(1) AS a"), "t")
-    with pytest.raises(ValueError, match="unique"):
+    with pytest.raises(ValueError, match="apart"):
         converted(spark.createDataFrame([(1, 2)], "a int, b int").toDF("a", "A"))
     with pytest.raises(ValueError):
         create_statement(df, "a.b.c")
@@ -69,7 +69,7 @@ class Recorder:
         self.log, self.staged, self.fail_on, self.present = [], staged, fail_on, present
 
     def _run(self, sql):
-        if self.fail_on and self.fail_on in sql or not self.present and sql.startswith("SELECT 1"):
+        if self.fail_on and self.fail_on in sql:
             raise RuntimeError(sql)
         self.log.append(sql.split(" (")[0])
 
@@ -108,8 +108,17 @@ class Recorder:
     def executeQuery(self, sql):
         return self
 
+    def getMetaData(self):
+        return self
+
+    def getTables(self, *names):
+        assert names == (None, "DW", "T", None)
+        self.listed = self.present
+        return self
+
     def next(self):
-        return True
+        listed, self.listed = getattr(self, "listed", True), True
+        return listed
 
     def getLong(self, _):
         return self.staged[0]

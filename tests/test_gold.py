@@ -63,16 +63,16 @@ def test_refusals_leave_gold_unchanged(spark, layers):
             publish_gold(spark, layers, *args, **kw)
         assert gold(spark, layers) == before
 
-    refused("empty", "quotes", "quotes", "delete_and_insert", "snapshot_date", "2026-10-23")
+    refused("nothing in Silver", "quotes", "quotes", "delete_and_insert", "snapshot_date", "2026-10-23")
     refused("YYYY-MM-DD", "quotes", "quotes", "delete_and_insert", "snapshot_date", "2026-10-21' OR '1'='1")
-    refused("run_date is required", "quotes", "quotes", "delete_and_insert", "snapshot_date")
-    refused("date_column is required", "quotes", "quotes", "delete_and_insert", None, "2026-10-21")
+    refused("give its run_date", "quotes", "quotes", "delete_and_insert", "snapshot_date")
+    refused("give the date_column", "quotes", "quotes", "delete_and_insert", None, "2026-10-21")
     refused("DATE or TIMESTAMP", "quotes", "quotes", "delete_and_insert", "note", "2026-10-21")
-    refused("gold namespace", "quotes", f"{layers.silver}.quotes")
-    refused("silver namespace", f"{layers.gold}.quotes", "quotes")
-    refused("Unknown Gold strategy", "quotes", "quotes", "merge")
+    refused("the gold layer", "quotes", f"{layers.silver}.quotes")
+    refused("the silver layer", f"{layers.gold}.quotes", "quotes")
+    refused("not by 'merge'", "quotes", "quotes", "merge")
     silver(spark, layers, [], SCHEMA)
-    refused("empty", "quotes", "quotes")
+    refused("nothing in Silver", "quotes", "quotes")
     assert publish_gold(spark, layers, "quotes", "quotes", "append") == 0
     assert gold(spark, layers) == before
     silver(spark, layers, [(1, "x", D1)], "id int, note string, snapshot_date date")
@@ -81,6 +81,22 @@ def test_refusals_leave_gold_unchanged(spark, layers):
     assert publish_gold(spark, layers, "quotes", "quotes", "replace") == 1
 
 
+def test_partitioning_is_checked_and_chosen(spark, layers):
+    silver(spark, layers)
+    for name in ("note", "absent", "a b"):
+        with pytest.raises(ValueError):
+            publish_gold(spark, layers, "quotes", "quotes", partition_by=name)
+    publish_gold(spark, layers, "quotes", "quotes", "delete_and_insert", "snapshot_date", "2026-10-21")
+    assert tables.partition_columns(spark, layers.resolve("quotes", "gold")) == ["snapshot_date"]
+    spec = {"target_table": "again", "sources": [{"fqn": f"{layers.silver}.quotes"}]}
+    transform_and_publish(spark, layers, spec, "again", partition_by="quote_at")
+    assert tables.day_of(spark, layers.resolve("again", "gold")) == "quote_at"
+    before = spark.catalog.listTables(layers.gold)
+    spark.range(3).write.saveAsTable(f"{layers.gold}.lost__0123456789abcdef")
+    assert tables.drop_orphans(spark, layers.gold) == ["lost__0123456789abcdef"]
+    assert len(spark.catalog.listTables(layers.gold)) == len(before)
+
+
 @pytest.mark.parametrize("partition_by", [None, "at"])
 def test_rows_without_a_date_are_kept(spark, layers, partition_by):
     schema = "id int, at timestamp_ntz"
@@ -117,7 +133,7 @@ def test_chain(spark, layers):
             "columns": [{"source_expr": "id"}, {"source_expr": "last_price * 2", "target": "price"}]}
     with pytest.raises(ValueError, match="must be the table"):
         transform_and_publish(spark, layers, spec, "doubled", silver="other")
-    with pytest.raises(ValueError, match="run_date is required"):
+    with pytest.raises(ValueError, match="give its run_date"):
         transform_and_publish(spark, layers, spec, "doubled", "delete_and_insert")
     assert not tables.exists(spark, layers.resolve("doubled", "silver"))
     with pytest.raises(ValueError, match="Data tests failed"):
@@ -128,7 +144,7 @@ def test_chain(spark, layers):
 
 
 def test_layers_must_differ():
-    with pytest.raises(ValueError, match="namespace of its own"):
+    with pytest.raises(ValueError, match="share a namespace"):
         Layers(gold="de_silver")
     for name in ("a.b.c.d", "other.de_gold.t", "de_silver.t", "t t", ""):
         with pytest.raises(ValueError):

@@ -53,7 +53,7 @@ def test_two_day_scenario(spark, layers, quotes):
         with pytest.raises(ValueError, match="No Lake rows"):
             job(spark, layers, "quotes", "2026-10-23", quotes)
     for mode in ("append", "overwrite", "replace"):
-        with pytest.raises(ValueError, match="empty Lake batch"):
+        with pytest.raises(ValueError, match="no rows for the Lake"):
             ingest(spark, layers, "quotes", day(spark, DAY1).limit(0), quotes, "2026-10-23", mode)
     assert rows(tables.read(spark, layers.resolve("quotes", "bronze"))) == before
     assert tables.read(spark, lake).count() == 6
@@ -115,7 +115,7 @@ def test_chain_and_names(spark, layers, quotes):
     assert ingest_and_promote(spark, layers, "quotes", day(spark, DAY2), quotes, DAY2, "replace") == (3, 3)
     assert state(spark, layers, "quotes", DAY2)["13"] == 24000.0
     for bad in ("Quotes", "a b", "x;drop"):
-        with pytest.raises(ValueError, match="identifier"):
+        with pytest.raises(ValueError, match="cannot be used"):
             ingest(spark, layers, bad, day(spark, DAY1), quotes, DAY1)
     for bad in ("2026-1-1", "21/10/2026", "x' OR '1"):
         with pytest.raises(ValueError, match="YYYY-MM-DD"):
@@ -127,7 +127,7 @@ def test_extra_partitions_keep_their_text(spark, layers, quotes):
         ingest(spark, layers, "quotes", day(spark, DAY1), quotes, DAY1, extra_partitions={"site": site})
     found = tables.read(spark, layers.resolve("quotes", "lake"))
     assert sorted(r[0] for r in found.select("site").distinct().collect()) == ["007", "7"]
-    with pytest.raises(ValueError, match="identifier"):
+    with pytest.raises(ValueError, match="cannot be used"):
         ingest(spark, layers, "quotes", day(spark, DAY1), quotes, DAY1, extra_partitions={"a-b": "1"})
 
 

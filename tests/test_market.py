@@ -49,10 +49,10 @@ def test_sequence_is_by_segment_and_numeric_id(spark):
 
 
 @pytest.mark.parametrize("document, message", [
-    ({"status": "failure", "data": {}}, "not successful"), ({"data": {}}, "not successful"), ("no json", "not successful"),
+    ({"status": "failure", "data": {}}, "no success"), ({"data": {}}, "no success"), ("no json", "no success"),
     ({"status": "success"}, "no data"), ({"status": "success", "data": [1]}, "no data"),
-    ({"status": "success", "data": {}}, "no instrument rows"),
-    ({"status": "success", "data": {"NSE_EQ": {"1": 2}}}, "no instrument rows"),
+    ({"status": "success", "data": {}}, "quotes no instrument"),
+    ({"status": "success", "data": {"NSE_EQ": {"1": 2}}}, "quotes no instrument"),
 ])
 def test_bad_snapshots_fail(spark, document, message):
     with pytest.raises(Exception, match=message):
@@ -113,7 +113,12 @@ def test_packets(spark):
     assert (first.exchange_segment, first.security_id, first.last_price) == ("NSE_EQ", "1333", 42.5)
     assert first["at"] == "2026-10-25 09:15:00"
     assert rows(rejected, "sequence", "reason") == [
-        (10, "invalid security_id"), (8, "invalid exchange_segment"), (9, "invalid security_id")]
+        (10, "invalid security_id"), (6, "unparsable"), (7, "unparsable"), (8, "invalid exchange_segment"),
+        (9, "invalid security_id")]
+    broken, refused = normalize_packets(packets(spark, '{"type": "Ticker Data"', "", None, {"type": "Ticker Data", **ok}))
+    assert broken.count() == 1 and rows(refused, "sequence", "reason") == [(i, "unparsable") for i in range(3)]
+    with pytest.raises(Exception, match="unparsable"):
+        normalize_packets(packets(spark, "{"), strict=True)[0].collect()
     with pytest.raises(Exception, match="invalid exchange_segment"):
         normalize_packets(packets(spark, {"type": "Ticker Data", "exchange_segment": 99}), strict=True)[0].collect()
 

@@ -10,7 +10,9 @@ from tests.conftest import rows
 from tierlake import tables
 from tierlake.plans.bronze import bronze_full
 from tierlake.sources.files import read_files
-from tierlake.streaming.ingest import dedup_stream, ingest_stream, upsert_batch
+from tierlake.sources.market import to_event_json
+from tierlake.plans.lake import ingest
+from tierlake.streaming.ingest import dedup_stream, ingest_stream, resize_buckets, upsert_batch
 from tierlake.streaming.landing import land_minutes, minute_counts, minute_glob
 
 START = datetime(2026, 10, 25, 9, 15)
@@ -67,16 +69,60 @@ def test_stream_landing_and_restart(spark, tmp_path, layers, contract):
     assert bronze_full(spark, layers, "ticks", "2026-10-25", contract) == 6
 
 
-def test_a_repeated_batch_replaces_itself(spark, layers, contract):
+def test_a_repeated_batch_replaces_itself(spark, tmp_path, layers, contract):
     from tierlake.functions.privacy import Keys
     from tierlake.streaming.ingest import _append_batch
 
     layers.ensure(spark, "lake")
-    write = _append_batch(layers, "ticks", contract, Keys(), None, "origin")
+    def writer(number):
+        checkpoint = tmp_path / f"c{number}"
+        checkpoint.mkdir()
+        (checkpoint / "metadata").write_text(f'{{"id":"{number:08d}-0000-0000-0000-000000000000"}}')
+        return _append_batch(layers, "ticks", contract, Keys(), None, str(checkpoint), False)
+
+    def found():
+        return tables.read(spark, layers.resolve("ticks", "lake"))
+
+    write = writer(1)
     for epoch, ids in ((0, range(3)), (1, range(3, 5)), (1, range(3, 5))):
-        write(events(spark, ids), epoch)
-    found = tables.read(spark, layers.resolve("ticks", "lake"))
-    assert found.count() == 5 and found.select("ingest_date").distinct().count() == 1
+        write(to_event_json(events(spark, ids)), epoch)
+    assert found().count() == 5 and found().select("ingest_date").distinct().count() == 1
+    # A checkpoint made anew begins at 0 again, and must not replace what the old one wrote.
+    writer(2)(to_event_json(events(spark, range(5, 7))), 0)
+    assert found().count() == 7 and "stream_batch" not in found().columns
+    # Batches can be appended to a streamed table.
+    ingest(spark, layers, "ticks", events(spark, range(7, 8)).select(*contract.names), contract, "2026-10-25", "append")
+    assert found().count() == 8
+
+
+def test_faulty_lines_are_set_apart(spark, tmp_path, layers, contract):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    good = to_event_json(events(spark, range(2))).collect()
+    (raw / "a.json").write_text("\n".join([*(r.value for r in good), "{broken", '{"event_id": "x", "more": 1}']) + "\n")
+
+    def run(name, strict):
+        ingest_stream(spark, str(raw), layers, name, contract, f"{tmp_path}/{name}", ingest_date="2026-10-25",
+                      strict=strict).awaitTermination()
+
+    run("ticks", False)
+    assert tables.read(spark, layers.resolve("ticks", "lake")).count() == 2
+    refused = tables.read(spark, layers.resolve("ticks_rejected", "lake"))
+    assert rows(refused, "value", "reason") == [
+        ('{"event_id": "x", "more": 1}', "undeclared: more"), ("{broken", "unparsable")]
+    with pytest.raises(Exception, match="refused"):
+        run("strict", True)
+
+
+def test_another_number_of_buckets_is_not_mixed_in(spark, layers):
+    for buckets in (4, 16):
+        upsert_batch(layers, "state", ["event_id"], "received_at", buckets)(events(spark, range(40)), 0)
+    table = layers.resolve("state", "silver")
+    assert tables.read(spark, table).count() == 40
+    assert resize_buckets(spark, layers, "state", ["event_id"], 9) == 40
+    upsert_batch(layers, "state", ["event_id"], "received_at")(events(spark, range(50), 1), 0)
+    assert tables.read(spark, table).count() == 50
+    assert tables.read(spark, table).agg(F.max("key_bucket")).first()[0] < 9
 
 
 def test_dedup(spark, tmp_path):

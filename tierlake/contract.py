@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,6 +21,9 @@ TYPES = {
     "timestamp": T.TimestampType(), "datetime": T.TimestampType(),
 }
 
+# Protection levels of a column.
+LEVELS = ("none", "", "hash", "pii", "mask")
+
 # Flags that mean yes in primary_key and is_timestamp.
 YES = ("y", "yes", "true", "1")
 
@@ -51,9 +53,9 @@ class Contract:
 
     @classmethod
     def from_frame(cls, sheet: DataFrame) -> "Contract":
-        missing = {"column_name", "datatype"} - set(sheet.columns)
-        if missing:
-            raise ValueError(f"Metadata sheet missing required columns: {sorted(missing)}")
+        for needed in ("column_name", "datatype"):
+            if needed not in sheet.columns:
+                raise ValueError(f"The contract sheet has no column {needed!r}")
 
         def text(name: str, default: str | None = None) -> Column:
             if name not in sheet.columns:
@@ -73,12 +75,16 @@ class Contract:
             F.coalesce(F.lower(text("primary_key")).isin(*YES), F.lit(False)).alias("key"),
             F.coalesce(F.lower(text("is_timestamp")).isin(*YES), F.lit(False)).alias("time"),
         ).collect()
-        if any(not row["name"] for row in rows):
-            raise ValueError("Metadata sheet contains a blank column_name")
-        counts = Counter(row["name"].lower() for row in rows)
-        repeated = sorted(name for name, n in counts.items() if n > 1)
-        if repeated:
-            raise ValueError(f"Metadata sheet contains duplicate column definitions: {repeated}")
+        seen: set[str] = set()
+        for number, row in enumerate(rows, 1):
+            if not row["name"]:
+                raise ValueError(f"Row {number} of the contract sheet names no column")
+            if row["name"].casefold() in seen:
+                raise ValueError(f"Row {number} of the contract sheet defines {row['name']!r} again")
+            seen.add(row["name"].casefold())
+            if row["level"] not in LEVELS:
+                # A typing error here would publish the column in clear.
+                raise ValueError(f"Column {row['name']!r} has an unknown security level {row['level']!r}")
         return cls(
             tuple(Field(**row.asDict()) for row in rows),
             {"data_length", "data_precision"} <= set(sheet.columns),
@@ -103,9 +109,7 @@ class Contract:
             # The sheet calls the precision "length" and the scale "precision".
             return T.DecimalType(field.length, field.precision)
         if field.datatype not in TYPES:
-            raise ValueError(
-                f"Unknown metadata datatype {field.datatype!r} for column {field.name!r}"
-            )
+            raise ValueError(f"Column {field.name!r} has the unknown type {field.datatype!r}")
         return TYPES[field.datatype]
 
     def text_schema(self) -> T.StructType:
@@ -121,17 +125,15 @@ class Contract:
 
     def check(self, df: DataFrame) -> None:
         """The column sets must be equal, in the same case. Looks at the schema only."""
-        have = {name.lower() for name in df.columns}
-        want = {name.lower(): name for name in self.names}
-        absent, extra = sorted(set(want) - have), sorted(have - set(want))
-        if absent or extra:
-            raise ValueError(
-                f"Schema validation failed. Missing from dataframe: {absent}. "
-                f"Extra in dataframe (no metadata mapping): {extra}."
-            )
-        wrong_case = sorted(name for name in df.columns if want[name.lower()] != name)
-        if wrong_case:
-            raise ValueError(f"Rename these columns to match the metadata exactly: {wrong_case}")
+        declared, present = set(self.names), set(df.columns)
+        spelling = {name.casefold(): name for name in declared}
+        faults = []
+        for name in sorted(present - declared):
+            twin = spelling.pop(name.casefold(), None)
+            faults.append(f"{name!r} must be written {twin!r}" if twin in declared - present else f"{name!r} is not declared")
+        faults += [f"{name!r} is absent" for name in sorted(declared - present) if name.casefold() in spelling]
+        if faults:
+            raise ValueError("The columns do not follow the contract: " + "; ".join(faults))
 
     def _targets(self, df: DataFrame) -> dict[str, T.DataType]:
         present = set(df.columns)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 EXCHANGE_ZONE = "Asia/Kolkata"
 NEVER = "01/01/1980 00:00:00"
 CLOCK_FORMATS = ("d/M/yyyy H:m:s", "yyyy-M-d H:m:s")
+CLOCK_FORMS = (r"^\d{1,2}/\d{1,2}/\d+ ", r"^[+-]?\d+-\d{1,2}-\d{1,2} ")
 
 
 def fields(document: Column | str, path: str, types: str) -> Column:
@@ -39,7 +40,9 @@ def exchange_time(value: Column, received_at: Column, local: bool) -> Column:
     """
     raw = F.trim(value)
     raw = F.when((value != NEVER) & (raw != ""), raw)
-    stamp = F.coalesce(*(F.try_to_timestamp(raw, F.lit(f)) for f in CLOCK_FORMATS))
+    # A format is tried only on texts of its form: a failed attempt costs an exception.
+    stamp = F.coalesce(*(
+        F.when(raw.rlike(form), F.try_to_timestamp(raw, F.lit(f))) for f, form in zip(CLOCK_FORMATS, CLOCK_FORMS)))
     if local:
         stamp = F.to_utc_timestamp(stamp, EXCHANGE_ZONE)
     clock = F.when(raw.rlike(r"^\d{2}:\d{2}(:\d{2}([.,]\d{1,6})?)?$"), F.translate(raw, ",", "."))

@@ -71,12 +71,12 @@ def protect(df: DataFrame, contract: Contract, keys: Keys = Keys()) -> DataFrame
         return df
     used = set(levels.values())
     if used & {"hash", "pii"} and (not keys.salt or keys.salt.startswith(PLACEHOLDERS)):
-        raise ValueError("Set a strong salt before processing protected columns")
+        raise ValueError("Hashed and encrypted columns need a salt of your own")
     if "pii" in used:
         if not keys.salt2 or keys.salt2.startswith(PLACEHOLDERS):
-            raise ValueError("Set a strong second salt before encrypting columns")
+            raise ValueError("Encrypted columns need a second salt of your own")
         if len(keys.cipher) not in (16, 24, 32):
-            raise ValueError("The cipher key must have 16, 24 or 32 bytes")
+            raise ValueError(f"An AES key has 16, 24 or 32 bytes, not {len(keys.cipher)}")
     rules = {
         "hash": lambda c: hmac_sha256(c, keys.salt.encode("utf-8")),
         "pii": lambda c: encrypt(c, keys.cipher, keys.salt, keys.salt2),

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,31 +49,28 @@ def date_scope(df: DataFrame, column: str, day: str | date, keep: bool = False)
     return df.filter(value.isNull() | outside) if keep else df.filter(inside)
 
 
+def _literal(text: str) -> str:
+    """SQL text of a filter value: quoted texts and numbers as they are, anything else as a text."""
+    if text[0] == "'" or _BARE_NUMBER.fullmatch(text):
+        return text
+    return "'" + text.translate(str.maketrans({"\\": r"\\", "'": r"\'"})) + "'"
+
+
 def filter_expression(item: Mapping[str, str]) -> Column | None:
     """One ``{col, op, val}`` entry; ``None`` when it has no column or no value."""
-    column = (item.get("col") or "").strip()
-    operator = " ".join((item.get("op") or "=").upper().split())
-    value = (item.get("val") or "").strip()
-    if not column:
-        return None
-    if operator in NULL_TESTS:
-        return F.expr(f"({column}) {operator}")
-    if operator not in OPERATORS:
-        raise ValueError(f"Unsupported filter operator: {operator!r}")
-    if not value:
+    column, operator, value = (str(item.get(part) or "").strip() for part in ("col", "op", "val"))
+    operator = re.sub(r"\s+", " ", operator).upper() or "="
+    if operator not in OPERATORS + NULL_TESTS:
+        raise ValueError(f"A filter cannot use {operator!r} as its operator")
+    if not column or not (value or operator in NULL_TESTS):
         return None
-    if not value.startswith("'") and not _BARE_NUMBER.fullmatch(value):
-        escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-        value = f"'{escaped}'"
-    return F.expr(f"({column}) {operator} {value}")
+    operand = "" if operator in NULL_TESTS else _literal(value)
+    return F.expr(f"({column}) {operator} {operand}")
 
 
 def apply_filters(df: DataFrame, filters: Iterable[Mapping[str, str]]) -> DataFrame:
-    for item in filters:
-        condition = filter_expression(item)
-        if condition is not None:
-            df = df.filter(condition)
-    return df
+    conditions = [c for c in map(filter_expression, filters) if c is not None]
+    return reduce(DataFrame.filter, conditions, df)
 
 
 def require_rows(df: DataFrame, message: str) -> None:

@@ -23,16 +23,17 @@ def join_type(text: str | None) -> str:
     if name == "CROSS JOIN":
         raise ValueError("CROSS JOIN pairs every row with every row; give join conditions")
     if name not in JOIN_TYPES:
-        raise ValueError(f"Unsupported join type: {name!r}")
+        raise ValueError(f"Sources cannot be joined by {name!r}")
     return JOIN_TYPES[name]
 
 
 def equal_pairs(conditions: Sequence[Mapping[str, str]] | None) -> list[tuple[str, str]]:
-    pairs = [((c.get("lh") or "").strip(), (c.get("rh") or "").strip()) for c in conditions or ()]
-    pairs = [(left, right) for left, right in pairs if left and right]
-    if not pairs:
-        raise ValueError("A joined source needs at least one condition lh = rh")
-    return pairs
+    """The conditions that have both sides; a source without any would pair all rows."""
+    sides = ([str(c.get(side) or "").strip() for side in ("lh", "rh")] for c in conditions or ())
+    complete = [(left, right) for left, right in sides if left and right]
+    if complete:
+        return complete
+    raise ValueError("A join needs a condition with both sides, lh and rh")
 
 
 def _left_to_right(right: DataFrame, alias: str, pairs: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:

@@ -74,14 +74,15 @@ def day_gap(df: DataFrame, key: str, date: str, order_by: Sequence[str], name: s
     distinct dates of a key, however many rows they stand for. The join back is one that
     AQE can split.
     """
-    place = F.struct(*(F.col(c) for c in order_by))
+    # A single column keeps the aggregate a hash aggregate.
+    place = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*(F.col(c) for c in order_by))
     dates = df.filter(F.col(date).isNotNull()).groupBy(key, date).agg(F.max(place).alias("_last"))
     known = _next_date(dates, key, date, "_next").select(
         F.col(key).alias("_k"), F.col(date).alias("_d"), "_last", "_next")
     gap = F.timestamp_diff("DAY", F.col(date).cast("timestamp"), F.col("_next").cast("timestamp"))
     return (
         df.join(known, F.col(key).eqNullSafe(F.col("_k")) & (F.col(date) == F.col("_d")), "left")
-        .withColumn(name, F.when(place == F.col("_last"), gap)
+        .withColumn(name, F.when(place.eqNullSafe(F.col("_last")), gap)
                     .when(F.col(date).isNotNull(), F.lit(0)))
         .select(*df.columns, name)
     )

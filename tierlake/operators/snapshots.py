@@ -41,30 +41,43 @@ def merge_snapshots(previous: DataFrame, batch: DataFrame, keys: Sequence[str],
     The larger time wins, so a late record never replaces a newer state; on equal times,
     or without a time column, the batch wins. Columns are matched by name and must agree.
 
-    With ``previous_unique`` (the snapshot was built with the same keys) only rows whose
-    key is in the batch are ranked. The rest of the snapshot, usually nearly all of it,
-    passes through two joins against the batch, without a shuffle while the batch is
-    small enough for Spark to broadcast.
+    With ``previous_unique`` (the snapshot was built with the same keys) nothing of the
+    snapshot is ranked: its rows and those of the batch, both one per key, meet in one full
+    join. The snapshot is shuffled once, the batch once for its own ranking and the join
+    together, and a key has at most two rows, so no key is hot.
     """
     if not keys:
         return batch.unionByName(previous).distinct()
     columns = batch.columns
     batch = latest_per_key(batch, keys, order_by)
-    untouched, rivals = None, previous.select(*columns)
     if previous_unique:
-        arrived = batch.select(*(F.col(f"`{k}`").alias(f"_k{i}") for i, k in enumerate(keys)))
-        same = F.lit(True)
-        for i, key in enumerate(keys):
-            same = same & F.col(f"`{key}`").eqNullSafe(F.col(f"_k{i}"))
-        untouched = rivals.join(arrived, same, "left_anti")
-        rivals = rivals.join(arrived, same, "left_semi")
-    ranked = batch.withColumn("_old", F.lit(0)).unionByName(rivals.withColumn("_old", F.lit(1)))
+        return _newer_of_two(previous.select(*columns), batch, keys, order_by)
+    ranked = batch.withColumn("_old", F.lit(0)).unionByName(previous.select(*columns).withColumn("_old", F.lit(1)))
     time, *ties = _newest_first(batch, keys, order_by) or [F.lit(0)]
     if order_by in batch.columns:
         order = [time, F.col("_old"), *ties]
     else:
         order = [F.col("_old"), time, *ties]
     newest = Window.partitionBy(*keys).orderBy(*order)
-    winners = (ranked.withColumn("_rn", F.row_number().over(newest))
-               .filter("_rn = 1").select(*columns))
-    return winners if untouched is None else winners.unionByName(untouched)
+    return ranked.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").select(*columns)
+
+
+def _newer_of_two(previous: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: str | None) -> DataFrame:
+    """One row per key of two frames that have one row per key each."""
+    columns = batch.columns
+    old = previous.select(*(F.col(f"`{c}`").alias(f"_o{i}") for i, c in enumerate(columns)), F.lit(True).alias("_old"))
+    new = batch.select(*(F.col(f"`{c}`").alias(f"_n{i}") for i, c in enumerate(columns)), F.lit(True).alias("_new"))
+    same = F.lit(True)
+    for key in keys:
+        at = columns.index(key)
+        same = same & F.col(f"_o{at}").eqNullSafe(F.col(f"_n{at}"))
+    wins = F.col("_old").isNull()
+    if order_by in columns:
+        at = columns.index(order_by)
+        before, now = F.col(f"_o{at}"), F.col(f"_n{at}")
+        wins = wins | (F.col("_new") & (before.isNull() | F.coalesce(now >= before, F.lit(False))))
+    else:
+        wins = wins | F.col("_new").isNotNull()
+    wins = F.coalesce(wins, F.lit(False))
+    return old.join(new, same, "full").select(*(
+        F.when(wins, F.col(f"_n{i}")).otherwise(F.col(f"_o{i}")).alias(c) for i, c in enumerate(columns)))

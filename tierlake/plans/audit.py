@@ -66,9 +66,10 @@ def read_runs(spark: SparkSession, layers: Layers) -> DataFrame:
     return tables.read(spark, layers.resolve("runs", "audit"))
 
 
-def run_sql(spark: SparkSession, query: str, limit: int = 500) -> DataFrame:
-    """An ad-hoc query over the layers, with a bounded answer."""
-    return spark.sql(query).limit(limit)
+def run_sql(spark: SparkSession, query: str, limit: int | None = None) -> DataFrame:
+    """An ad-hoc query over the layers. Its whole answer, unless a number of rows is asked for."""
+    answer = spark.sql(query)
+    return answer if limit is None else answer.limit(limit)
 
 
 def list_columns(spark: SparkSession, layers: Layers, layer: str | None = None) -> DataFrame:

@@ -26,7 +26,7 @@ def ingest_and_promote(spark: SparkSession, layers: Layers, app: str, df: DataFr
 def transform_and_publish(spark: SparkSession, layers: Layers, spec: Mapping, gold: str,
                           strategy: str = "replace", date_column: str | None = None,
                           run_date: str | None = None, silver: str | None = None,
-                          tests: Sequence[Mapping] = ()) -> tuple[int, int]:
+                          tests: Sequence[Mapping] = (), partition_by: str | None = None) -> tuple[int, int]:
     """Silver, then Gold. The Gold arguments are checked before Silver is built, and Gold
     is published only when Silver and its tests succeeded."""
     target = layers.resolve((spec.get("target_table") or "").strip(), "silver")
@@ -34,4 +34,5 @@ def transform_and_publish(spark: SparkSession, layers: Layers, spec: Mapping, go
     if source != target:
         raise ValueError("The Gold source must be the table that the specification writes")
     built = run_silver(spark, layers, spec, run_date, tests)
-    return built, publish_gold(spark, layers, target.table, gold, strategy, date_column, run_date)
+    return built, publish_gold(
+        spark, layers, target.table, gold, strategy, date_column, run_date, partition_by)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tierlake import tables
@@ -18,18 +18,28 @@ def plan_publish(layers: Layers, silver: str, gold: str, strategy: str = "replac
     """Check the arguments without reading anything: (source, target, strategy)."""
     source, target = layers.resolve(silver, "silver"), layers.resolve(gold, "gold")
     if strategy not in STRATEGIES:
-        raise ValueError(f"Unknown Gold strategy: {strategy!r}")
+        raise ValueError(f"Gold can be published by {', '.join(STRATEGIES)}, not by {strategy!r}")
     if day is not None:
         run_day(day)
     if STRATEGIES[strategy] == "delete_and_insert":
         if day is None:
-            raise ValueError("run_date is required for delete_and_insert")
+            raise ValueError("delete_and_insert replaces one date: give its run_date")
         if not date_column:
-            raise ValueError("date_column is required for delete_and_insert")
+            raise ValueError("delete_and_insert replaces one date: give the date_column")
         identifier(date_column)
     return source, target, STRATEGIES[strategy]
 
 
+def _partitioning(source: DataFrame, name: str) -> tuple[list[str], str | None]:
+    """(partition columns, timestamp column whose day partitions) for a column of the source."""
+    field = next((f for f in source.schema if f.name.lower() == identifier(name).lower()), None)
+    if field is not None and isinstance(field.dataType, T.DateType):
+        return [field.name], None
+    if field is not None and isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return [], field.name
+    raise ValueError(f"Gold is partitioned by a DATE or TIMESTAMP column of Silver; {name!r} is none")
+
+
 def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, strategy: str = "replace",
                  date_column: str | None = None, day: str | None = None,
                  partition_by: str | None = None) -> int:
@@ -47,13 +57,13 @@ def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, st
         match = [f for f in source.schema if f.name.lower() == date_column.lower()]
         kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
         if not match or not isinstance(match[0].dataType, kinds):
-            raise ValueError("date_column must be a DATE or TIMESTAMP column in Silver")
+            raise ValueError(f"{date_column!r} is no DATE or TIMESTAMP column of Silver")
         date_column = match[0].name
         source = date_scope(source, date_column, day)
     if source.isEmpty():
         if strategy == "append":
             return 0
-        require_rows(source, "Refusing an empty Gold replacement; Gold was not changed")
+        require_rows(source, "There is nothing in Silver to publish; Gold stays as it is")
     layers.ensure(spark, "gold")
     present = tables.exists(spark, target_name)
     parts, day_of = [], None
@@ -66,9 +76,11 @@ def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, st
         day_of = tables.day_of(spark, target_name)
         day_of = day_of if day_of in source.columns else None
         parts = [p for p in tables.partition_columns(spark, target_name) if p in source.columns]
+    if partition_by is None and strategy == "delete_and_insert" and not present:
+        # So that the next date replaces one partition.
+        partition_by = date_column
     if partition_by:
-        by_day = not isinstance(source.schema[partition_by].dataType, T.DateType)
-        parts, day_of = ([], partition_by) if by_day else ([partition_by], None)
+        parts, day_of = _partitioning(source, partition_by)
     if strategy == "append" and present:
         return tables.append(spark, target_name, source)
     if strategy == "delete_and_insert" and present:

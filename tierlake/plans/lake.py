@@ -31,9 +31,9 @@ def write_lake(spark: SparkSession, df: DataFrame, table: TableName, ingest_date
     every scan task writes its own file and nothing is shuffled.
     """
     if mode not in MODES:
-        raise ValueError(f"Invalid write mode: {mode!r}")
+        raise ValueError(f"The Lake is written by {', '.join(MODES)}, not by {mode!r}")
     extras = {job_name(k, "partition column"): v for k, v in (extra_partitions or {}).items()}
-    require_rows(df, "Refusing to publish an empty Lake batch; verify the source and the date")
+    require_rows(df, "The source has no rows for the Lake; nothing was written")
     stamped = df.withColumns({
         "ingest_date": F.lit(run_day(ingest_date)),
         **{name: F.lit(value) for name, value in extras.items()},

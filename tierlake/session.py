@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -30,10 +29,9 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def workspace(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir`` that every executor can reach."""
+    """A fresh folder that every executor can reach: below ``spark.checkpoint.dir``, or below
+    the warehouse, which is shared as well, where that is not set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("Set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="tierlake-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,70 +39,99 @@ def newest_file(files: DataFrame) -> str | None:
     return files.agg(F.max_by("path", F.struct("modificationTime", "path"))).first()[0]
 
 
-def _with_dates(pattern: str, day, tokens: Iterable[str], lead: str = "") -> str:
-    for token in tokens:
-        pattern = pattern.replace(lead + token, lead + day.strftime(DATE_TOKENS[token]))
-    return pattern
+def _candidates(pattern: str, day) -> list[str]:
+    """What a pattern may mean for a day, in the order in which it is tried."""
+    tokens = [(token, day.strftime(form)) for token, form in DATE_TOKENS.items()]
+    if re.search(r"[*?\[]", pattern):
+        for token, text in tokens:
+            pattern = pattern.replace(token, text)
+        return [pattern]
+    marked = [pattern.replace(f"__{token}", f"__{text}") for token, text in tokens if f"__{token}" in pattern]
+    # The longest token is the one meant: YYYY-MM-DD is listed before its parts.
+    return [pattern, *marked[:1]]
+
+
+def _newest_dated(spark: SparkSession, pattern: str, day) -> str | None:
+    """The newest of the files ``<prefix>__<date>.*`` with the day in a listed format."""
+    prefix, separator, _ = pattern.rpartition("__")
+    if not separator or not exists(spark, f"{prefix}__*"):
+        return None
+    forms = [re.escape(day.strftime(form)) for form in LISTED_FORMATS]
+    name = re.escape(prefix.rpartition("/")[2])
+    wanted = f"(^|/){name}__({'|'.join(forms)})([.][^/]*)?$"
+    return newest_file(list_files(spark, f"{prefix}__*").filter(F.col("path").rlike(wanted)))
 
 
 def resolve_dated_file(spark: SparkSession, pattern: str, day: str) -> str:
     """The file, or the glob, that ``pattern`` means for a day.
 
-    A glob has its date tokens filled in and must match something. Otherwise an existing
-    path is taken as it is; then ``__TOKEN`` is filled in and must exist; then, for a ``__``
-    without token, the newest ``<prefix>__<date>.*`` with the day in any listed format.
+    Tried in turn: the pattern as it stands (a glob with its date tokens filled in), the
+    pattern with the token after ``__`` filled in, and, for a ``__`` without a token, the
+    newest file whose date part is the day in any listed format.
     """
     day = run_day(day)
-    if re.search(r"[*?\[]", pattern):
-        glob = _with_dates(pattern, day, DATE_TOKENS)
-        if not exists(spark, glob):
-            raise FileNotFoundError(f"Nothing matches {glob!r}")
-        return glob
-    if exists(spark, pattern):
-        return pattern
-    if "__" not in pattern:
-        raise FileNotFoundError(f"{pattern!r} does not exist and has no '__' date part")
-    token = next((t for t in DATE_TOKENS if f"__{t}" in pattern), None)
-    if token:
-        dated = _with_dates(pattern, day, [token], "__")
-        if not exists(spark, dated):
-            raise FileNotFoundError(f"{pattern!r} means {dated!r}, which does not exist")
-        return dated
-    prefix = pattern.rsplit("__", 1)[0]
-    siblings = prefix + "__*"
-    if exists(spark, siblings):
-        # The date part runs from the separator to the first dot of the file name.
-        name = prefix.rsplit("/", 1)[-1]
-        last = F.element_at(F.split("path", "/"), -1)
-        part = F.split(F.substr(last, F.lit(len(name) + 3)), r"\.")[0]
-        dated = newest_file(list_files(spark, siblings).filter(part.isin(*(day.strftime(f) for f in LISTED_FORMATS))))
-        if dated is not None:
-            return dated
-    raise FileNotFoundError(f"No file {prefix!r}__<date> for {day}")
+    tried = _candidates(pattern, day)
+    for path in tried:
+        if exists(spark, path):
+            return path
+    found = _newest_dated(spark, pattern, day) if len(tried) == 1 and "*" not in pattern else None
+    if found is None:
+        raise FileNotFoundError(f"No input for {day}: looked for {', '.join(tried)}")
+    return found
 
 
 def file_format(path: str) -> str:
-    extension = path.rsplit(".", 1)[-1].lower()
-    if extension not in FORMATS:
-        raise ValueError(f"Unsupported format '.{extension}'. Supported: {FORMATS}")
-    return extension
+    """The format that a file's extension stands for."""
+    ending = path[path.rfind(".") + 1:].lower()
+    if ending in FORMATS:
+        return ending
+    raise ValueError(f"{path!r} ends in {ending!r}; files of {', '.join(FORMATS)} can be read")
 
 
 def _read_json(spark: SparkSession, path: str, contract: Contract | None, strict: bool) -> DataFrame:
+    lines = spark.read.option("mode", "FAILFAST")
     if contract is None:
-        return spark.read.json(path)
+        return lines.json(path)
     schema = contract.json_schema()
     if not strict:
-        return spark.read.schema(schema).json(path)
+        return lines.schema(schema).json(path)
     lines = spark.read.option("singleVariantColumn", "_line").json(path)
-    names = F.map_keys(F.variant_get("_line", "$", "map<string,variant>"))
+    names = F.map_keys(F.try_variant_get("_line", "$", "map<string,variant>"))
     extra = F.array_except(names, F.array(*(F.lit(name) for name in contract.names)))
-    refuse = F.raise_error(F.concat(F.lit("Fields without metadata mapping: "), F.concat_ws(", ", extra)))
-    known = lines.filter(F.when(F.size(extra) == 0, True).otherwise(refuse.cast("boolean")))
+    fault = F.when(names.isNull(), F.lit("A line is no JSON object")).when(
+        F.size(extra) > 0, F.concat(F.lit("Fields that the contract does not declare: "), F.concat_ws(", ", extra)))
+    known = lines.filter(F.when(fault.isNull(), True).otherwise(F.raise_error(fault).cast("boolean")))
     kinds = ", ".join(f"`{field.name}`: {field.dataType.simpleString()}" for field in schema)
     return known.select(F.variant_get("_line", "$", f"struct<{kinds}>").alias("_row")).select("_row.*")
 
 
+def _header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+    """The files of a path in groups of one header each; one group needs no look into the files."""
+    files = spark.read.option("header", True).csv(path).inputFiles()
+    if len(files) < 2:
+        return [files]
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))
+    # The ids of a task rise along a file, so the first line of its first block has the least.
+    first = lines.filter("block = 0 AND value <> ''").groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return [row["files"] for row in first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()]
+
+
+def _read_csv(spark: SparkSession, path: str, infer: bool) -> DataFrame:
+    """Columns by name, whatever their order in a file; a row with a cell too many or too few fails the job."""
+    parts = []
+    for files in _header_groups(spark, path):
+        reader = spark.read.option("header", True)
+        schema = reader.option("inferSchema", infer).csv(files).schema
+        reader = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+        parts.append(reader.schema(schema).csv(files))
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return whole
+
+
 def read_files(spark: SparkSession, path: str, contract: Contract | None = None, *,
                strict: bool = True) -> DataFrame:
     """Scan CSV, JSON lines or Parquet, chosen by extension.
@@ -112,13 +140,14 @@ def read_files(spark: SparkSession, path: str, contract: Contract | None = None,
     the data. With a contract there is one pass, and the cast follows: CSV columns come as
     text; JSON fields come as text or VARIANT, and a line with a field outside the contract
     fails the job. ``strict=False`` ignores such fields and is faster. A contract field that no
-    line has is null.
+    line has is null. A line that is no JSON object, and a CSV row that is longer or shorter
+    than its header, fail the job; CSV files with other orders of columns are read by name.
     """
     kind = file_format(path)
     if not exists(spark, path):
         raise FileNotFoundError(path)
     if kind == "csv":
-        return spark.read.option("header", True).option("inferSchema", contract is None).csv(path)
+        return _read_csv(spark, path, contract is None)
     if kind == "json":
         return _read_json(spark, path, contract, strict)
     return spark.read.parquet(path)

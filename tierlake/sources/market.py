@@ -91,23 +91,23 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
     status = F.lower(F.coalesce(m.fields("_doc", "$.status", "string"), F.lit("")))
     data = m.fields("_doc", "$.data", f"map<string, map<string, {QUOTE}>>")
     parsed = parsed.withColumn("_data", F.when(status == "success", data).otherwise(
-        F.raise_error(F.lit("Snapshot payload is not successful"))))
+        F.raise_error(F.lit("A snapshot payload reports no success"))))
 
     def quotes(segment: Column) -> Column:
+        # The depth becomes text here: a struct with a VARIANT could not be sorted.
         return F.transform(
             F.filter(F.map_entries(segment["value"]), lambda e: e["value"].isNotNull()),
-            lambda e: F.struct(segment["key"].alias("segment"), e["key"].alias("id"), e["value"].alias("q")))
+            lambda e: F.struct(
+                segment["key"].alias("segment"), F.length(e["key"]).alias("size"), e["key"].alias("id"),
+                e["value"].dropFields("depth").alias("q"), m.stable_json(e["value"]["depth"]).alias("depth")))
 
     segments = F.filter(F.map_entries("_data"), lambda e: e["value"].isNotNull())
     listed = parsed.select("batch_id", "received_at", F.when(
-        F.col("_data").isNotNull(), F.flatten(F.transform(segments, quotes)),
-    ).otherwise(F.raise_error(F.lit("Snapshot payload has no data object"))).alias("_quotes"))
-    # A VARIANT cannot be compared, so the positions are sorted and the quotes picked by them.
-    places = F.array_sort(F.transform(F.col("_quotes"), lambda q, i: F.struct(
-        q["segment"].alias("segment"), F.length(q["id"]).alias("size"), q["id"].alias("id"), i.alias("at"))))
-    in_order = listed.withColumn("_places", places).select("batch_id", "received_at", F.when(
-        F.size("_places") > 0, F.transform("_places", lambda p: F.get("_quotes", p["at"])),
-    ).otherwise(F.raise_error(F.lit("Snapshot payload contains no instrument rows"))).alias("_quotes"))
+        F.col("_data").isNotNull(), F.array_sort(F.flatten(F.transform(segments, quotes))),
+    ).otherwise(F.raise_error(F.lit("A snapshot payload holds no data object"))).alias("_quotes"))
+    in_order = listed.select("batch_id", "received_at", F.when(
+        F.size("_quotes") > 0, F.col("_quotes"),
+    ).otherwise(F.raise_error(F.lit("A snapshot payload quotes no instrument"))).alias("_quotes"))
     # The outer form: for the plain one Spark infers a filter on the size of the array and
     # pushes it, with all that leads to the array, below the parser. No array is empty here.
     rows = in_order.select(
@@ -126,7 +126,7 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
         trading_date=m.trading_date(F.col("_time"), received),
         **{name: F.col(f"q.{name}") for name in same_name},
         **{name: F.col(f"q.ohlc.{name}") for name in ("open", "high", "low", "close")},
-        open_interest=F.col("q.oi"), depth_json=m.stable_json(F.col("q.depth")),
+        open_interest=F.col("q.oi"), depth_json=F.col("depth"),
     ))
 
 
@@ -137,33 +137,27 @@ def _lookup(key: Column, table: dict) -> Column:
     return result
 
 
-def normalize_packets(packets: DataFrame, strict: bool = False,
-                      source: str = "broker") -> tuple[DataFrame, DataFrame]:
-    """``(payload, batch_id, sequence, received_at)`` rows to ``(records, rejected)``.
+def tag_packets(packets: DataFrame, source: str = "broker") -> DataFrame:
+    """``(payload, batch_id, sequence, received_at)`` rows to ``(reason, payload, record)`` rows.
 
-    Packets of other types (control packets) are left out. A packet of a known type without
-    a valid segment code or security id is rejected, or fails the job when ``strict``.
-    Works on batch and streaming frames.
+    Packets of other types (control packets) are left out. A packet that is no JSON object,
+    or of a known type without a valid segment code or security id, has a reason and no
+    record. One pass: readers of both kinds should split what this has written.
     """
     # The one-element explode keeps the filters above the parser: pushed below it, each of
     # them would parse the payload once more.
-    packet = m.fields(F.try_parse_json("payload"), "$", PACKET)
-    parsed = packets.select("*", F.explode_outer(F.array(packet)).alias("p"))
-    known = parsed.withColumn(
-        "_feed", _lookup(F.lower(F.trim("p.type")), FEED_TYPES)
-    ).filter(F.col("_feed").isNotNull()).withColumn(
-        "_segment", _lookup(F.col("p.exchange_segment"), SEGMENT_CODES))
+    document = F.try_parse_json("payload")
+    read = F.struct(m.fields(document, "$", PACKET).alias("p"), F.schema_of_variant(document).startswith("OBJECT").alias("ok"))
+    parsed = packets.select("*", F.explode(F.array(read)).alias("_read")).select("*", "_read.*").drop("_read")
+    feed = _lookup(F.lower(F.trim("p.type")), FEED_TYPES)
+    segment = _lookup(F.col("p.exchange_segment"), SEGMENT_CODES)
+    ok = F.coalesce(F.col("ok"), F.lit(False))
+    known = parsed.withColumns({"_feed": feed, "_segment": segment}).filter(~ok | F.col("_feed").isNotNull())
     reason = (
-        F.when(F.col("_segment").isNull(), "invalid exchange_segment")
+        F.when(~ok, "unparsable")
+        .when(F.col("_segment").isNull(), "invalid exchange_segment")
         .when(F.coalesce(F.col("p.security_id"), F.lit(0)) <= 0, "invalid security_id")
     )
-    if strict:
-        accepted = known.filter(F.when(reason.isNull(), True).otherwise(
-            F.raise_error(F.concat(F.lit("Live packet has an "), reason)).cast("boolean")))
-    else:
-        accepted = known.filter(reason.isNull())
-    rejected = known.filter(reason.isNotNull()).select(
-        "payload", "batch_id", "sequence", "received_at", reason.alias("reason"))
 
     # A close of nothing, "", 0 or false falls back to the previous close.
     close = F.to_json("p.close")
@@ -172,8 +166,9 @@ def normalize_packets(packets: DataFrame, strict: bool = False,
         | F.coalesce(close.try_cast("double") == 0, F.lit(False))
     )
     received = F.col("received_at")
-    rows = accepted.withColumn("_time", m.exchange_time(F.col("p.LTT"), received, local=False))
-    return rows.select(*record(
+    rows = known.withColumns({
+        "reason": reason, "_time": m.exchange_time(F.col("p.LTT"), received, local=False)})
+    values = record(
         source=F.lit(source), batch_id=F.col("batch_id"), sequence=F.col("sequence"),
         event_id=m.event_id(F.col("batch_id"), F.col("_segment"), F.col("p.security_id"), F.col("sequence")),
         feed_type=F.col("_feed"), exchange_segment=F.col("_segment"),
@@ -187,7 +182,30 @@ def normalize_packets(packets: DataFrame, strict: bool = False,
         open_interest=F.col("p.OI"), previous_open_interest=F.col("p.prev_OI"),
         oi_day_high=F.col("p.oi_day_high"), oi_day_low=F.col("p.oi_day_low"),
         depth_json=m.stable_json(F.col("p.depth")),
-    )), rejected
+    )
+    return rows.select("reason", "payload", *values)
+
+
+def rejects(tagged: DataFrame) -> DataFrame:
+    """The packets of ``tag_packets`` that have a reason, for a table of their own."""
+    return tagged.filter(F.col("reason").isNotNull()).select(
+        "payload", "batch_id", "sequence", "received_at", "reason")
+
+
+def normalize_packets(packets: DataFrame, strict: bool = False,
+                      source: str = "broker") -> tuple[DataFrame, DataFrame]:
+    """``(payload, batch_id, sequence, received_at)`` rows to ``(records, rejected)``.
+
+    See ``tag_packets``; with ``strict`` a packet with a reason fails the job. Works on batch
+    and streaming frames. Each of the two frames parses the payloads: a job that writes
+    both should write the tagged rows once, as ``land_packets`` does.
+    """
+    tagged = tag_packets(packets, source)
+    good = F.col("reason").isNull()
+    if strict:
+        good = F.when(good, True).otherwise(F.raise_error(
+            F.concat(F.lit("A live packet is refused: "), F.col("reason"))).cast("boolean"))
+    return tagged.filter(good).select(*RECORD), rejects(tagged)
 
 
 def json_columns(df: DataFrame) -> list[Column]:

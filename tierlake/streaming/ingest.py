@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -16,52 +15,93 @@ from tierlake.names import Layers, TableName, job_name, run_day
 from tierlake.operators.snapshots import latest_per_key, merge_snapshots
 from tierlake.plans.lake import prepare
 
+# The physical partitions of a streamed Lake table; the batch is not among its columns.
 STREAM_PARTITIONS = ("ingest_date", "stream_batch")
+HIDDEN = ("stream_batch",)
 
 
-def read_landed(spark: SparkSession, path: str, contract: Contract, *, max_files: int | None = None) -> DataFrame:
-    """A stream of landed JSON lines, with the contract's columns as text."""
-    reader = spark.readStream.schema(contract.text_schema()).option("recursiveFileLookup", True)
+def read_landed(spark: SparkSession, path: str, *, max_files: int | None = None) -> DataFrame:
+    """A stream of landed lines, as text; what they hold is checked by ``tag_lines``."""
+    reader = spark.readStream.option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.json(path)
+    return reader.text(path)
+
+
+def tag_lines(lines: DataFrame, contract: Contract) -> DataFrame:
+    """Lines as ``_line``, the contract's columns as text, and ``_reason`` where there is a fault.
+
+    A line that is no JSON object is ``unparsable``; one with fields outside the contract
+    names them. A contract field that a line lacks is null.
+    """
+    names = F.json_object_keys("value")
+    extra = F.array_except(names, F.array(*(F.lit(name) for name in contract.names)))
+    reason = F.when(names.isNull(), "unparsable").when(
+        F.size(extra) > 0, F.concat(F.lit("undeclared: "), F.concat_ws(", ", extra)))
+    fields = F.from_json("value", contract.text_schema())
+    return lines.select(F.col("value").alias("_line"), reason.alias("_reason"), fields.alias("_fields")).select(
+        "_line", "_reason", "_fields.*")
+
+
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave a checkpoint when it was made: one made anew at a path has another."""
+    found = spark.read.text(f"{checkpoint.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+    return found.replace("-", "")[:16]
 
 
 def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
-                  ingest_date: str | None, origin: str) -> Callable[[DataFrame, int], None]:
+                  ingest_date: str | None, checkpoint: str, strict: bool) -> Callable[[DataFrame, int], None]:
     table = layers.resolve(job_name(app), "lake")
+    refused = layers.resolve(job_name(f"{app}_rejected"), "lake")
+
+    def publish(spark: SparkSession, name: TableName, rows: DataFrame) -> None:
+        if tables.exists(spark, name):
+            # A batch that runs again overwrites its own partitions only.
+            tables.overwrite_partitions(spark, name, rows)
+        else:
+            tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True)
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        rows = prepare(batch.select(*contract.names), contract, keys)
-        day = F.to_date(contract.order_by) if ingest_date is None else F.lit(run_day(ingest_date))
-        stamped = rows.withColumns({"ingest_date": day, "stream_batch": F.lit(f"{origin}-{epoch}")})
-        if tables.exists(spark, table):
-            # A batch that runs again overwrites its own partitions only.
-            tables.overwrite_partitions(spark, table, stamped)
+        mark = F.lit(f"{checkpoint_id(spark, checkpoint)}-{epoch}")
+        tagged = tag_lines(batch, contract)
+        fault = F.col("_reason")
+        if strict:
+            good = F.when(fault.isNull(), True).otherwise(F.raise_error(
+                F.concat(F.lit("A landed line is refused: "), fault)).cast("boolean"))
         else:
-            tables.replace(spark, table, stamped, STREAM_PARTITIONS, allow_empty=True)
+            good = fault.isNull()
+        rows = prepare(tagged.filter(good).select(*contract.names), contract, keys)
+        day = F.to_date(contract.order_by) if ingest_date is None else F.lit(run_day(ingest_date))
+        publish(spark, table, rows.withColumns({"ingest_date": day, "stream_batch": mark}))
+        bad = tagged.filter(fault.isNotNull()).select(F.col("_line").alias("value"), fault.alias("reason"))
+        if not strict and not bad.isEmpty():
+            today = F.current_date() if ingest_date is None else F.lit(run_day(ingest_date))
+            publish(spark, refused, bad.withColumns({"ingest_date": today, "stream_batch": mark}))
 
     return write
 
 
 def ingest_stream(spark: SparkSession, path: str, layers: Layers, app: str, contract: Contract, checkpoint: str,
                   *, ingest_date: str | None = None, keys: Keys = Keys(), interval: str | None = None,
-                  max_files: int | None = None) -> StreamingQuery:
+                  max_files: int | None = None, strict: bool = False) -> StreamingQuery:
     """Append landed files to the Lake, each file once per checkpoint.
 
-    Every micro-batch has a partition of its own, named after checkpoint and batch number,
-    so a batch that is repeated after a failure replaces itself. Without ``ingest_date`` a
-    row's date is that of its contract timestamp.
+    Every micro-batch has a partition of its own, named after the checkpoint's id and the
+    batch number, so a batch that is repeated after a failure replaces itself. The table
+    does not show it: a streamed table reads like one written in batches, and batches may be
+    appended to it. Without ``ingest_date`` a row's date is that of its contract timestamp.
+
+    Lines that are no JSON object or have fields outside the contract go to the Lake table
+    ``<app>_rejected`` with their reason; with ``strict`` they fail the query.
     """
     layers.ensure(spark, "lake")
-    origin = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     if ingest_date is None and contract.order_by is None:
         raise ValueError("Give an ingest_date, or a contract with a timestamp column")
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
-        read_landed(spark, path, contract, max_files=max_files).writeStream
-        .foreachBatch(_append_batch(layers, app, contract, keys, ingest_date, origin))
+        read_landed(spark, path, max_files=max_files).writeStream
+        .foreachBatch(_append_batch(layers, app, contract, keys, ingest_date, checkpoint, strict))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
@@ -79,25 +119,48 @@ def dedup_stream(df: DataFrame, key: str, time: str | None = None, delay: str |
     return df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+_BUCKETS = "tierlake.buckets"
+
+
+def _bucket(keys: Sequence[str], number: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(number)).cast("int").alias("key_bucket")
+
+
+def resize_buckets(spark: SparkSession, layers: Layers, name: str, keys: Sequence[str], buckets: int) -> int:
+    """Deal the rows of an upserted table into another number of buckets, as a new version.
+
+    A bucket is what a micro-batch rewrites at least, so a state that has grown wants more.
+    """
+    table = layers.resolve(name, "silver")
+    rows = tables.read(spark, table).withColumn("key_bucket", _bucket(keys, buckets))
+    count = tables.replace(spark, table, rows, ["key_bucket"], allow_empty=True)
+    tables.set_property(spark, table, _BUCKETS, str(buckets))
+    return count
+
+
 def upsert_batch(layers: Layers, name: str, keys: Sequence[str], order_by: str | None = None,
                  buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that keeps the newest row per key in a Silver table.
 
     A late row never replaces a newer one, and a repeated batch changes nothing. The table
     is partitioned by a hash of the key: a batch rewrites only the buckets it touches.
+    ``buckets`` is for the first batch; the table keeps their number, and later batches go by
+    it. ``resize_buckets`` changes it.
     """
     table: TableName = layers.resolve(name, "silver")
 
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        # Stored strings and numbers hash alike whatever batch they come in.
-        newest = latest_per_key(batch, keys, order_by).withColumn(
-            "key_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
         layers.ensure(spark, "silver")
-        if not tables.exists(spark, table):
+        present = tables.exists(spark, table)
+        number = int(tables.properties(spark, table)[_BUCKETS]) if present else buckets
+        # Stored strings and numbers hash alike whatever batch they come in.
+        newest = latest_per_key(batch, keys, order_by).withColumn("key_bucket", _bucket(keys, number))
+        if not present:
             tables.replace(spark, table, newest, ["key_bucket"], allow_empty=True)
+            tables.set_property(spark, table, _BUCKETS, str(number))
             return
-        # At most ``buckets`` numbers.
+        # At most as many numbers as there are buckets.
         touched = [row[0] for row in newest.select("key_bucket").distinct().collect()]
         if touched:
             state = tables.read(spark, table).filter(F.col("key_bucket").isin(*touched))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tierlake.sources.market import json_columns
+from tierlake.sources.market import RECORD, json_columns, tag_packets
 
 # Partition directories of the landing area, coarse to fine.
 LEVELS = {"date": "yyyy-MM-dd", "hour": "HH", "minute": "mm"}
@@ -47,6 +47,30 @@ def land_minutes(df: DataFrame, path: str, checkpoint: str | None = None, *, tim
     )
 
 
+def land_packets(packets: DataFrame, path: str, checkpoint: str, *, interval: str | None = "5 seconds",
+                 source: str = "broker") -> StreamingQuery:
+    """A stream of packets, normalised once, to ``path/status=/date=/hour=/minute=``.
+
+    ``packets`` are ``(payload, batch_id, sequence, received_at)`` rows; the batch id stays the
+    same when a file is read again, and the event ids with it. ``status=accepted`` has the
+    market records, ``status=rejected`` the payloads with their reasons. One file sink
+    commits both, so neither is lost or doubled after a failure.
+    """
+    tagged = tag_packets(packets, source)
+    good = F.col("reason").isNull()
+    records = tagged.select(*RECORD)
+    accepted = F.to_json(F.struct(*json_columns(records)), {"ignoreNullFields": "false"})
+    refused = F.to_json(F.struct("payload", "batch_id", "sequence", "received_at", "reason"))
+    value = F.when(good, accepted).otherwise(refused).alias("value")
+    status = F.when(good, "accepted").otherwise("rejected").alias("status")
+    parts = [F.date_format("received_at", form).alias(level) for level, form in LEVELS.items()]
+    trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
+    return (
+        tagged.select(value, status, *parts).writeStream.format("text").partitionBy("status", *LEVELS)
+        .option("path", path).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+    )
+
+
 def minute_counts(df: DataFrame, time: str = "received_at") -> DataFrame:
     """Events per minute of receipt."""
     minute = F.date_trunc("minute", time).alias("minute")

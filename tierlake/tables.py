@@ -9,6 +9,7 @@ physical table. One writer per table at a time.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -21,7 +22,7 @@ from tierlake.names import TableName
 
 # What a logical table knows of itself, as properties of its view.
 _CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
-_PARTS, _DAY_OF = "tierlake.partitions", "tierlake.day_of"
+_PARTS, _DAY_OF, _HIDDEN = "tierlake.partitions", "tierlake.day_of", "tierlake.hidden"
 _DAY = "_day"
 
 
@@ -73,15 +74,17 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 
 def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by: Sequence[str] = (),
-            *, day: str | None = None, allow_empty: bool = False, rebalance: bool = True) -> int:
+            *, day: str | None = None, hidden: Sequence[str] = (), allow_empty: bool = False,
+            rebalance: bool = True) -> int:
     """Write ``df`` as a new version and point the table at it. Returns the row count.
 
     ``day`` names a timestamp column: the physical table is partitioned by its day, in a
-    column that the view leaves out.
+    column that the view leaves out. So it does with the ``hidden`` text columns; rows that
+    come without them later have null there.
     """
     known = properties(spark, table) if exists(spark, table) else {}
     target = TableName(table.database, f"{table.table}__{uuid.uuid4().hex[:16]}")
-    columns = ", ".join(f"`{name}`" for name in df.columns)
+    columns = ", ".join(f"`{name}`" for name in df.columns if name not in hidden)
     if day:
         df, partition_by = df.withColumn(_DAY, F.to_date(day)), [_DAY]
     counted, seen = _counted(spread(df, partition_by) if rebalance else df)
@@ -98,7 +101,7 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
         spark.sql(f"DROP TABLE {target.sql}")
         raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
     notes = {_CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, ""),
-             _PARTS: ",".join(partition_by)} | ({_DAY_OF: day} if day else {})
+             _PARTS: ",".join(partition_by), _HIDDEN: ",".join(hidden)} | ({_DAY_OF: day} if day else {})
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
     spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) "
               f"AS SELECT {columns} FROM {target.sql}")
@@ -123,6 +126,9 @@ def _aligned(spark: SparkSession, table: TableName, df: DataFrame) -> tuple[str,
     columns = spark.table(target).columns
     if notes.get(_DAY_OF):
         df = df.withColumn(_DAY, F.to_date(notes[_DAY_OF]))
+    for name in filter(None, notes.get(_HIDDEN, "").split(",")):
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast("string"))
     if sorted(c.lower() for c in df.columns) != sorted(c.lower() for c in columns):
         raise ValueError(f"Columns {df.columns} do not match those of {table.sql}: {columns}")
     return target, df.select(*(F.col(f"`{c}`") for c in columns))
@@ -157,6 +163,10 @@ def drop_partition(spark: SparkSession, table: TableName, values: dict) -> None:
 
 def _any_of(parts: Sequence[str], rows: Sequence) -> Column:
     """Predicate on bare partition columns, so the scan is pruned."""
+    if len(parts) == 1:
+        values = [row[parts[0]] for row in rows]
+        known = F.col(parts[0]).isin(*(v for v in values if v is not None))
+        return known | F.col(parts[0]).isNull() if None in values else known
     alternatives = [
         reduce(Column.__and__, (F.col(p).eqNullSafe(F.lit(row[p])) for p in parts)) for row in rows
     ]
@@ -236,6 +246,21 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     return rows
 
 
+def drop_orphans(spark: SparkSession, database: str) -> list[str]:
+    """Drop versions that no view names, left by jobs that died before publishing theirs.
+
+    Not beside a running writer, whose version has no view yet.
+    """
+    names = [t.name for t in spark.catalog.listTables(database) if not t.isTemporary]
+    versions = {name for name in names if re.search(r"__[0-9a-f]{16}$", name)}
+    for name in set(names) - versions:
+        notes = properties(spark, TableName(database, name))
+        versions -= {notes.get(_CURRENT), notes.get(_PREVIOUS)}
+    for name in sorted(versions):
+        spark.sql(f"DROP TABLE IF EXISTS {TableName(database, name).sql}")
+    return sorted(versions)
+
+
 def latest_partition(spark: SparkSession, table: TableName, column: str, before) -> object:
     """Largest date partition before a day, from the catalog: no data file is opened."""
     found = spark.sql(f"SHOW PARTITIONS {physical(spark, table).sql}")
