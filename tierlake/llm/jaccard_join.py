@@ -8,7 +8,7 @@ without ASCII white space). The join is exact:
    last as far as a fixed-size count sketch over all texts shows them; two linked sets share a prefix shingle.
    Texts with equal sets become one class, so copies never meet again.
 2. Candidates: prefix shingles are range-partitioned with sizes; a row stays if a neighbour has its shingle and a
-   size that allows a link. The rows of a shingle, with bitmaps, are joined by dual traversal of signature trees;
+   size that allows a link. Shingles with the same texts count as one. The rows of a shingle, with bitmaps, are joined by dual traversal of signature trees;
    pairs that the bitmaps allow are united, and pairs already united are skipped, so a group gives at most one edge
    per row. Components of these edges hold every link inside them.
 3. Links: the sets of each component's classes meet in a task, again by dual traversal; what the bitmaps allow is
@@ -41,7 +41,7 @@ from .text import LOWER, U64, Words, chunks, inside, mix, span_hash, sums, windo
 from .work import stored
 
 #: Counters of the sketch that puts frequent shingles last.
-SKETCH = 19
+SKETCH = 20
 SKETCH_BLOCKS = 32
 #: Shingles in a block of a group.
 LIMIT = 4_000_000
@@ -115,8 +115,11 @@ def rarity(docs: DataFrame, like: Similarity) -> np.ndarray:
     for r in rows:
         total[r["block"]] = np.frombuffer(r["counts"], np.int64)
     total = total.ravel()
-    mean = max(1.0, total.mean())
-    return np.where(total > 2 * mean + 50, np.log2(np.maximum(total / mean, 1)), 0).astype(np.uint8)
+    # Most of a counter are shingles of one text each; what stands out by chance is about its square root.
+    usual = np.median(total)
+    step = 3 * np.sqrt(usual) + 4
+    over = (total - usual) / step
+    return np.where(over > 1, 1 + np.log2(np.maximum(over, 1)), 0).astype(np.uint8)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -150,7 +153,11 @@ def features(docs: DataFrame, like: Similarity, levels: np.ndarray | None) -> Da
 
 def _near(percent: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of a bucket sorted by token and size with a neighbour they may link to; its ends always stay."""
+        """Rows of a bucket sorted by token and size with a neighbour they may link to; its ends always stay.
+
+        A group that lies whole in the bucket gets a hash of its members for a token: most tokens that two texts
+        share have the same members, and a set of members needs to be looked at once.
+        """
         table = collect(batches)
         if table is None:
             return
@@ -159,7 +166,13 @@ def _near(percent: int) -> Callable:
         stay = np.append(near, True)
         stay[1:] |= near
         stay[0] = True
-        yield from table.filter(pa.array(stay)).combine_chunks().to_batches()
+        token, n, node = token[stay], n[stay], table["node"].to_numpy()[stay]
+        head = np.append(True, token[1:] != token[:-1])
+        group = np.cumsum(head) - 1
+        members = np.add.reduceat(mix(node.view(U64)), np.flatnonzero(head))
+        whole = (group > 0) & (group < group[-1])
+        token = np.where(whole, mix(members).view(np.int64)[group], token)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (token, n, node)], names=["token", "n", "node"])
 
     return run
 
@@ -328,7 +341,7 @@ def linked_classes(docs: DataFrame, like: Similarity, limit: int = LIMIT) -> tup
     tokens = classes.select(F.explode("prefix").alias("token"), "n", "node")
     order = ("token", "n", "node")
     near = tokens.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_near(like.percent), "token bigint, n bigint, node bigint")
-    near = stored(near, "near")
+    near = stored(near.distinct(), "near")
     with_bits = _dealt(near, "token", limit).join(classes.select("node", "bits"), "node")
     group = ("token", "lo", "hi")
     edges = (
