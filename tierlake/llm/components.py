@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from .work import stored
 
+#: Edges in a file of a round.
+PART = 200_000
+
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the edges (a, b); the label is the smallest node reachable.
@@ -22,15 +25,20 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+        parts = -(-state[0] // PART) or 1  # rounds never add edges
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            return stored(df.coalesce(parts), name)
+
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("c"), F.least("a", "m").alias("m"))
-        least = stored(least, "least")  # beside a read table Spark can split a large star
+        least = kept(least, "least")  # beside a read table Spark can split a large star
         large = both.join(least, F.col("a") == F.col("c")).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = stored(large.distinct(), "edges")
-        least = stored(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "c"), "least")
+        large = kept(large.distinct(), "edges")
+        least = kept(large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "c"), "least")
         small = large.join(least, F.col("a") == F.col("c"))
         turned = small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = stored(turned.unionAll(least.select(F.col("c").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
+        now = kept(turned.unionAll(least.select(F.col("c").alias("a"), F.col("m").alias("b"))).distinct(), "edges")
     return now.select(F.col("a").alias("node"), F.col("b").alias("label")).unionAll(
         now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()
     )
