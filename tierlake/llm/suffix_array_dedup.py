@@ -7,7 +7,7 @@ suffixes by these tokens, with the place as last key, so that equal suffixes, ho
 Buckets sort locally by token after token, and neighbours are compared: equal in both tokens, the whole run
 repeats; equal in the first only, the group goes to a comparison of single windows, again range-partitioned and
 sorted in the task. The first and last group of a bucket may go on in the next one; they are compared across
-boundaries by counts per token pair.
+boundaries by one row per bucket and token pair.
 
 Defined cases: a null text counts as empty; texts shorter than a window lose nothing; a match may begin and end
 inside a character; rows with equal id and text count as two places, so both go; a string that repeats inside one
@@ -46,7 +46,8 @@ def _bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     copies = np.bincount(node)[node]
     children = np.bincount(group[new_node])[group]
     state = np.where(copies > 1, WHOLE, 0) | np.where(new_node & (children > 1), BRANCH, 0)
-    state[(group == 0) | (group == group[-1])] = OPEN
+    ends = (group == 0) | (group == group[-1])
+    state[ends] = np.where(copies[ends] > 1, WHOLE, 0) | np.where(new_node[ends], OPEN, 0)
     some = pa.array(np.flatnonzero(state))
     out = table.take(some).append_column("state", pa.array(state[np.asarray(some)].astype(np.int32)))
     yield from out.combine_chunks().to_batches()
@@ -58,10 +59,11 @@ def repeated_runs(docs: DataFrame, units: Units, hot: int = HOT) -> DataFrame:
     order = ("key", "span", "doc_id", "mark", "start")
     buckets = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(buckets.mapInArrow(_bucket, f"{_schema(suffixes)}, state int"), "buckets")
-    # Across boundaries: groups that are the first or the last of a bucket.
-    edge = found.where(F.col("state") == OPEN)
-    nodes = edge.groupBy("key", "span").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in PLACE))
-    met = edge.join(nodes.where("copies > 1").select("key", "span"), ["key", "span"], "left_semi")
+    # Across boundaries: of groups that are the first or the last of a bucket, one row per bucket and token pair.
+    edge = found.where(F.col("state").bitwiseAND(OPEN) > 0)
+    nodes = edge.groupBy("key", "span").agg(F.count("*").alias("buckets"), *(F.first(c).alias(c) for c in PLACE))
+    alone = edge.where(F.col("state").bitwiseAND(WHOLE) == 0)
+    met = alone.join(nodes.where("buckets > 1").select("key", "span"), ["key", "span"], "left_semi")
     forks = nodes.groupBy("key").agg(F.count("*").alias("children")).where("children > 1").select("key")
     met_branches = nodes.join(forks, "key", "left_semi").select(*PLACE, "key")
 
