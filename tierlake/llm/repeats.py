@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .anchors import runs
 from .text import Words, byte_sums, chunks, sums, windows
+from .work import stored
 
 #: Runs below one gram beyond which a group is not compared in one task but dealt out window by window.
 HOT = 20_000
@@ -182,7 +183,7 @@ def shared_windows(docs: DataFrame, few: DataFrame, units: Units, by_range: bool
         spread, f"doc_id {kind}, mark bigint, start int, key bigint, window bigint"
     )
     twice = single.groupBy("key", "window").agg(F.count("*").alias("times")).where("times > 1").select("key", "window")
-    large = single.join(twice, ["key", "window"], "left_semi").select("doc_id", "mark", "start", F.lit(1).alias("n"))
+    large = single.join(stored(twice, "windows"), ["key", "window"], "left_semi").select("doc_id", "mark", "start", F.lit(1).alias("n"))
     return small.unionAll(large)
 
 

@@ -36,11 +36,12 @@ def repeated_runs(docs: DataFrame, units: Units, hot: int = HOT) -> DataFrame:
     """Runs (doc_id, mark, start, n) of windows that repeat."""
     suffixes = run_rows(docs, units)
     inner = suffixes.groupBy("key").agg(F.count("*").alias("leaves")).where("leaves > 1").select("key")
-    below = stored(suffixes.join(inner, "key", "left_semi"), "suffixes")
+    # The nodes are written first: beside a read table Spark can split the rows of a hot prefix.
+    below = stored(suffixes.join(stored(inner, "prefixes"), "key", "left_semi"), "suffixes")
     first = [F.first(c).alias(c) for c in ("doc_id", "mark", "start", "n")]
     nodes = below.groupBy("key", "span").agg(F.count("*").alias("leaves"), *first)
     deep = nodes.where("leaves > 1").select("key", "span")
-    whole = below.join(deep, ["key", "span"], "left_semi").select("doc_id", "mark", "start", "n")
+    whole = below.join(stored(deep, "deep"), ["key", "span"], "left_semi").select("doc_id", "mark", "start", "n")
     forks = nodes.groupBy("key").agg(F.count("*").alias("children")).where("children > 1").select("key")
     branches = stored(nodes.join(forks, "key", "left_semi").select("doc_id", "mark", "start", "n", "key"), "branches")
     return whole.unionAll(shared_windows(docs, branches, units, by_range=False, hot=hot))
