@@ -2,7 +2,9 @@
 
 import gzip
 import hashlib
+import random
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -118,6 +120,75 @@ def test_salvage(packed):
     assert place == len(data)
 
 
+def packed_whole(parts, level=6):
+    packer = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return packer.compress(b"".join(parts)) + packer.flush()
+
+
+def page_ids(found):
+    return [int(f[2]["warc-record-id"][10:-1]) for f in found if f[2]]
+
+
+def test_salvage_inside_a_member():
+    plain = records(6)
+    plain[1] = plain[1].replace(b"Content-Length", b"Content-Len")  # header
+    plain[3] = plain[3].replace(b"payload 3", b"Payload 3", 1)  # digest
+    plain[5] = plain[5][:-4]  # end
+    whole = packed_whole(plain)
+    data = whole + warc.member(records(8)[7])
+    found = list(warc.salvage(data))
+    assert page_ids(found) == [0, 2, 4, 7]
+    assert all(f[:2] == (0, len(whole)) and f[6] is None for f in found[:-1])
+    at = [len(b"".join(plain[:i])) for i in range(7)]
+    assert [f[5] for f in found[:-1]] == list(zip(at, at[1:]))
+    assert [f[5] for f in found if f[4]] == [(at[i], at[i + 1]) for i in (1, 3, 5)]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_salvage_before_a_fault_in_a_member(level):
+    pick = random.Random(5)
+    plain = []
+    for i in range(40):
+        payload = pick.randbytes(3000)
+        plain.append(warc.record(i, "u", payload, hashlib.sha256(payload).hexdigest(), None, "1970-01-01T00:00:00Z"))
+    whole, after = packed_whole(plain, level), warc.member(records(100)[99])
+    cut = whole[: len(whole) * 3 // 4]
+    for data, tail in ((cut, []), (cut + after, [99])):
+        found = list(warc.salvage(data))
+        ids = page_ids(found)
+        assert 28 <= len(ids) - len(tail) <= 30 and ids == [*range(len(ids) - len(tail)), *tail]
+        assert {f[6] is None for f in found if f[2] and page_ids([f]) != [99]} == {False}
+        gap = [f for f in found if f[4]]
+        assert len(gap) == 1 and gap[0][0] == found[0][1] and gap[0][1] == len(cut)
+    # A wrong check sum: all its records are there, with the fault beside them.
+    hurt = bytearray(whole)
+    hurt[-6] ^= 1
+    found = list(warc.salvage(bytes(hurt) + after))
+    assert page_ids(found) == [*range(40), 99]
+    assert [f[4] for f in found if f[4]] == [found[0][6]] and "incorrect data check" in found[0][6]
+    assert found[-1][6] is None
+    # Broken data in record 20: what was inflated before it in the same piece of input stays.
+    hurt = bytearray(whole)
+    place = whole.index(plain[20][-1500:-1400]) if level == 0 else len(whole) // 2
+    hurt[place : place + 200] = b"\xff" * 200
+    ids = page_ids(list(warc.salvage(bytes(hurt) + after)))
+    assert ids[:19] == [*range(19)] and ids[-1] == 99 and len(set(ids)) == len(ids)
+
+
+def test_salvaged_members_as_rows(spark, tmp_path):
+    plain = records(5)
+    plain[2] = plain[2].replace(b"payload 2", b"Payload 2", 1)
+    (tmp_path / "a.warc.gz").write_bytes(packed_whole(plain))
+    (tmp_path / "b.warc.gz").write_bytes(packed_whole(records(5))[:-6])
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    kept = [(r.archive[-9], r.page_id, r.member_error) for r in rows if r.gap is None]
+    assert sorted(kept) == [("a", i, None) for i in (0, 1, 3, 4)] + [("b", i, "member is cut off") for i in range(5)]
+    gaps = sorted((r.archive[-9], r.gap, r.inner_offset, r.inner_length) for r in rows if r.gap)
+    assert gaps == [
+        ("a", "payload digest differs", len(plain[0] + plain[1]), len(plain[2])), ("b", "member is cut off", None, None),
+    ]
+
+
 def test_salvage_of_nothing_and_of_noise():
     assert list(warc.salvage(b"")) == []
     assert [f[:2] for f in warc.salvage(b"noise" * 10)] == [(0, 50)]

@@ -10,7 +10,9 @@ Reading. Each archive is read by Spark as one binary row, so archives are to be
 here are as large as a write task's input. A member that fails its check (magic, inflate, CRC, length) or a
 record that fails its own (version line, header, block length, closing line feeds, payload digest) is
 quarantined: the reader looks for the next valid member or version line, goes on there, and logs the byte gap
-with its reason.
+with its reason. Version lines are looked for inside a member's content too, so a member of many records loses only
+those that are hurt; a member that is cut off or fails its check gives the records inflated before the fault, each
+beside the member's fault (member_error). inner_offset and inner_length are places in a member's content.
 
 Defined cases: a null payload counts as empty; a null id is written as an empty id and comes back null, and is
 never a revisit's target; pages with equal smallest ids are all responses; a null URL is left out; repeated rows
@@ -32,6 +34,7 @@ from pyspark.sql import functions as F
 VERSION = b"WARC/1.0\r\n"
 MAGIC = b"\x1f\x8b\x08"
 NEXT = re.compile(rb"\x1f\x8b\x08|WARC/1\.\d\r\n")
+LINE = re.compile(rb"WARC/1\.\d\r\n")
 EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + bytes(8)
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -129,36 +132,87 @@ def parse(data: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
     return header, block, end + 4
 
 
-def inflate(data: bytes, at: int) -> tuple[bytes, int]:
-    """(content, offset after it) of the gzip member at an offset."""
+def inflate(data: bytes, at: int) -> tuple[bytes, int, str | None]:
+    """(content, offset after it, fault) of the gzip member at an offset; at a fault, what was inflated before it."""
     unpacker = zlib.decompressobj(31)
-    view, out, pos = memoryview(data), [], at
-    try:
-        while not unpacker.eof:
-            if pos >= len(data):
-                raise Damaged("member is cut off")
-            out.append(unpacker.decompress(view[pos : pos + 65536]))
-            pos += 65536
-    except zlib.error as error:
-        raise Damaged(f"member: {error}") from None
-    return b"".join(out), min(pos, len(data)) - len(unpacker.unused_data)
-
-
-def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
-    """(offset, end, header, block, reason): records, with no reason, and the gaps between them, with no header."""
+    view, out, pos, step = memoryview(data), [], at, 65536
+    while not unpacker.eof:
+        if pos >= len(data):
+            return b"".join(out), len(data), "member is cut off"
+        before = unpacker.copy()
+        try:
+            out.append(unpacker.decompress(view[pos : pos + step]))
+            pos += step
+        except zlib.error as error:
+            if step == 1:
+                return b"".join(out), pos, f"member: {error}"
+            unpacker, step = before, step // 16  # up to the very byte of the fault
+    return b"".join(out), min(pos, len(data)) - len(unpacker.unused_data), None
+
+
+def packed_end(data: bytes, at: int, size: int) -> int:
+    """The offset up to which the member at an offset is read for so many bytes of its content."""
+    unpacker = zlib.decompressobj(31)
+    view, pos, step = memoryview(data), at, 65536
+    while size:
+        part, before = view[pos : pos + step], unpacker.copy()
+        try:
+            size -= len(unpacker.decompress(part, size))
+            pos += len(part) - len(unpacker.unconsumed_tail)
+        except zlib.error:
+            unpacker, step = before, step // 16  # the fault comes right behind
+    return pos
+
+
+def unpacked(content: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes, str | None]]:
+    """Records and gaps of a member's content, as salvage() gives them, by places in the content."""
+    at, lost, reason = 0, None, None
+    while at < len(content):
+        try:
+            header, block, end = parse(content, at)
+        except Damaged as error:
+            if lost is None:
+                lost, reason = at, str(error)
+            hit = LINE.search(content, at + 1)
+            at = hit.start() if hit else len(content)
+            continue
+        if lost is not None:
+            yield lost, at, None, b"", reason
+            lost = None
+        yield at, end, header, block, None
+        at = end
+    if lost is not None:
+        yield lost, len(content), None, b"", reason
+
+
+Found = tuple[int, int, dict[str, str] | None, bytes, str | None, tuple[int, int] | None, str | None]
+
+
+def salvage(data: bytes) -> Iterator[Found]:
+    """(offset, end, header, block, reason, inner, fault): records, with no reason, and gaps, with no header.
+
+    inner: the (offset, end) of what lies in a member, in its content; several rows then share the member's offsets.
+    fault: of a record, what is wrong with its member. Such a member's rows end where its last record does, and a gap
+    follows.
+    """
     at, lost, reason = 0, None, None
     while at < len(data):
-        found = []
+        fault = None
         try:
             if data.startswith(MAGIC[:2], at):
-                content, end = inflate(data, at)
-                pos = 0
-                while pos < len(content):
-                    header, block, pos = parse(content, pos)
-                    found.append((at, end, header, block, None))
+                content, end, fault = inflate(data, at)
+                found = unpacked(content)
+                if fault is not None:
+                    found = list(found)
+                    while found and found[-1][2] is None:
+                        found.pop()
+                    if not found:
+                        raise Damaged(fault)
+                    end = packed_end(data, at, found[-1][1])
+                rows = ((at, end, *row[2:], row[:2], fault) for row in found)
             else:
                 header, block, end = parse(data, at)
-                found.append((at, end, header, block, None))
+                rows = [(at, end, header, block, None, None, None)]
         except Damaged as error:
             if lost is None:
                 lost, reason = at, str(error)
@@ -166,25 +220,31 @@ def salvage(data: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, byte
             at = hit.start() if hit else len(data)
             continue
         if lost is not None:
-            yield lost, at, None, b"", reason
+            yield lost, at, None, b"", reason, None, None
             lost = None
-        yield from found
+        yield from rows
         at = end
+        if fault is not None:
+            lost, reason = end, fault
+            hit = NEXT.search(data, end)
+            at = hit.start() if hit else len(data)
     if lost is not None:
-        yield lost, len(data), None, b"", reason
+        yield lost, len(data), None, b"", reason, None, None
 
 
 SCHEMA = (
-    "archive string, offset bigint, length bigint, gap string, page_id bigint, url string, record_type string, "
-    "refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
+    "archive string, offset bigint, length bigint, inner_offset bigint, inner_length bigint, member_error string, "
+    "gap string, page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, "
+    "payload_digest string, payload binary"
 )
 PAGE = re.compile(r"<urn:page:(-?\d+)>")
 
 
 def _rows(archive: str, data: bytes, with_payload: bool) -> Iterator[tuple]:
-    for at, end, header, block, reason in salvage(data):
+    for at, end, header, block, reason, inner, fault in salvage(data):
+        place = archive, at, end - at, *((inner[0], inner[1] - inner[0]) if inner else (None, None)), fault
         if header is None:
-            yield archive, at, end - at, reason, None, None, None, None, None, None, None
+            yield *place, reason, None, None, None, None, None, None, None
             continue
         kind = header.get("warc-type")
         payload = block.partition(b"\r\n\r\n")[2] if kind == "response" else b""
@@ -196,7 +256,7 @@ def _rows(archive: str, data: bytes, with_payload: bool) -> Iterator[tuple]:
         else:
             size, digest = len(payload), hashlib.sha256(payload).hexdigest()
         yield (
-            archive, at, end - at, None, int(page[1]) if page else None, header.get("warc-target-uri"), kind,
+            *place, None, int(page[1]) if page else None, header.get("warc-target-uri"), kind,
             int(target[1]) if target else None, size, digest, payload if with_payload and kind == "response" else None,
         )
 
