@@ -142,6 +142,27 @@ def test_byte_repeats(odd, length, gram, hot):
     assert Counter(map(tuple, suffix_array_dedup.dedup(docs, length, gram, hot).collect())) == want
 
 
+def spans_by_hand(gone):
+    heads = [i for i, g in enumerate(gone) if g and not (i and gone[i - 1])]
+    return tuple((i, (gone[i:] + [False]).index(False)) for i in heads)
+
+
+def test_kept_texts_and_spans(odd, documents):
+    rows, docs = odd
+    words, raw = [WORD.findall(t or "") for _, t in rows], [(t or "").encode() for _, t in rows]
+    want, want_bytes = Counter(), Counter()
+    for (i, _), u, gone in zip(rows, words, cut_by_hand(words, 4)):
+        want[i, len(u), " ".join(w for w, g in zip(u, gone) if not g), spans_by_hand(gone)] += 1
+    for (i, _), u, gone in zip(rows, raw, cut_by_hand(raw, 60)):
+        want_bytes[i, len(u), bytes(b for b, g in zip(u, gone) if not g), spans_by_hand(gone)] += 1
+    got = substring_dedup.kept_texts(docs, 4, 2).collect()
+    assert Counter((r.doc_id, r.n_words, r.kept, tuple(map(tuple, r.spans))) for r in got) == want
+    got = suffix_array_dedup.kept_bytes(docs, 60, 20).collect()
+    assert Counter((r.doc_id, r.n_bytes, bytes(r.kept), tuple(map(tuple, r.spans))) for r in got) == want_bytes
+    assert sum(len(k[3]) for k in want) > 10 and sum(len(k[3]) for k in want_bytes) > 10
+    assert substring_dedup.kept_texts(documents([])).count() == suffix_array_dedup.kept_bytes(documents([])).count() == 0
+
+
 def test_no_rows_no_repeats(documents):
     assert substring_dedup.dedup(documents([])).count() == 0
     assert suffix_array_dedup.dedup(documents([])).count() == 0

@@ -187,6 +187,34 @@ def shared_windows(docs: DataFrame, few: DataFrame, units: Units, by_range: bool
     return small.unionAll(large)
 
 
+#: Removed spans of a text: the first unit and the number of units of each, in order.
+SPANS = "spans array<struct<start:int,n:int>>"
+
+
+def span_lists(gone: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    """The maximal runs of units that go, by text; bounds are those of the texts in units."""
+    edge = np.zeros(len(gone) + 1, bool)
+    edge[bounds] = True
+    before, after = np.append(False, gone), np.append(gone, False)
+    head = np.flatnonzero(after & (~before | edge))
+    tail = np.flatnonzero(before & (~after | edge))
+    own = bounds[np.searchsorted(bounds, head, "right") - 1]
+    values = [pa.array((head - own).astype(np.int32)), pa.array((tail - head).astype(np.int32))]
+    return pa.ListArray.from_arrays(
+        pa.array(np.searchsorted(head, bounds).astype(np.int32)), pa.StructArray.from_arrays(values, ["start", "n"])
+    )
+
+
+def pieces(data: np.ndarray, cuts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A binary or string array of the bytes between consecutive cuts."""
+    offsets = pa.py_buffer(np.ascontiguousarray(cuts, np.int32))
+    return pa.Array.from_buffers(kind, len(cuts) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def n_removed() -> Column:
+    return F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["n"]).alias("n_removed")
+
+
 def with_covered(
     docs: DataFrame, spans: DataFrame, units: Units, schema: str,
     work: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], dict[str, object]],

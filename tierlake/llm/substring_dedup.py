@@ -20,15 +20,13 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import HOT, Units, run_rows, shared_windows, with_covered
-from .text import Words, covered, per_row
+from .repeats import HOT, SPANS, Units, n_removed, pieces, run_rows, shared_windows, span_lists, with_covered
+from .text import Words, covered
 from .work import stored
 
 
@@ -51,25 +49,30 @@ def _kept(length: int, data, offsets, row, start, n) -> dict[str, object]:
     words = Words(data, offsets)
     gone = covered(words.bounds[row] + start, n + length - 1, len(words.start))
     stay = np.flatnonzero(~gone)
-    size = words.end[stay] - words.start[stay]
-    # The kept words one after the other, each with a space behind it.
-    place = np.concatenate([[0], np.cumsum(size + 1)])
-    source = np.arange(place[-1]) + np.repeat(words.start[stay] - place[:-1], size + 1)
+    # The kept words one after the other, each with a space behind it but the last of a text.
+    spaced = np.append(words.row[stay][1:] == words.row[stay][:-1], False)[: len(stay)]
+    size = words.end[stay] - words.start[stay] + spaced
+    place = np.concatenate([[0], np.cumsum(size)])
+    source = np.arange(place[-1]) + np.repeat(words.start[stay] - place[:-1], size)
     line = np.append(data, np.uint8(32))[source]
-    line[place[1:] - 1] = 32
-    line = line.tobytes()
+    line[place[1:][spaced] - 1] = 32
     cut = place[np.searchsorted(stay, words.bounds)]
-    digest = [hashlib.sha256(line[a : max(a, b - 1)]).hexdigest() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
     return {
-        "n_words": words.count.astype(np.int64), "n_removed": per_row(gone, words.bounds),
-        "kept_sha256": pa.array(digest, pa.string()),
+        "n_words": words.count.astype(np.int64), "kept": pieces(line, cut, pa.string()),
+        "spans": span_lists(gone, words.bounds),
     }
 
 
-def dedup(docs: DataFrame, length: int = 35, gram: int = 12, hot: int = HOT) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256 of the kept words joined by a space."""
+def kept_texts(docs: DataFrame, length: int = 35, gram: int = 12, hot: int = HOT) -> DataFrame:
+    """One row per document: doc_id, n_words, kept (words joined by a space), spans (start, n) of the words removed."""
     units = Units(words=True, gram=gram, length=length)
     return with_covered(
-        docs, repeated_runs(docs, units, hot), units, "n_words bigint, n_removed bigint, kept_sha256 string",
+        docs, repeated_runs(docs, units, hot), units, f"n_words bigint, kept string, {SPANS}",
         lambda *chunk: _kept(length, *chunk),
     )
+
+
+def dedup(docs: DataFrame, length: int = 35, gram: int = 12, hot: int = HOT) -> DataFrame:
+    """Counts and digests of kept_texts(): doc_id, n_words, n_removed, kept_sha256."""
+    digest = F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    return kept_texts(docs, length, gram, hot).select("doc_id", "n_words", n_removed(), digest)

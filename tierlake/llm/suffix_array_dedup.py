@@ -16,7 +16,6 @@ text goes too; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .repeats import HOT, Units, collect, run_rows, shared_windows, with_covered
+from .repeats import HOT, SPANS, Units, collect, n_removed, pieces, run_rows, shared_windows, span_lists, with_covered
 from .text import covered
 from .work import stored
 
@@ -80,25 +79,23 @@ def _kept(length: int, data, offsets, row, start, n) -> dict[str, object]:
     gone = covered(offsets[row] + start, n + length - 1, len(data))
     total = np.zeros(len(data) + 1, np.int64)
     np.cumsum(gone, out=total[1:])
-    head = gone.copy()
-    head[1:] &= ~gone[:-1]
-    inner = offsets[:-1][offsets[:-1] < len(data)]
-    head[inner] = gone[inner]
-    heads = np.zeros(len(data) + 1, np.int64)
-    np.cumsum(head, out=heads[1:])
-    kept = data[~gone].tobytes()
-    cut = offsets - total[offsets]
-    digest = [hashlib.sha256(kept[a:b]).hexdigest() for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
     return {
-        "n_bytes": np.diff(offsets), "n_removed": np.diff(total[offsets]), "n_spans": np.diff(heads[offsets]),
-        "kept_sha256": pa.array(digest, pa.string()),
+        "n_bytes": np.diff(offsets), "kept": pieces(data[~gone], offsets - total[offsets], pa.binary()),
+        "spans": span_lists(gone, offsets),
     }
 
 
-def dedup(docs: DataFrame, length: int = 400, gram: int = 200, hot: int = HOT) -> DataFrame:
-    """One row per document: doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_sha256."""
+def kept_bytes(docs: DataFrame, length: int = 400, gram: int = 200, hot: int = HOT) -> DataFrame:
+    """One row per document: doc_id, n_bytes, kept (binary), spans (start, n) of the bytes removed."""
     units = Units(words=False, gram=gram, length=length)
     return with_covered(
-        docs, repeated_runs(docs, units, hot), units,
-        "n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string", lambda *chunk: _kept(length, *chunk),
+        docs, repeated_runs(docs, units, hot), units, f"n_bytes bigint, kept binary, {SPANS}",
+        lambda *chunk: _kept(length, *chunk),
     )
+
+
+def dedup(docs: DataFrame, length: int = 400, gram: int = 200, hot: int = HOT) -> DataFrame:
+    """Counts and digests of kept_bytes(): doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    n_spans = F.size("spans").cast("bigint").alias("n_spans")
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return kept_bytes(docs, length, gram, hot).select("doc_id", "n_bytes", n_removed(), n_spans, digest)
