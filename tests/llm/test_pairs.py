@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tierlake.llm import components, decontamination, jaccard_join, signature_tree, substring_dedup, suffix_array_dedup
+from tierlake.llm import components, decontamination, jaccard_join, repeats, signature_tree, substring_dedup, suffix_array_dedup
 from tierlake.llm.jaccard_join import Similarity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -163,6 +163,27 @@ def test_kept_texts_and_spans(odd, documents):
     assert substring_dedup.kept_texts(documents([])).count() == suffix_array_dedup.kept_bytes(documents([])).count() == 0
 
 
+def test_repeated_rows_bring_their_spans_once(documents):
+    texts = [" ".join(f"{mark}{i}" for i in range(k)) for mark, k in (("a", 400), ("b", 300))]
+    docs = documents([(7, texts[0])] * 30 + [(None, texts[1])] * 20 + [(8, "x " + texts[1][:400])])
+    units = repeats.Units(words=True, gram=2, length=4)
+    runs = substring_dedup.repeated_runs(docs, units)
+    places = {tuple(r) for r in runs.select("doc_id", "mark", "start").collect()}
+    by_text = Counter(p[:2] for p in places)
+
+    def sizes(data, offsets, row, start, n):
+        return {"size": np.bincount(row, minlength=len(offsets) - 1)}
+
+    found = repeats.with_covered(docs, runs, units, "size bigint", sizes).collect()
+    assert Counter(r.doc_id for r in found) == {7: 30, None: 20, 8: 1}
+    assert {r.size for r in found} == set(by_text.values())
+    # Of a text that rows repeat, one copy is compared with the others.
+    docs = docs.coalesce(1)
+    few = repeats.run_rows(docs, units).where("doc_id IS NULL OR doc_id = 8").select("doc_id", "mark", "start", "n", "key").distinct()
+    alone = repeats.shared_windows(docs, few.where("doc_id IS NULL"), units, by_range=False)
+    assert alone.count() == 0
+
+
 def test_no_rows_no_repeats(documents):
     assert substring_dedup.dedup(documents([])).count() == 0
     assert suffix_array_dedup.dedup(documents([])).count() == 0

@@ -102,7 +102,13 @@ def shared_windows(docs: DataFrame, few: DataFrame, units: Units, by_range: bool
     few = few.join(hot_keys, F.col("key") == F.col("_key"), "left").withColumn("is_hot", F.col("is_hot").isNotNull())
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A text's runs are compared once: where rows with its id repeat it, its runs repeat as a whole already.
+        seen = set()
         for batch in batches:
+            places = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
+            fresh = [i for i, place in enumerate(places) if place not in seen and not seen.add(place)]
+            if len(fresh) < len(places):
+                batch = batch.take(pa.array(fresh, pa.int64()))
             for at, to, data, offsets in chunks(batch.column(0)):
                 prefix, bounds = units.read(data, offsets)
                 every = windows(prefix, units.length)
@@ -237,4 +243,6 @@ def with_covered(
                     [part.column(1)] + [x if isinstance(x, pa.Array) else pa.array(x) for x in made.values()], names=names
                 )
 
+    # Rows with equal id and text bring the same spans: one of each is enough for all of them.
+    spans = spans.groupBy("doc_id", "mark", "start").agg(F.max("n").alias("n"))
     return _with_lists(docs, spans, ["start", "n"], "left").mapInArrow(run, f"doc_id {kind}, {schema}")
