@@ -99,6 +99,20 @@ def test_tree_misses_no_pair():
     assert len(shown) < 300 * 299 / 4
 
 
+@pytest.mark.parametrize("percent", [1, 10, 30])
+def test_tree_misses_no_pair_of_widths_apart(percent):
+    token = np.sort(np.random.default_rng(2).integers(0, 2**63, 700, dtype=np.uint64))
+    sets = [token[:k] for k in (5, 20, 32, 40, 60, 100, 129, 260, 700)]
+    n = np.array([len(s) for s in sets])
+    bits = signature_tree.bitmaps(np.repeat(np.arange(len(n)), n), np.concatenate(sets), n)
+    shown = Counter()
+    for i, j in signature_tree.similar(n, bits, percent):
+        shown.update((min(x, y), max(x, y)) for x, y in zip(i.tolist(), j.tolist()))
+    linked = {(i, j) for j in range(len(n)) for i in range(j) if 100 * n[i] >= percent * n[j]}
+    assert linked <= set(shown) and max(shown.values()) == 1
+    assert (2, 5) in linked
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 201), (201, 200)]
     found = {r.node: r.label for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -1,7 +1,8 @@
 """Signature trees over token sets: nodes hold OR-combined bitmaps and size ranges.
 
 A set of n tokens has a bitmap of 2n to 4n bits (a power of two), one bit per token, so sets that can be similar
-have bitmaps of the same or of neighbouring widths; the wider is folded to the narrower. Two sets share at most
+by half or more have bitmaps of the same or of neighbouring widths; below that, of widths further apart. The wider is
+folded to the narrower. Two sets share at most
 the bits their bitmaps share, and as many tokens more as the smaller of their excesses (tokens less bits set). The
 same bound holds for two nodes with their OR-combined bitmaps, their largest excesses, and their size ranges, and
 a pair of nodes whose bound is too low for the smallest sizes is pruned with all pairs below it.
@@ -104,15 +105,20 @@ def similar(
     side: only pairs of different sides count. skip(rows, rows): whether the pairs of two leaves need not be shown.
     """
     wide = np.array([8 * len(b) for b in bits])
-    before: tuple[int, np.ndarray, Tree] | None = None
+    before: list[tuple[int, np.ndarray, Tree]] = []
     for w in np.unique(wide).tolist():
         rows = np.flatnonzero(wide == w)
         rows = rows[np.argsort(n[rows], kind="stable")]
         tree = Tree(np.frombuffer(b"".join(bits[i] for i in rows.tolist()), np.uint64).reshape(len(rows), -1), n[rows])
         meetings = [(rows, tree, rows, tree)]
-        if before is not None and before[0] * 2 == w:
-            meetings.append((before[1], before[2], rows, tree.folded()))
-        before = w, rows, tree
+        # A narrower tree stays as long as its largest set can be similar to the smallest of this width.
+        before = [x for x in before if x[0] * 2 == w or 100 * int(n[x[1][-1]]) >= percent * int(n[rows[0]])]
+        folded, narrow = tree, w
+        for v, own, other in reversed(before):
+            while narrow > v:
+                folded, narrow = folded.folded(), narrow // 2
+            meetings.append((own, other, rows, folded))
+        before.append((w, rows, tree))
         for rows_a, a, rows_b, b in meetings:
             for x, y in traverse(a, b, percent):
                 if skip is not None and skip(rows_a[x], rows_b[y]):
