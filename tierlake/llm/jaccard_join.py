@@ -127,15 +127,15 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def features(docs: DataFrame, like: Similarity, levels: np.ndarray | None) -> DataFrame:
-    """doc_id, mark, n, node and check (the set's signature); with levels also the prefix and the bitmap."""
+    """doc_id, mark, n, sign and check (the set's signature); with levels also the prefix and the bitmap."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to, data, offsets in chunks(batch.column(0)):
                 row, token, n = sets(data, offsets, like.shingle)
-                node, check = signatures(row, token, n)
-                columns = [batch.column(i).slice(at, to - at) for i in (1, 2)] + [pa.array(x) for x in (n, node, check)]
+                sign, check = signatures(row, token, n)
+                columns = [batch.column(i).slice(at, to - at) for i in (1, 2)] + [pa.array(x) for x in (n, sign, check)]
                 if levels is not None:
                     order = np.lexsort((token, levels[(token & U64(2**SKETCH - 1)).astype(np.int64)], row))
                     cut = np.concatenate([[0], np.cumsum(n)])
@@ -144,10 +144,10 @@ def features(docs: DataFrame, like: Similarity, levels: np.ndarray | None) -> Da
                     first = token[order][place < size[row]].view(np.int64)
                     bounds = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
                     columns += [pa.ListArray.from_arrays(pa.array(bounds), pa.array(first)), pa.array(bitmaps(row, token, n), pa.binary())]
-                names = ["doc_id", "mark", "n", "node", "check", "prefix", "bits"][: len(columns)]
+                names = ["doc_id", "mark", "n", "sign", "check", "prefix", "bits"][: len(columns)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    schema = f"doc_id {kind}, mark bigint, n bigint, node bigint, check bigint"
+    schema = f"doc_id {kind}, mark bigint, n bigint, sign bigint, check bigint"
     return _documents(docs).mapInArrow(work, schema + (", prefix array<bigint>, bits binary" if levels is not None else ""))
 
 
@@ -331,13 +331,15 @@ def _token_blobs(shingle: int, kind: str) -> Callable:
 
 
 def linked_classes(docs: DataFrame, like: Similarity, limit: int = LIMIT) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(classes, labels, links): node, copies and smallest doc_id of each set; component label and links per node."""
+    """(classes, labels, links): signature, node, copies and smallest doc_id of each set; component label and links per node.
+
+    A node is a number of its own for each class, given when the classes are written.
+    """
     levels = rarity(docs, like)
     found = features(docs, like, levels).where("n > 0")
     first = [F.first(c).alias(c) for c in ("doc_id", "mark", "prefix", "bits")]
-    classes = stored(
-        found.groupBy("n", "node", "check").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), *first), "classes"
-    )
+    classes = found.groupBy("n", "sign", "check").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least"), *first)
+    classes = stored(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     tokens = classes.select(F.explode("prefix").alias("token"), "n", "node")
     order = ("token", "n", "node")
     near = tokens.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_near(like.percent), "token bigint, n bigint, node bigint")
@@ -350,7 +352,7 @@ def linked_classes(docs: DataFrame, like: Similarity, limit: int = LIMIT) -> tup
     )
     around = components(edges)
 
-    members = stored(around.join(classes.drop("prefix", "bits", "least"), "node"), "members")
+    members = stored(around.join(classes.drop("sign", "check", "prefix", "bits", "least"), "node"), "members")
     known = bit_filter(members, "mark")
     there = members.select(
         "label", "node", F.col("n").alias("n"), "copies", F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")
@@ -369,7 +371,7 @@ def linked_classes(docs: DataFrame, like: Similarity, limit: int = LIMIT) -> tup
     found = stored(found, "links")
     labels = components(found.where("b IS NOT NULL").select("a", "b"))
     links = found.where("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    return classes.select("node", "copies", "least"), labels, links
+    return classes.select("n", "sign", "check", "node", "copies", "least"), labels, links
 
 
 def join(docs: DataFrame, like: Similarity = Similarity(), limit: int = LIMIT) -> DataFrame:
@@ -378,10 +380,9 @@ def join(docs: DataFrame, like: Similarity = Similarity(), limit: int = LIMIT) -
     known = classes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = known.groupBy("label").agg(F.min("least").alias("component"))
     known = known.join(least, "label").join(links, "node", "left").select(
-        F.col("node").alias("_node"), "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+        "n", "sign", "check", "component", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
     )
-    rows = features(docs, like, None)
-    out = rows.join(known, F.when(F.col("n") > 0, F.col("node")) == F.col("_node"), "left").select(
+    out = features(docs, like, None).join(known, ["n", "sign", "check"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"),
         F.coalesce("links", F.lit(0).cast("bigint")).alias("n_links"), "mark",
     )

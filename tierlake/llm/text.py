@@ -1,8 +1,9 @@
 """Vectorised text helpers for Arrow batches: words, rolling hashes and runs over whole texts.
 
 Texts stay in Arrow's byte buffers. A batch is worked on in chunks of documents of about CHUNK bytes, so
-scratch memory depends on the longest single text, not on the batch. Hashes are 64 bit, polynomial with
-random byte values and a final mix, and the same in every process.
+scratch memory depends on the longest single text, not on the batch. Words are told apart by their bytes. Hashes of
+sequences are polynomials modulo the prime 2**61 - 1 with a final mix; a word's hash is its xxh3. All are the same in
+every process. (Modulo a power of two, texts that follow the Thue-Morse order would collide for any base.)
 """
 
 from __future__ import annotations
@@ -11,30 +12,64 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 
 CHUNK = 1 << 21
 U64 = np.uint64
-BASE = 0x9E3779B97F4A7C15
-BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**64, 256, dtype=U64)
+PRIME = U64((1 << 61) - 1)
+BASE = 0x1A35E6C1D9F0B47D
+LOW = U64((1 << 32) - 1)
+BLOCK = 1 << 14
+BYTE_VALUES = np.random.default_rng(20240229).integers(1, (1 << 61) - 1, 256, dtype=U64)
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME."""
+    x = (x & PRIME) + (x >> U64(61))
+    return np.minimum(x, x - PRIME)  # below PRIME the difference wraps round to a large number
+
+
+def times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """a * b modulo PRIME, of values below PRIME; in blocks, so that scratch values stay in the processor's cache."""
+    if len(a) <= BLOCK:
+        return _times(a, b)
+    out = np.empty(len(a), U64)
+    for i in range(0, len(a), BLOCK):
+        out[i : i + BLOCK] = _times(a[i : i + BLOCK], b[i : i + BLOCK] if b.ndim else b)
+    return out
+
+
+def _times(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
+    """By halves of 32 bits."""
+    a_high, a_low, b_high, b_low = a >> U64(32), a & LOW, b >> U64(32), b & LOW
+    middle = a_high * b_low
+    middle += a_low * b_high
+    low = a_low * b_low
+    out = (a_high * b_high) << U64(3)  # 2**64 is 8
+    out += middle >> U64(29)
+    out += (middle & U64((1 << 29) - 1)) << U64(32)
+    out += low & PRIME
+    out += low >> U64(61)
+    return _reduced(out)
+
+
 class _Powers:
-    """Powers of BASE and of its inverse modulo 2**64, as many as were asked for."""
+    """Powers of BASE and of its inverse modulo PRIME, as many as were asked for."""
 
     def __init__(self) -> None:
         self.up = self.down = np.ones(1, U64)
 
     def need(self, n: int) -> None:
+        prime = int(PRIME)
         while len(self.up) < n:
             k = len(self.up)
-            inverse = pow(BASE, -1, 2**64)
-            self.up = np.concatenate([self.up, self.up * U64(pow(BASE, k, 2**64))])
-            self.down = np.concatenate([self.down, self.down * U64(pow(inverse, k, 2**64))])
+            self.up = np.concatenate([self.up, times(self.up, U64(pow(BASE, k, prime)))])
+            self.down = np.concatenate([self.down, times(self.down, U64(pow(BASE, -k, prime)))])
 
 
 _POWERS = _Powers()
@@ -51,7 +86,10 @@ def sums(values: np.ndarray) -> np.ndarray:
     """Prefix sums from which span_hash reads the hash of any span of the values."""
     _POWERS.need(len(values) + 1)
     out = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * _POWERS.up[: len(values)], out=out[1:])
+    terms = times(_reduced(values), _POWERS.up[: len(values)])
+    high = _reduced(np.cumsum(terms >> U64(32)))
+    high = ((high & U64((1 << 29) - 1)) << U64(32)) | (high >> U64(29))
+    out[1:] = _reduced(high + _reduced(np.cumsum(terms & LOW)))
     return out
 
 
@@ -59,9 +97,14 @@ def byte_sums(data: np.ndarray) -> np.ndarray:
     return sums(BYTE_VALUES[data])
 
 
+def _between(high: np.ndarray, low: np.ndarray) -> np.ndarray:
+    difference = high - low
+    return np.minimum(difference, difference + PRIME)
+
+
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of values[start:end], the same wherever the span stands; its length counts too."""
-    return mix((prefix[end] - prefix[start]) * _POWERS.down[start] + mix((end - start).astype(U64)))
+    return mix(times(_between(prefix[end], prefix[start]), _POWERS.down[start]) + mix((end - start).astype(U64)))
 
 
 def windows(prefix: np.ndarray, length: int) -> np.ndarray:
@@ -69,7 +112,7 @@ def windows(prefix: np.ndarray, length: int) -> np.ndarray:
     n = len(prefix) - length
     if n <= 0:
         return np.zeros(0, U64)
-    return mix((prefix[length:] - prefix[:n]) * _POWERS.down[:n] + mix(np.array([length], U64)))
+    return mix(times(_between(prefix[length:], prefix[:n]), _POWERS.down[:n]) + mix(np.array([length], U64)))
 
 
 class Words:
@@ -96,15 +139,24 @@ class Words:
         self.count = np.diff(self.bounds)
         self.row = np.repeat(np.arange(len(offsets) - 1), self.count)
 
+    def numbers(self) -> tuple[pa.Array, np.ndarray]:
+        """The distinct words, told apart by their bytes, and for each word the number of its distinct one."""
+        size = np.zeros(len(self.start) + 1, np.int64)
+        np.cumsum(self.end - self.start, out=size[1:])
+        raw = np.ascontiguousarray(self.data[~self.gap])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(size), pa.py_buffer(raw)])
+        coded = words.dictionary_encode()
+        return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
     def hashes(self) -> np.ndarray:
-        return span_hash(byte_sums(self.data), self.start, self.end) if len(self.start) else np.zeros(0, U64)
+        distinct, number = self.numbers()
+        return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), U64, len(distinct))[number]
 
 
 def distinct_words(words: Words) -> tuple[list[bytes], np.ndarray]:
     """The distinct pieces of a chunk and, for each piece, the number of its distinct one."""
-    _, first, number = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    raw = words.data.tobytes()
-    return [raw[a:b] for a, b in zip(words.start[first].tolist(), words.end[first].tolist())], number
+    distinct, number = words.numbers()
+    return distinct.to_pylist(), number
 
 
 def inside(row: np.ndarray, length: int) -> np.ndarray:
