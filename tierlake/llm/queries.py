@@ -5,21 +5,26 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import encode
 from .decontamination import leaks
 from .jaccard_join import Similarity, join
 from .oracles import ORACLES
+from .periodic_runs import find
 from .quality_classifier import score, train
 from .quality_rules import repetition
 from .secret_scans import scan
 from .substring_dedup import dedup as dedup_words
 from .suffix_array_dedup import dedup as dedup_bytes
 from .token_counts import token_counts
+from .url_filters import rules, verdicts
+from .vector_codes import books_sha256, kept, label_errors
+from .vector_codes import encode as encode_vectors
+from .vector_codes import train as train_codebooks
 from .warc import read_archives, write_archives
-from .work import work_folder
+from .work import stored, work_folder
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -75,6 +80,53 @@ def op10_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = rules("block net/, allow example.net/en/, block example.com/de/, allow org/fr/")
+    return verdicts(table(spark, sf_dir, "pages"), given).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = kept(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    books = train_codebooks(rows)
+    codes = label_errors(stored(encode_vectors(rows, books), "codes"))
+    hexes = F.transform("entries", lambda e: F.lower(F.lpad(F.hex(e), 2, "0")))
+    return codes.select(
+        F.col("id").alias("vec_id"), F.array_join(hexes, "").alias("code"), "error", "label_error",
+        F.lit(books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
+def repeated_tail(text: str, doc_id: str) -> Column:
+    """The text; for a tenth of the ids its words with a tail that repeats, as the query's contract lays down."""
+    h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeat(w: Column) -> Column:
+        n = F.size(w)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.slice(F.flatten(F.array_repeat(F.slice(w, (a + 1).cast("int"), p.cast("int")), times)), 1, (n - a).cast("int"))
+        return F.when(n > 0, F.array_join(F.concat(F.slice(w, 1, a.cast("int")), tail), " ")).otherwise("")
+
+    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+"), lambda x: x != "")
+    # The words are bound once, by a lambda, not split again wherever they stand.
+    return F.when(h % 10 == 0, F.element_at(F.transform(F.array(words), repeat), 1)).otherwise(F.col(text))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", repeated_tail("text", "doc_id").alias("text"))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), -r.start, -r.period)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    found = find(docs).withColumn("top", longest).withColumns({"start": -F.col("top.col2"), "period": -F.col("top.col3")})
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "start", F.col("top.length").alias("length"), "period",
+        F.floor(1000 * F.col("top.length") / F.col("period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,5 +144,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_decontamination": op9_decontamination,
     "op10_bpe_encoding": op10_bpe_encoding,
+    "op11_url_filters": op11_url_filters,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": pipeline,
 }
