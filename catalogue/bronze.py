@@ -108,6 +108,32 @@ def bronze_rebuild(spark, sf):
     return tables.read(spark, space.resolve("events", "bronze"))
 
 
+CHAIN = """SELECT event_id, CASE WHEN event_type = 'error' THEN ts - INTERVAL 9 DAY WHEN event_id % 11 = 0 THEN NULL ELSE ts END AS ts,
+       user_id, event_type, value, props, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-08'"""
+
+
+@query(f"""
+WITH moved AS ({CHAIN}), days AS (SELECT DISTINCT day FROM moved),
+best AS (SELECT * FROM moved QUALIFY row_number() OVER (PARTITION BY user_id, event_type, day
+  ORDER BY ts DESC NULLS LAST, event_id DESC, value DESC, props DESC) = 1),
+state AS (SELECT days.day AS snapshot, best.* FROM days JOIN best ON best.day <= days.day
+  QUALIFY row_number() OVER (PARTITION BY snapshot, user_id, event_type ORDER BY ts DESC NULLS LAST, best.day DESC) = 1)
+SELECT {EVENT_COLUMNS}, strftime(snapshot, '%Y-%m-%d') AS snapshot_date FROM state
+""")
+def bronze_rebuild_chain(spark, sf):
+    # A Lake partition a day, with late records and some without a time. A first snapshot stands, the others follow.
+    sheet, space = contract(spark, EVENTS), layers(spark)
+    events = load(spark, sf, "events").filter(F.col("ts") >= F.lit("2024-01-08").cast("timestamp_ntz"))
+    late = F.when(F.col("event_type") == "error", F.col("ts") - F.expr("INTERVAL 9 DAYS"))
+    time = late.when(F.col("event_id") % 11 == 0, F.lit(None)).otherwise(F.col("ts"))
+    rows = events.withColumn("ingest_date", F.to_date("ts")).withColumn("ts", time.cast("timestamp"))
+    space.ensure(spark, "lake")
+    tables.replace(spark, space.resolve("events", "lake"), rows, ["ingest_date"])
+    bronze_delta(spark, space, "events", "2024-01-08", sheet)
+    rebuild_from(spark, space, "events", "2024-01-09", sheet)
+    return tables.read(spark, space.resolve("events", "bronze"))
+
+
 @query(f"""
 SELECT 'lake' AS layer, '2024-01-31' AS day, count(*) AS n FROM events
 UNION ALL SELECT 'bronze', '2024-01-31', (SELECT count(*) FROM (SELECT * FROM events {LATEST}))

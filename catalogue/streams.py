@@ -11,6 +11,7 @@ from tierlake.plans.bronze import bronze_full
 from tierlake.session import workspace
 from tierlake.streaming.ingest import dedup_stream, ingest_stream, upsert_batch
 from tierlake.sources.market import TICK_KEY, market_contract
+from tierlake.streaming.state import keep_state, publish_state, read_state
 from tierlake.streaming.landing import land_minutes, land_packets, minute_counts
 
 
@@ -133,6 +134,23 @@ SELECT {EVENT_COLUMNS} FROM
  (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
 """)
 def stream_upsert(spark, sf):
+    # The files of the days come in several batches, in no particular order of days, and the
+    # stream is started again after a publication.
+    folder, space = landed(spark, sf), layers(spark)
+    sheet, keys = contract(spark, EVENTS), ["user_id", "event_type"]
+    stream = (spark.readStream.schema(sheet.text_schema()).option("recursiveFileLookup", True)
+              .option("maxFilesPerTrigger", 16).json(f"{folder}/events"))
+    for _ in range(2):
+        keep_state(sheet.cast(stream), space, "state", keys, f"{folder}/state", "ts").awaitTermination()
+        publish_state(spark, space, "state", keys, "ts")
+    return read_state(spark, space, "state", keys, "ts")
+
+
+@query(f"""
+SELECT {EVENT_COLUMNS} FROM
+ (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) = 1)
+""")
+def stream_upsert_buckets(spark, sf):
     # The files of the days come in several batches, in no particular order of days.
     folder, space = landed(spark, sf), layers(spark)
     sheet = contract(spark, EVENTS)

@@ -1,5 +1,7 @@
 """Lake and Bronze: the two-day scenario, replays, refusals."""
 
+from datetime import date
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -30,9 +32,9 @@ def day(spark, name):
     return spark.createDataFrame(QUOTES[name], SCHEMA)
 
 
-def state(spark, layers, name, date):
+def state(spark, layers, name, snapshot):
     return {r["security_id"]: r["last_price"]
-            for r in read_snapshot(spark, layers.resolve(name, "bronze"), date).collect()}
+            for r in read_snapshot(spark, layers.resolve(name, "bronze"), snapshot).collect()}
 
 
 def test_two_day_scenario(spark, layers, quotes):
@@ -169,3 +171,38 @@ def test_latest_is_limited_before_the_shuffle(spark):
     plan = latest_per_key(data, ["k"], "t")._jdf.queryExecution().executedPlan().toString()
     partial, exchange = plan.index("Partial"), plan.index("Exchange hashpartitioning")
     assert exchange < partial  # printed from the top: the limit is below the exchange
+
+
+@pytest.mark.parametrize("timed,keyed", [(True, True), (False, True), (True, False)])
+def test_rebuild_in_one_pass_equals_the_chain(spark, layers, sheet, timed, keyed):
+    import random
+
+    from tierlake.operators.snapshots import merge_snapshots, snapshots_along
+
+    pick = random.Random(3)
+    days = [date(2026, 1, d) for d in range(1, 8)]
+    data = [(pick.choice(["a", "b", "c", None]), pick.choice([None, 1, 2, 3, 4]), pick.randrange(3), pick.choice(days))
+            for _ in range(120)]
+    df = spark.createDataFrame(data, "k string, t int, v int, snapshot_date date")
+    keys, order = (["k"] if keyed else []), ("t" if timed else None)
+    found = snapshots_along(df, days, keys, order)
+    state = None
+    for day in days:
+        batch = df.filter(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")
+        state = latest_per_key(batch, keys, order) if state is None else merge_snapshots(state, batch, keys, order, previous_unique=keyed)
+        state = spark.createDataFrame(state.collect(), state.schema)
+        assert rows(found.filter(F.col("snapshot_date") == F.lit(day)).drop("snapshot_date")) == rows(state)
+
+
+def test_snapshots_know_their_keys(spark, layers, sheet, quotes):
+    from tierlake.plans.bronze import _built_with
+
+    no_keys = sheet([(f.name, f.datatype) for f in quotes.fields], (), "received_at")
+    for name, contract in ((DAY1, no_keys), (DAY2, quotes)):
+        ingest(spark, layers, "quotes", day(spark, name), contract, name)
+        bronze_delta(spark, layers, "quotes", name, contract)
+    table = layers.resolve("quotes", "bronze")
+    assert [_built_with(spark, table, date.fromisoformat(d), quotes) for d in (DAY1, DAY2)] == [False, True]
+    assert rebuild_from(spark, layers, "quotes", DAY1, quotes) == [date.fromisoformat(d) for d in (DAY1, DAY2)]
+    assert _built_with(spark, table, date.fromisoformat(DAY1), quotes)
+    assert state(spark, layers, "quotes", DAY2) == {"1333": 102.0, "13": 25000.0, "11536": 150.0}

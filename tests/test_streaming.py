@@ -162,3 +162,49 @@ def test_landing_needs_a_checkpoint_and_a_known_grain(spark, tmp_path):
     events(spark, range(1)).write.parquet(f"{tmp_path}/in")
     with pytest.raises(ValueError, match="checkpoint"):
         land_minutes(spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in"), f"{tmp_path}/raw")
+
+
+def test_state_survives_restarts_and_lost_publications(spark, tmp_path, layers):
+    from tierlake.streaming.state import keep_state, publish_state, read_state
+
+    source, keys = f"{tmp_path}/in", ["event_id"]
+    table, changes = layers.resolve("state", "silver"), layers.resolve("state_changes", "silver")
+
+    def arrive(ids, minutes, price):
+        events(spark, ids, minutes).withColumn("price", F.lit(price)).coalesce(1).write.mode("append").parquet(source)
+
+    def run():
+        stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(source)
+        keep_state(stream, layers, "state", keys, f"{tmp_path}/c", "received_at").awaitTermination()
+        return {r.event_id: r.price for r in read_state(spark, layers, "state", keys, "received_at").collect()}
+
+    arrive(range(6), 10, 1.0), arrive(range(3, 9), 20, 2.0)
+    expected = {f"e{i}": 1.0 if i < 3 else 2.0 for i in range(9)}
+    assert run() == expected
+    # Each batch wrote the keys it met, and no more.
+    assert [r[0] for r in tables.read(spark, changes).groupBy("stream_batch").count().orderBy("stream_batch").select("count").collect()] == [6, 6]
+    assert publish_state(spark, layers, "state", keys, "received_at") == 9
+    assert tables.read(spark, changes).count() == 0
+    # Late rows, after a restart: the state knows better. They change nothing.
+    arrive(range(9), 0, 3.0)
+    assert run() == expected
+    # A publication that was lost after its new version: the changes go in again.
+    before = rows(tables.read(spark, changes))
+    publish_state(spark, layers, "state", keys, "received_at")
+    tables.append(spark, changes, spark.createDataFrame(before, tables.read(spark, changes).schema))
+    assert run() == expected and publish_state(spark, layers, "state", keys, "received_at") == 9
+    assert {r.event_id: r.price for r in tables.read(spark, table).collect()} == expected
+
+
+def test_a_lost_driver_leaves_a_usable_table(spark, layers, monkeypatch):
+    write = upsert_batch(layers, "state", ["event_id"], "received_at", buckets=4)
+
+    def lost(*args):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "set_property", lost)
+        write(events(spark, range(5)), 0)
+        assert resize_buckets(spark, layers, "state", ["event_id"], 7) == 5
+    write(events(spark, range(8), 1), 1)
+    assert tables.read(spark, layers.resolve("state", "silver")).count() == 8

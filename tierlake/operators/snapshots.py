@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -81,3 +82,30 @@ def _newer_of_two(previous: DataFrame, batch: DataFrame, keys: Sequence[str], or
     wins = F.coalesce(wins, F.lit(False))
     return old.join(new, same, "full").select(*(
         F.when(wins, F.col(f"_n{i}")).otherwise(F.col(f"_o{i}")).alias(c) for i, c in enumerate(columns)))
+
+
+def snapshots_along(rows: DataFrame, days: Sequence[date], keys: Sequence[str], order_by: str | None = None,
+                    day: str = "snapshot_date") -> DataFrame:
+    """The snapshot of every day of ``days`` from rows that arrived on ``day``, in one pass.
+
+    The same as ``merge_snapshots`` day after day: the larger time wins, on equal times or without a
+    time column the later day. Each key has one row per day of arrival after the first step; its
+    best so far holds from there until the next one, and is written out for each of the days
+    between. Without keys a row stays from the first day it arrived.
+    """
+    columns = [c for c in rows.columns if c != day]
+    if not keys:
+        # Grouping treats nulls as equal, as distinct() does.
+        since = rows.groupBy(*columns).agg(F.min(day).alias("_from")).withColumn("_to", F.lit(None).cast("date"))
+    else:
+        newest = Window.partitionBy(*keys, day).orderBy(*(_newest_first(rows, [*keys, day], order_by) or [F.lit(0)]))
+        one = rows.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
+        along = Window.partitionBy(*keys).orderBy(day)
+        # Nulls are the least in a struct, as a missing time is.
+        rank = F.struct(*([order_by] if order_by in columns else []), day)
+        best = F.max_by(F.struct(*columns), rank).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        since = one.select(best.alias("_best"), F.col(day).alias("_from"), F.lead(day).over(along).alias("_to"))
+        since = since.select("_best.*", "_from", "_to")
+    each = F.filter(F.array(*(F.lit(d) for d in days)),
+                    lambda d: (d >= F.col("_from")) & (F.col("_to").isNull() | (d < F.col("_to"))))
+    return since.withColumn(day, F.explode(each)).select(*rows.columns)

@@ -234,8 +234,9 @@ def live_ticks_model(spark: SparkSession, layers: Layers, bronze: str, day: str
     rows = rows.select(*RECORD, "snapshot_date")
     count = write_silver(spark, layers, name, rows, "merge", keys=TICK_KEY)
     # Only rows with a key of this batch can have changed: history is not tested again.
-    written = tables.read(spark, layers.resolve(name, "silver"))
-    touched = written.join(rows.select(*TICK_KEY).distinct(), list(TICK_KEY), "left_semi")
+    table, ids = layers.resolve(name, "silver"), rows.select(*TICK_KEY).distinct()
+    written = tables.read(spark, table).filter(tables.holding(spark, table, ids, TICK_KEY))
+    touched = written.join(ids, list(TICK_KEY), "left_semi")
     require_passing(run_tests(touched, TICK_TESTS))
     return count
 

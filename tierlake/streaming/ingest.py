@@ -133,9 +133,7 @@ def resize_buckets(spark: SparkSession, layers: Layers, name: str, keys: Sequenc
     """
     table = layers.resolve(name, "silver")
     rows = tables.read(spark, table).withColumn("key_bucket", _bucket(keys, buckets))
-    count = tables.replace(spark, table, rows, ["key_bucket"], allow_empty=True)
-    tables.set_property(spark, table, _BUCKETS, str(buckets))
-    return count
+    return tables.replace(spark, table, rows, ["key_bucket"], allow_empty=True, notes={_BUCKETS: str(buckets)})
 
 
 def upsert_batch(layers: Layers, name: str, keys: Sequence[str], order_by: str | None = None,
@@ -157,8 +155,7 @@ def upsert_batch(layers: Layers, name: str, keys: Sequence[str], order_by: str |
         # Stored strings and numbers hash alike whatever batch they come in.
         newest = latest_per_key(batch, keys, order_by).withColumn("key_bucket", _bucket(keys, number))
         if not present:
-            tables.replace(spark, table, newest, ["key_bucket"], allow_empty=True)
-            tables.set_property(spark, table, _BUCKETS, str(number))
+            tables.replace(spark, table, newest, ["key_bucket"], allow_empty=True, notes={_BUCKETS: str(number)})
             return
         # At most as many numbers as there are buckets.
         touched = [row[0] for row in newest.select("key_bucket").distinct().collect()]

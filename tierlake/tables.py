@@ -11,19 +11,22 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from tierlake import key_index
 from tierlake.names import TableName
 
 # What a logical table knows of itself, as properties of its view.
 _CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
 _PARTS, _DAY_OF, _HIDDEN = "tierlake.partitions", "tierlake.day_of", "tierlake.hidden"
 _DAY = "_day"
+# "<folder>:<slots>:<keys>" of the key index of the current version, below that table's own folder.
+_INDEX = "tierlake.key_index"
 
 
 def exists(spark: SparkSession, table: TableName) -> bool:
@@ -75,9 +78,12 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by: Sequence[str] = (),
             *, day: str | None = None, hidden: Sequence[str] = (), allow_empty: bool = False,
-            rebalance: bool = True) -> int:
+            rebalance: bool = True, notes: Mapping[str, str] | None = None) -> int:
     """Write ``df`` as a new version and point the table at it. Returns the row count.
 
+    ``notes`` become properties of the table in the same step, so no reader and no later
+    job sees the new version without them; those of the version before are not carried over.
+
     ``day`` names a timestamp column: the physical table is partitioned by its day, in a
     column that the view leaves out. So it does with the ``hidden`` text columns; rows that
     come without them later have null there.
@@ -100,7 +106,7 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
         raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
-    notes = {_CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, ""),
+    notes = {**(notes or {}), _CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, ""),
              _PARTS: ",".join(partition_by), _HIDDEN: ",".join(hidden)} | ({_DAY_OF: day} if day else {})
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
     spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) "
@@ -136,18 +142,24 @@ def _aligned(spark: SparkSession, table: TableName, df: DataFrame) -> tuple[str,
 
 def append(spark: SparkSession, table: TableName, df: DataFrame) -> int:
     target, rows = _aligned(spark, table, df)
+    _forget_index(spark, table)
     counted, seen = _counted(rows)
     counted.write.insertInto(target)
     return seen.get["rows"]
 
 
 def overwrite_partitions(spark: SparkSession, table: TableName, df: DataFrame,
-                         *, rebalance: bool = True) -> int:
-    """Replace exactly the partitions that occur in ``df``, which may read the table itself."""
+                         *, rebalance: bool = True, indexed: bool = False) -> int:
+    """Replace exactly the partitions that occur in ``df``, which may read the table itself.
+
+    A key index is dropped unless ``indexed`` says that it already has the keys of ``df``.
+    """
     parts = partition_columns(spark, table)
     if not parts:
         raise ValueError(f"{table.sql} is not partitioned")
     target, rows = _aligned(spark, table, df)
+    if not indexed:
+        _forget_index(spark, table)
     counted, seen = _counted(spread(rows, parts) if rebalance else rows)
     counted.write.insertInto(target, overwrite=True)
     return seen.get["rows"]
@@ -190,12 +202,71 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return kept.select(*target.columns).unionByName(source)
 
 
+def _forget_index(spark: SparkSession, table: TableName) -> None:
+    """Take the key index out of use before rows are written that it does not know."""
+    if properties(spark, table).get(_INDEX):
+        spark.sql(f"ALTER VIEW {table.sql} UNSET TBLPROPERTIES IF EXISTS ('{_INDEX}')")
+
+
+def _index_path(spark: SparkSession, table: TableName, folder: str) -> str:
+    # A folder whose name begins with "_" is no part of the table, and goes when the version is dropped.
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {physical(spark, table).sql}").filter("col_name = 'Location'")
+    return f"{found.first()['data_type'].rstrip('/')}/{folder}"
+
+
+def _write_index(spark: SparkSession, table: TableName, rows: DataFrame, slots: int, keys: Sequence[str]) -> str:
+    """A new index, named by the table's note only once it is whole. Returns its path."""
+    folder = f"_keys_{uuid.uuid4().hex[:16]}"
+    path = _index_path(spark, table, folder)
+    rows.write.parquet(path)
+    set_property(spark, table, _INDEX, f"{folder}:{slots}:{','.join(keys)}")
+    return path
+
+
+def _index(spark: SparkSession, table: TableName, keys: Sequence[str], slots: int) -> tuple[str, int]:
+    """Path and slots of a table's key index; built by one pass over the key columns where there is none."""
+    folder, _, rest = properties(spark, table).get(_INDEX, "").partition(":")
+    known, _, of = rest.partition(":")
+    if folder and of == ",".join(keys):
+        return _index_path(spark, table, folder), int(known)
+    rows = key_index.bitmaps(read(spark, table), keys, partition_columns(spark, table), slots)
+    return _write_index(spark, table, rows, slots, keys), slots
+
+
+def compact_index(spark: SparkSession, table: TableName) -> None:
+    """Write the key index anew, with one row per partition and stretch."""
+    note = properties(spark, table).get(_INDEX)
+    if note:
+        folder, slots, keys = note.split(":", 2)
+        rows = key_index.merged(spark.read.parquet(_index_path(spark, table, folder)), partition_columns(spark, table))
+        _write_index(spark, table, rows, int(slots), keys.split(","))
+
+
+def holding(spark: SparkSession, table: TableName, batch: DataFrame, keys: Sequence[str],
+            slots: int = key_index.SLOTS) -> Column:
+    """A predicate on partition columns: all partitions that may hold a key of ``batch``.
+
+    Reads the key index alone, so partitions that cannot hold one are never opened.
+    """
+    parts = partition_columns(spark, table)
+    if not parts:
+        return F.lit(True)
+    path, slots = _index(spark, table, keys, slots)
+    kinds = read(spark, table).schema
+    batch = batch.select(*(F.col(f"`{k}`").cast(kinds[k].dataType).alias(k) for k in keys))
+    # As many rows as there are partitions at most.
+    return _any_of(parts, key_index.holders(spark.read.parquet(path), batch, keys, parts, slots).collect())
+
+
 def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys: Sequence[str],
-                 partition_by: Sequence[str] = (), *, atomic: bool = False, stage: bool = False) -> int:
+                 partition_by: Sequence[str] = (), *, atomic: bool = False, stage: bool = False,
+                 slots: int = key_index.SLOTS) -> int:
     """Update rows with a known key, insert the others. Returns the rows written.
 
-    Only partitions that hold a matched key or receive a row are rewritten. With
-    several such partitions the change becomes visible partition by partition;
+    Only partitions that hold a matched key or receive a row are rewritten. Which ones may hold
+    a key is read from an index of bitmaps beside the table (``key_index``; ``slots`` for one
+    that is made now), so other partitions are not even scanned for keys. With several
+    touched partitions the change becomes visible partition by partition;
     ``atomic`` publishes a whole new version instead. Running it again with the same
     source gives the same table. The source is read several times, mostly by few columns;
     ``stage`` writes it out first, which pays for one that takes more than a scan.
@@ -204,7 +275,7 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
         raise ValueError("A merge needs at least one key column")
     if stage:
         with staged(spark, table, source) as rows:
-            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic)
+            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic, slots=slots)
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Merge source has several rows for one key {list(keys)}")
@@ -223,9 +294,10 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     if set(parts) <= set(keys):
         return overwrite_partitions(
             spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys))
-    # Only key and partition columns of the target are read to find what is touched.
+    # Only key and partition columns are read, and only of partitions that the index names.
+    maybe = holding(spark, table, source, keys, slots)
     matched = (
-        target.select(*dict.fromkeys([*keys, *parts])).join(source.select(*keys), list(keys), "left_semi")
+        target.filter(maybe).select(*dict.fromkeys([*keys, *parts])).join(source.select(*keys), list(keys), "left_semi")
         .groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect()
     )
 
@@ -240,7 +312,11 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
                  .groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect())
         emptied = [row for row in sizes if row["_rows"] == left[place(row)]["_rows"]]
     old = target.filter(_any_of(parts, [*left.values(), *arriving]))
-    rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys))
+    # The index first: a key too many in it costs a read, a key too few would be lost.
+    path, slots = _index(spark, table, keys, slots)
+    typed = source.select(*(F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in dict.fromkeys([*keys, *parts])))
+    key_index.bitmaps(typed, keys, parts, slots).write.mode("append").parquet(path)
+    rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys), indexed=True)
     for row in emptied:
         drop_partition(spark, table, {p: row[p] for p in parts})
     return rows
