@@ -210,12 +210,11 @@ def leaks_by_hand(rows, items):
         for item, passage in items:
             want = WORD.findall((passage or "").lower())
             n = len(want)
-            if n < 7:
-                continue
-            need, span = (n, n) if n < 13 else (11, 13)
+            span = min(n, 13)
+            need = span - 2 * span // 13
             for shift in range(-n + 1, len(own)):
                 equal = [0 <= shift + j < len(own) and own[shift + j] == want[j] for j in range(n)]
-                if sum(equal) >= need and any(sum(equal[k : k + span]) >= need for k in range(n - span + 1)):
+                if n and sum(equal) >= need and any(sum(equal[k : k + span]) >= need for k in range(n - span + 1)):
                     key = (sum(equal), -shift)
                     if key > out[doc, item]:
                         out[doc, item] = key
@@ -240,12 +239,37 @@ def test_leaks_with_substitutions(spark, documents):
     clean = decontamination.clean(docs, benchmark)
     assert clean.columns == docs.columns
     bad = {doc for doc, _ in leaks_by_hand(rows, items)}
-    assert bad == {1, 2, 4, 5, 8, 9, None}
-    assert {r.doc_id for r in clean.collect()} == {3, 6, 7, 10}
+    assert bad == {1, 2, 4, 5, 8, 9, 10, None}
+    assert {r.doc_id for r in clean.collect()} == {3, 6, 7}
     assert decontamination.leaks(documents([]), benchmark).count() == 0
     assert decontamination.clean(docs, benchmark.limit(0)).count() == len(rows)
 
 
+@pytest.mark.parametrize("lists", [1, 10_000])
+def test_short_items(spark, documents, monkeypatch, lists):
+    monkeypatch.setattr(decontamination, "LIST", lists)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in (1, 2, 3, 5, 6, 7, 8, 11, 12, 13, 14)] + [(90, "a a a"), (91, "")]
+    rows = []
+    for n, text in items[:-2]:
+        found = text.split()
+        for gone in ([], [0], [n // 2], [n - 1], [0, n - 1], [n // 3, n // 2]):
+            line = [w if k not in gone else "other" for k, w in enumerate(found)]
+            rows += [(len(rows), "x y " + " ".join(line) + " z"), (len(rows) + 1, " ".join(line))]
+        rows += [(len(rows), " ".join(found[1:])), (len(rows) + 1, " ".join(found[:-1]))]
+    rows += [(900, "a a a a"), (901, "b a a"), (902, " ".join(t for _, t in items))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    found = decontamination.leaks(documents(rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id): (r.n_equal, -r.start) for r in found} == leaks_by_hand(rows, items)
+    assert {i for _, i in leaks_by_hand(rows, items)} == {i for i, t in items if t}
+
+
+def test_masks_fit_beside_a_substitution():
+    for n in range(1, 13):
+        (mask,) = decontamination.masks(n)
+        for gone in range(n) if decontamination.tolerance(n) else (None,):
+            assert any(gone not in {at + p for p in mask} for at in range(n - mask[-1]))
+
+
 def test_leaks_in_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK", 20)
     items = spark.createDataFrame([(i, " ".join(f"q{i}{j}" for j in range(20))) for i in range(5)], "item_id long, text string")

@@ -92,6 +92,14 @@ def test_encoding_of_random_texts(spark, library):
         assert bpe.decode(ids, path) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
+def test_ids_decode_on_spark(spark, library):
+    path, tokenizer = library
+    lists = [[], None, [5, 900, 17], list(range(49_000)), [0] * 3]
+    rows = spark.createDataFrame([(x, "d") for x in lists], "ids array<int>, decoded_x string")
+    got = [r.text for r in bpe.decoded(rows.coalesce(1), path, "ids", "text").collect()]
+    assert got == [None if x is None else tokenizer.decode(x, skip_special_tokens=False) for x in lists]
+
+
 def best_count(model, word):
     best = [(0.0, 0)] + [None] * len(word)
     for i in range(1, len(word) + 1):

@@ -7,6 +7,9 @@ of length i ends with token t exactly if t is a suffix of it and the pair (last
 that is, BPE over the two tokens' symbols gives the two tokens again. So each distinct prefix is worked out
 once, and an encoding is read by following last tokens back.
 
+Decoding is a step of its own over a column of ids: each id is looked up in the vocabulary's tokens, which are joined
+as the file says (no decoder: by a space). The digest of the decoded text is taken from what the ids decode to.
+
 The vocabulary is a `tokenizers` JSON file of BPE kind with word ends, found on every executor under the given
 path. It is parsed once per Python worker. There is no shuffle.
 
@@ -25,8 +28,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .text import LOWER, Words, distinct_words, map_texts
 
@@ -52,7 +57,6 @@ class Vocabulary:
         model = spec["model"]
         self.mark = model["end_of_word_suffix"]
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.text = {i: t for t, i in (model["vocab"] | self.added).items()}
         splits = [x["pattern"]["Regex"] for x in spec["pre_tokenizer"]["pretokenizers"] if x["type"] == "Split"]
         self.words = regex.compile(splits[0])
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.added)) + ")")
@@ -189,8 +193,8 @@ class Vocabulary:
                 out += [x.encode() for x in self.words.findall(plain)]
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[int, str, str]]:
-        """(number of ids, ids as text, tokens as text) of each distinct word."""
+    def encode_words(self, words: list[bytes]) -> list[tuple[list[int], str]]:
+        """Ids, and ids as text, of each distinct word."""
         cache = self.word_cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
@@ -199,7 +203,7 @@ class Vocabulary:
         known = dict(self.encode_sorted(plain))
         for word, parts in fresh.items():
             ids = [i for p in parts for i in (known[p] if isinstance(p, bytes) else (p,))]
-            cache[word] = len(ids), " ".join(map(str, ids)), " ".join(self.text[i] for i in ids)
+            cache[word] = ids, " ".join(map(str, ids))
         return [cache[w] for w in words]
 
 
@@ -216,34 +220,65 @@ SIGN = np.zeros(256, bool)
 SIGN[list(b'!"#$%&()*+,-./:;=?@[]^`{}~')] = True
 
 
-def _encode(path: str, data: np.ndarray, offsets: np.ndarray, with_ids: bool) -> dict[str, object]:
+def _encode(path: str, data: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
     if not (data == ord("<")).any():
         data = LOWER[data]
     words = Words(data, offsets, (LETTER[data[:-1]] & SIGN[data[1:]]) | (SIGN[data[:-1]] & LETTER[data[1:]]))
     distinct, number = distinct_words(words)
     made = vocabulary(path).encode_words(distinct)
-    count = np.array([x[0] for x in made], np.int64)
-    ids, tokens = [x[1] for x in made], [x[2] for x in made]
-    empty = [i for i, x in enumerate(made) if not x[0]]
-    total = np.zeros(len(number) + 1, np.int64)
-    np.cumsum(count[number] if len(number) else [], out=total[1:])
-    n_tokens = np.diff(total[words.bounds])
-    ids_digest, text_digest, values = [], [], []
+    ids, lines = [x[0] for x in made], [x[1] for x in made]
+    count = np.array([len(x) for x in ids], np.int64)
+    flat = np.fromiter((i for x in ids for i in x), np.int32, int(count.sum()))
+    # The ids of all words in a row: each word's stretch of the distinct words' ids.
+    size = count[number]
+    end = np.cumsum(size)
+    first = (np.cumsum(count) - count)[number]
+    all_ids = flat[np.repeat(first - (end - size), size) + np.arange(end[-1] if len(end) else 0)]
+    bounds = np.append(0, end)[words.bounds]
+    empty = count == 0
+    digests = []
     for a, b in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
         own = number[a:b]
-        own = (own[~np.isin(own, empty)] if empty else own).tolist()
-        line = " ".join([ids[i] for i in own])
-        ids_digest.append(hashlib.sha256(line.encode()).hexdigest())
-        text_digest.append(hashlib.sha256(" ".join([tokens[i] for i in own]).encode()).hexdigest())
-        if with_ids:
-            values.append(np.fromstring(line, np.int32, sep=" ") if line else np.zeros(0, np.int32))
-    out: dict[str, object] = {"n_tokens": n_tokens, "ids_sha256": ids_digest, "decoded_sha256": text_digest}
-    out = {k: pa.array(v, pa.int64() if k == "n_tokens" else pa.string()) for k, v in out.items()}
-    if with_ids:
-        bounds = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-        flat = np.concatenate(values) if values else np.zeros(0, np.int32)
-        out["token_ids"] = pa.ListArray.from_arrays(pa.array(bounds), pa.array(flat, pa.int32()))
-    return out
+        own = (own[~empty[own]] if empty.any() else own).tolist()
+        digests.append(hashlib.sha256(" ".join([lines[i] for i in own]).encode()).hexdigest())
+    return {
+        "n_tokens": pa.array(np.diff(bounds)), "ids_sha256": pa.array(digests, pa.string()),
+        "token_ids": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(all_ids)),
+    }
+
+
+def encoded(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
+    """One row per document: the kept columns, n_tokens, ids_sha256 and token_ids."""
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema += ", n_tokens bigint, ids_sha256 string, token_ids array<int>"
+    return map_texts(docs, text, keep, schema, lambda data, offsets: _encode(path, data, offsets))
+
+
+@lru_cache(maxsize=2)
+def tokens(path: str) -> pa.Array:
+    """The token of each id, by its place."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    known = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+    return pa.array([known.get(i) for i in range(max(known) + 1)], pa.large_string())
+
+
+def decoded(rows: DataFrame, path: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
+    """The rows with a column of the text that their ids decode to; a null list stays null, an empty one is ''."""
+    at, names = rows.columns.index(ids), [*rows.columns, into]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {into} string"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = tokens(path)
+        for batch in batches:
+            lists = batch.column(at)
+            size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            bounds = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int64))
+            words = pa.LargeListArray.from_arrays(bounds, known.take(lists.flatten()))
+            text = pc.if_else(lists.is_valid(), pc.binary_join(words, pa.scalar(" ", pa.large_string())), None)
+            yield pa.RecordBatch.from_arrays([*batch.columns, text.cast(pa.string())], names=names)
+
+    return rows.mapInArrow(run, schema)
 
 
 def encode(
@@ -254,11 +289,12 @@ def encode(
     The output columns n_tokens, ids_sha256, decoded_sha256 and token_ids must not be among the kept ones.
     """
     keep = ["doc_id"] if keep is None else keep
-    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema += ", n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", token_ids array<int>" * with_ids
-    return map_texts(docs, text, keep, schema, lambda data, offsets: _encode(path, data, offsets, with_ids))
+    both = decoded(encoded(docs, path, keep, text), path)
+    return both.select(
+        *keep, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *["token_ids"] * with_ids
+    )
 
 
 def decode(ids: list[int], path: str) -> str:
-    """The text of ids: their tokens, joined by a space, as a file without a decoder says."""
-    return " ".join(vocabulary(path).text[i] for i in ids)
+    """The text of one list of ids, as decoded() has it for a column."""
+    return " ".join(tokens(path).take(pa.array(ids, pa.int32())).to_pylist())

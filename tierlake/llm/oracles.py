@@ -119,9 +119,9 @@ OP9 = f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {words('lower(text)')} AS w FROM documents),
 b AS (SELECT row_number() OVER () AS bid, item_id, {words('lower(text)')} AS v FROM benchmark),
 dw AS (SELECT rid, i, w[i] AS word FROM d, unnest(range(1, len(w) + 1)) t(i)),
-bw AS (SELECT bid, j, len(v) AS n, v[j] AS word FROM b, unnest(range(1, len(v) + 1)) t(j) WHERE len(v) >= 7),
+bw AS (SELECT bid, j, len(v) AS n, v[j] AS word FROM b, unnest(range(1, len(v) + 1)) t(j)),
 met AS (SELECT rid, bid, i - j AS shift, n, list(j) AS js FROM dw JOIN bw USING (word) GROUP BY ALL
-        HAVING count(*) >= CASE WHEN n < {WINDOW} THEN n ELSE {WINDOW - SUBSTITUTIONS} END),
+        HAVING count(*) >= least(n, {WINDOW}) - {SUBSTITUTIONS} * least(n, {WINDOW}) // {WINDOW}),
 good AS (SELECT rid, bid, shift, n, len(js) AS equal FROM met WHERE n < {WINDOW} OR len(list_filter(range(1, n - {WINDOW} + 2),
   lambda k: len(list_filter(js, lambda j: j >= k AND j < k + {WINDOW})) >= {WINDOW - SUBSTITUTIONS})) > 0),
 best AS (SELECT doc_id, item_id, shift, equal, n FROM good JOIN d USING (rid) JOIN b USING (bid)
