@@ -4,8 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 next one's docs. All but the last return the columns of documents.
 
 Defined cases, for every stage: an empty table gives an empty result; null and empty texts fail the rules and so
-end in the first stage; rows without an id are judged by their text alone; repeated rows are copies, of which the
-second stage keeps one; columns beside those of documents stay as they are.
+end in the first stage; rows without an id are judged by their text alone, and pass the second stage, which goes by
+ids; repeated rows with an id are copies, of which the second stage keeps one; columns beside those of documents stay
+as they are.
 """
 
 from __future__ import annotations
