@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from catalogue.base import EVENT_COLUMNS, EVENTS, ORDER_COLUMNS, contract, layers, load, query, stamp, view
 from tierlake import tables
+from tierlake.operators.checksums import differing_rows
 from tierlake.operators.filters import date_scope
 from tierlake.operators.joins import missing_keys
 from tierlake.operators.quality import run_tests
 from tierlake.operators.sequences import day_gap
 from tierlake.plans.bronze import bronze_full
+from tierlake.plans.gold import publish_gold
 from tierlake.plans.lake import ingest
 from tierlake.plans.silver import build_silver, materialise, run_silver, state_day_gap_model, write_silver
 
@@ -343,3 +345,36 @@ def quality_labels(spark, sf):
         {"test": "accepted_values", "column": "toxic", "values": [0]},
         {"test": "unique", "column": "doc_id"},
     ])
+
+
+@query("""
+SELECT l_orderkey, l_linenumber, CASE kind WHEN 1 THEN 'lost' WHEN 2 THEN 'doubled' ELSE 'changed' END AS status,
+       CASE kind WHEN 2 THEN 0 ELSE n END AS missing, CASE kind WHEN 1 THEN 0 ELSE n END AS extra
+FROM (SELECT l_orderkey, l_linenumber, l_orderkey % 7 AS kind, count(*) AS n FROM lineitem
+      WHERE l_orderkey % 7 IN (1, 2, 3) AND l_partkey % 50 = 0 GROUP BY ALL)
+UNION ALL SELECT l_orderkey + 1000000000, l_linenumber, 'added', 0, n
+FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem WHERE l_partkey % 900 = 0 GROUP BY ALL)
+""")
+def reconcile_rows(spark, sf):
+    # A copy of a table in which some rows were lost, doubled, changed and added.
+    lines = load(spark, sf, "lineitem")
+    kind, hit = F.col("l_orderkey") % 7, F.col("l_partkey") % 50 == 0
+    copy = lines.filter(~(hit & (kind == 1))).withColumn(
+        "l_shipdate", F.when(hit & (kind == 3), F.col("l_shipdate") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("l_shipdate")))
+    new = lines.filter("l_partkey % 900 = 0").withColumn("l_orderkey", F.col("l_orderkey") + 1000000000)
+    copy = copy.unionByName(lines.filter(hit & (kind == 2))).unionByName(new)
+    return differing_rows(lines, copy, ["l_orderkey", "l_linenumber"])
+
+
+@query(f"SELECT {EVENT_COLUMNS}, {DAY.format('ts')} FROM events")
+def silver_verified_writes(spark, sf):
+    # Every way to write, with the values of what was written compared by checksums.
+    space, events = layers(spark), daily(load(spark, sf, "events"))
+    early = F.col("snapshot_date") < F.lit("2024-01-10").cast("date")
+    wrong = events.withColumn("value", F.lit(0.0))
+    write_silver(spark, space, "events", events.filter(~early), verify="values")
+    write_silver(spark, space, "events", wrong.filter(early), "append", verify="values")
+    write_silver(spark, space, "events", wrong.filter("snapshot_date >= DATE '2024-01-25'"), "insert_overwrite", verify="values")
+    write_silver(spark, space, "events", events, "merge", keys=["event_id"], verify="values")
+    publish_gold(spark, space, "events", "events", verify="values")
+    return tables.read(spark, space.resolve("events", "gold"))

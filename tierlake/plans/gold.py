@@ -42,9 +42,11 @@ def _partitioning(source: DataFrame, name: str) -> tuple[list[str], str | None]:
 
 def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, strategy: str = "replace",
                  date_column: str | None = None, day: str | None = None,
-                 partition_by: str | None = None) -> int:
+                 partition_by: str | None = None, verify: str | None = "rows") -> int:
     """Publish a Silver table. Returns the number of Silver rows published.
 
+    ``verify`` compares what was written with what is then there: ``rows``, or ``values`` too.
+
     ``replace`` refuses an empty source and may change the schema. ``append`` of nothing
     is 0. ``delete_and_insert`` keeps the other dates and the rows without one. A Gold table
     that was published with ``partition_by`` its date column, or by the day of its timestamp
@@ -82,13 +84,13 @@ def publish_gold(spark: SparkSession, layers: Layers, silver: str, gold: str, st
     if partition_by:
         parts, day_of = _partitioning(source, partition_by)
     if strategy == "append" and present:
-        return tables.append(spark, target_name, source)
+        return tables.append(spark, target_name, source, verify=bool(verify))
     if strategy == "delete_and_insert" and present:
         column = next(c for c in target.columns if c.lower() == date_column.lower())
         if column in (tables.day_of(spark, target_name), *tables.partition_columns(spark, target_name)):
-            return tables.overwrite_partitions(spark, target_name, source, rebalance=False)
+            return tables.overwrite_partitions(spark, target_name, source, rebalance=False, verify=verify)
         kept = date_scope(target, column, day, keep=True)
-        tables.replace(spark, target_name, kept.unionByName(source), parts, day=day_of)
+        tables.replace(spark, target_name, kept.unionByName(source), parts, day=day_of, verify=verify)
         # Every row of that day in the new version comes from Silver.
         return date_scope(tables.read(spark, target_name), column, day).count()
-    return tables.replace(spark, target_name, source, parts, day=day_of)
+    return tables.replace(spark, target_name, source, parts, day=day_of, verify=verify)

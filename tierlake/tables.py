@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tierlake import key_index
 from tierlake.names import TableName
+from tierlake.operators import checksums
 
 # What a logical table knows of itself, as properties of its view.
 _CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
@@ -69,16 +70,37 @@ def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in partition_by)) if partition_by else df
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    # Counted in the stage that writes: stages before it may run again after a
+class Mismatch(RuntimeError):
+    """What readers see is not what was written."""
+
+
+def _counted(df: DataFrame, verify: str | None = None, parts: Sequence[str] = ()) -> tuple[DataFrame, Observation]:
+    # Observed in the stage that writes: stages before it may run again after a
     # lost executor and would be counted twice.
+    if verify not in (None, "rows", "values"):
+        raise ValueError(f"A write is verified by rows or by values, not by {verify!r}")
     seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    wanted = checksums.totals(df, sorted(df.columns)) if verify == "values" else [F.count(F.lit(1)).alias("rows")]
+    if verify and parts:
+        # As many as there are partitions in the batch.
+        wanted.append(F.collect_set(F.struct(*(F.col(f"`{p}`") for p in parts))).alias("_parts"))
+    return df.observe(seen, *wanted), seen
+
+
+def _verify(found: DataFrame, wanted: Mapping, what: str) -> None:
+    """Compare rows, and checksums if there are any, of a table or some of its partitions."""
+    wanted = {key: value for key, value in wanted.items() if key != "_parts"}
+    if len(wanted) == 1:
+        got = {"rows": found.count()}  # from footers
+    else:
+        got = found.agg(*checksums.totals(found, sorted(found.columns))).first().asDict()
+    if got != wanted:
+        raise Mismatch(f"{what} holds {got} where {wanted} were written")
 
 
 def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by: Sequence[str] = (),
             *, day: str | None = None, hidden: Sequence[str] = (), allow_empty: bool = False,
-            rebalance: bool = True, notes: Mapping[str, str] | None = None) -> int:
+            rebalance: bool = True, notes: Mapping[str, str] | None = None, verify: str | None = None) -> int:
     """Write ``df`` as a new version and point the table at it. Returns the row count.
 
     ``notes`` become properties of the table in the same step, so no reader and no later
@@ -87,13 +109,16 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
     ``day`` names a timestamp column: the physical table is partitioned by its day, in a
     column that the view leaves out. So it does with the ``hidden`` text columns; rows that
     come without them later have null there.
+
+    ``verify`` compares the new version with what was written before anybody sees it: its
+    ``rows``, from footers, or its ``values`` too, by checksums, which reads it once.
     """
     known = properties(spark, table) if exists(spark, table) else {}
     target = TableName(table.database, f"{table.table}__{uuid.uuid4().hex[:16]}")
     columns = ", ".join(f"`{name}`" for name in df.columns if name not in hidden)
     if day:
         df, partition_by = df.withColumn(_DAY, F.to_date(day)), [_DAY]
-    counted, seen = _counted(spread(df, partition_by) if rebalance else df)
+    counted, seen = _counted(spread(df, partition_by) if rebalance else df, verify)
     # The option stays with the table: every later overwriting insert into it replaces only
     # the partitions it writes, whatever the session is set to.
     try:
@@ -103,6 +128,12 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
         spark.sql(f"DROP TABLE IF EXISTS {target.sql}")
         raise
     rows = seen.get["rows"]
+    if verify:
+        try:
+            _verify(spark.table(target.sql), seen.get, f"The new version of {table.sql}")
+        except Mismatch:
+            spark.sql(f"DROP TABLE IF EXISTS {target.sql}")
+            raise
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
         raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
@@ -140,18 +171,23 @@ def _aligned(spark: SparkSession, table: TableName, df: DataFrame) -> tuple[str,
     return target, df.select(*(F.col(f"`{c}`") for c in columns))
 
 
-def append(spark: SparkSession, table: TableName, df: DataFrame) -> int:
+def append(spark: SparkSession, table: TableName, df: DataFrame, *, verify: bool = False) -> int:
+    """Add rows. ``verify`` counts the table, from footers, before and after."""
     target, rows = _aligned(spark, table, df)
     _forget_index(spark, table)
+    before = spark.table(target).count() if verify else 0
     counted, seen = _counted(rows)
     counted.write.insertInto(target)
+    if verify:
+        _verify(spark.table(target), {"rows": before + seen.get["rows"]}, table.sql)
     return seen.get["rows"]
 
 
 def overwrite_partitions(spark: SparkSession, table: TableName, df: DataFrame,
-                         *, rebalance: bool = True, indexed: bool = False) -> int:
+                         *, rebalance: bool = True, indexed: bool = False, verify: str | None = None) -> int:
     """Replace exactly the partitions that occur in ``df``, which may read the table itself.
 
+    ``verify`` compares the partitions afterwards with what was written, by ``rows`` or ``values``.
     A key index is dropped unless ``indexed`` says that it already has the keys of ``df``.
     """
     parts = partition_columns(spark, table)
@@ -160,8 +196,14 @@ def overwrite_partitions(spark: SparkSession, table: TableName, df: DataFrame,
     target, rows = _aligned(spark, table, df)
     if not indexed:
         _forget_index(spark, table)
-    counted, seen = _counted(spread(rows, parts) if rebalance else rows)
+    if verify == "values":
+        kinds = spark.table(target).schema
+        rows = rows.select(*(F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in kinds))
+    counted, seen = _counted(spread(rows, parts) if rebalance else rows, verify, parts)
     counted.write.insertInto(target, overwrite=True)
+    if verify and seen.get["_parts"]:
+        written = spark.table(target).filter(_any_of(parts, seen.get["_parts"]))
+        _verify(written, seen.get, f"The rewritten part of {table.sql}")
     return seen.get["rows"]
 
 
@@ -260,7 +302,7 @@ def holding(spark: SparkSession, table: TableName, batch: DataFrame, keys: Seque
 
 def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys: Sequence[str],
                  partition_by: Sequence[str] = (), *, atomic: bool = False, stage: bool = False,
-                 slots: int = key_index.SLOTS) -> int:
+                 slots: int = key_index.SLOTS, verify: str | None = None) -> int:
     """Update rows with a known key, insert the others. Returns the rows written.
 
     Only partitions that hold a matched key or receive a row are rewritten. Which ones may hold
@@ -275,25 +317,25 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
         raise ValueError("A merge needs at least one key column")
     if stage:
         with staged(spark, table, source) as rows:
-            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic, slots=slots)
+            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic, slots=slots, verify=verify)
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Merge source has several rows for one key {list(keys)}")
     if not exists(spark, table):
-        return replace(spark, table, source, partition_by)
+        return replace(spark, table, source, partition_by, verify=verify)
     target = read(spark, table)
     if sorted(c.lower() for c in source.columns) != sorted(c.lower() for c in target.columns):
         raise ValueError(f"Merge source columns do not match those of {table.sql}")
     source = source.select(*target.columns)
     parts = partition_columns(spark, table)
     if atomic or not parts:
-        return replace(spark, table, upsert_rows(target, source, keys), parts)
+        return replace(spark, table, upsert_rows(target, source, keys), parts, verify=verify)
 
     # Lists of partition values: as many as there are date partitions.
     arriving = source.select(*parts).distinct().collect()
     if set(parts) <= set(keys):
         return overwrite_partitions(
-            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys))
+            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys), verify=verify)
     # Only key and partition columns are read, and only of partitions that the index names.
     maybe = holding(spark, table, source, keys, slots)
     matched = (
@@ -316,7 +358,7 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     path, slots = _index(spark, table, keys, slots)
     typed = source.select(*(F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in dict.fromkeys([*keys, *parts])))
     key_index.bitmaps(typed, keys, parts, slots).write.mode("append").parquet(path)
-    rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys), indexed=True)
+    rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys), indexed=True, verify=verify)
     for row in emptied:
         drop_partition(spark, table, {p: row[p] for p in parts})
     return rows
