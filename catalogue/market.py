@@ -17,7 +17,39 @@ from tierlake.plans.silver import live_ticks_model, market_snapshot_model
 from tierlake.session import workspace
 from tierlake.sources.instruments import read_master
 from tierlake.sources.market import (
-    SNAPSHOT_KEY, TICK_KEY, flatten_snapshots, market_contract, normalize_packets, to_event_json)
+    RECORD, SNAPSHOT_KEY, TICK_KEY, flatten_snapshots, market_contract, normalize_packets, to_event_json)
+
+
+SECOND = "date_trunc('second', ts)"
+
+
+def record_sql(**given):
+    """DuckDB text of the 28 columns; what is not given is null."""
+    kinds = {"bigint": "BIGINT", "double": "DOUBLE"}
+    return ", ".join(f"{given[name]} AS {name}" if name in given else f"CAST(NULL AS {kinds.get(kind, 'VARCHAR')}) AS {name}"
+                     for name, kind in RECORD.items())
+
+
+def dealt(payloads):
+    """The texts over all cores: they come from one file here, and reading them costs many times the shuffle."""
+    return payloads.repartition(payloads.sparkSession.sparkContext.defaultParallelism)
+
+
+QUOTES = f"""
+quotes AS (
+  SELECT event_id, ts, 'NSE_EQ' AS segment, CAST(event_id + 1000 AS VARCHAR) AS id, value, event_id + 2000000 AS q FROM events
+  UNION ALL SELECT event_id, ts, 'NSE_EQ', CAST(event_id + 2000000 AS VARCHAR), value, event_id + 2000000 FROM events
+  UNION ALL SELECT event_id, ts, 'IDX_I', '7', NULL, NULL FROM events),
+numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY event_id ORDER BY segment, length(id), id) AS BIGINT) AS sequence FROM quotes),
+records AS (SELECT {record_sql(
+    source="'broker'", batch_id="CAST(event_id AS VARCHAR)", sequence="sequence",
+    event_id="sha256(event_id || ':' || segment || ':' || id || ':' || sequence)", feed_type="'quote'",
+    exchange_segment="segment", security_id="id", received_at=stamp("ts"),
+    trading_date="strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d')",
+    exchange_time=f"CASE WHEN id <> '7' THEN {stamp(SECOND)} END",
+    last_price="value", last_quantity="CAST(trunc(value) AS BIGINT)", volume="CASE WHEN id = '7' THEN 12 ELSE q END",
+    open="value", depth_json="CASE WHEN id <> '7' THEN '{\"buy\":[{\"p\":1,\"q\":' || q || '}],\"sell\":[]}' END")}
+  FROM numbered)"""
 
 
 def snapshot_payloads(spark, sf):
@@ -35,48 +67,25 @@ def snapshot_payloads(spark, sf):
         F.col("ts").cast("timestamp").alias("received_at"))
 
 
-@query(f"""
-WITH quotes AS (
-  SELECT event_id, ts, 'NSE_EQ' AS segment, CAST(event_id + 1000 AS VARCHAR) AS id, value, event_id + 2000000 AS q FROM events
-  UNION ALL SELECT event_id, ts, 'NSE_EQ', CAST(event_id + 2000000 AS VARCHAR), value, event_id + 2000000 FROM events
-  UNION ALL SELECT event_id, ts, 'IDX_I', '7', NULL, NULL FROM events)
-SELECT CAST(event_id AS VARCHAR) AS batch_id, segment AS exchange_segment, id AS security_id,
-       CAST(row_number() OVER (PARTITION BY event_id ORDER BY segment, length(id), id) AS BIGINT) AS sequence,
-       {stamp('ts')} AS received_at, value AS last_price, CAST(trunc(value) AS BIGINT) AS last_quantity,
-       CAST(NULL AS DOUBLE) AS average_price, CASE WHEN id = '7' THEN 12 ELSE q END AS volume,
-       value AS open, CAST(NULL AS DOUBLE) AS close, CAST(NULL AS BIGINT) AS open_interest,
-       CASE WHEN id <> '7' THEN {stamp("date_trunc('second', ts)")} END AS exchange_time,
-       strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d') AS trading_date,
-       CASE WHEN id <> '7' THEN '{{"buy":[{{"p":1,"q":' || q || '}}],"sell":[]}}' END AS depth_json
-FROM quotes
-""")
+@query(f"WITH {QUOTES} SELECT * FROM records")
 def payload_flatten(spark, sf):
-    rows = flatten_snapshots(snapshot_payloads(spark, sf), "quote")
-    return rows.select(
-        "batch_id", "exchange_segment", "security_id", "sequence", "received_at", "last_price",
-        "last_quantity", "average_price", "volume", "open", "close", "open_interest",
-        "exchange_time", "trading_date", "depth_json")
+    return flatten_snapshots(dealt(snapshot_payloads(spark, sf)), "quote")
 
 
 @query(f"""
-WITH quotes AS (
-  SELECT event_id, ts, 'NSE_EQ' AS segment, CAST(event_id + 1000 AS VARCHAR) AS id, value FROM events
-  UNION ALL SELECT event_id, ts, 'NSE_EQ', CAST(event_id + 2000000 AS VARCHAR), value FROM events
-  UNION ALL SELECT event_id, ts, 'IDX_I', '7', NULL FROM events)
-SELECT segment AS exchange_segment, id AS security_id, {stamp('ts')} AS received_at, value AS last_price,
-       CAST(event_id AS VARCHAR) AS batch_id, '2024-01-31' AS snapshot_date
-FROM quotes QUALIFY row_number() OVER (PARTITION BY segment, id ORDER BY ts DESC, event_id DESC) = 1
+WITH {QUOTES}
+SELECT *, '2024-01-31' AS snapshot_date FROM records
+QUALIFY row_number() OVER (PARTITION BY exchange_segment, security_id ORDER BY received_at DESC, CAST(batch_id AS BIGINT) DESC) = 1
 """)
 def model_market_snapshot(spark, sf):
     # One index is in every payload: a third of all quotes have the same key.
     space, sheet = layers(spark), market_contract(SNAPSHOT_KEY)
-    quotes = flatten_snapshots(snapshot_payloads(spark, sf), "quote")
+    quotes = flatten_snapshots(dealt(snapshot_payloads(spark, sf)), "quote")
     ingest(spark, space, "quotes", quotes, sheet, "2024-01-31")
     bronze_full(spark, space, "quotes", "2024-01-31", sheet)
     for _ in range(2):
         market_snapshot_model(spark, space, "quotes", "2024-01-31")
-    return tables.read(spark, space.resolve("nse_market_snapshot", "silver")).select(
-        "exchange_segment", "security_id", "received_at", "last_price", "batch_id", "snapshot_date")
+    return tables.read(spark, space.resolve("nse_market_snapshot", "silver"))
 
 
 def packets(spark, sf):
@@ -95,20 +104,29 @@ def packets(spark, sf):
         F.col("ts").cast("timestamp").alias("received_at"))
 
 
-@query(f"""
-SELECT event_id AS sequence, CASE event_type WHEN 'click' THEN 'ticker' WHEN 'view' THEN 'quote'
-         WHEN 'purchase' THEN 'full' ELSE 'previous_close' END AS feed_type,
-       CASE user_id % 5 WHEN 0 THEN 'IDX_I' WHEN 1 THEN 'NSE_EQ' WHEN 2 THEN 'NSE_FNO' ELSE 'NSE_CURRENCY' END
-         AS exchange_segment,
-       CAST(user_id AS VARCHAR) AS security_id, value AS last_price, event_id AS last_quantity,
-       {stamp("date_trunc('second', ts)")} AS exchange_time, strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d') AS trading_date,
-       CASE WHEN event_id % 2 = 0 THEN value ELSE 1 END AS close, CAST(NULL AS BIGINT) AS open_interest
-FROM events WHERE event_type <> 'error' AND user_id % 5 <> 4 AND user_id > 0
-""")
+SEGMENT = "CASE user_id % 5 WHEN 0 THEN 'IDX_I' WHEN 1 THEN 'NSE_EQ' WHEN 2 THEN 'NSE_FNO' ELSE 'NSE_CURRENCY' END"
+
+
+def ticks_sql(received="ts"):
+    """DuckDB text of the records of all good packets; the time of receipt may be another than the event's."""
+    exchange = f"(CAST({received} AS DATE) + CAST({SECOND} AS TIME))"
+    columns = record_sql(
+        source="'broker'", batch_id="'b'", sequence="event_id",
+        event_id=f"sha256('b:' || {SEGMENT} || ':' || user_id || ':' || event_id)",
+        feed_type="CASE event_type WHEN 'click' THEN 'ticker' WHEN 'view' THEN 'quote' WHEN 'purchase' THEN 'full' ELSE 'previous_close' END",
+        exchange_segment=SEGMENT, security_id="CAST(user_id AS VARCHAR)", received_at=stamp(received),
+        trading_date=f"strftime({exchange} + INTERVAL 330 MINUTE, '%Y-%m-%d')", exchange_time=stamp(exchange),
+        last_price="value", last_quantity="event_id", close="CASE WHEN event_id % 2 = 0 THEN value ELSE 1 END")
+    return f"SELECT {columns} FROM events WHERE event_type <> 'error' AND user_id % 5 <> 4 AND user_id > 0"
+
+
+TICKS = ticks_sql()
+
+
+@query(TICKS)
 def live_packets(spark, sf):
-    rows, _ = normalize_packets(packets(spark, sf))
-    return rows.select("sequence", "feed_type", "exchange_segment", "security_id", "last_price",
-                       "last_quantity", "exchange_time", "trading_date", "close", "open_interest")
+    rows, _ = normalize_packets(dealt(packets(spark, sf)))
+    return rows
 
 
 @query("""
@@ -124,12 +142,7 @@ def live_rejected(spark, sf):
     return rejected.select("sequence", "reason")
 
 
-@query(f"""
-SELECT sha256('b:' || CASE user_id % 5 WHEN 0 THEN 'IDX_I' WHEN 1 THEN 'NSE_EQ' WHEN 2 THEN 'NSE_FNO'
-         ELSE 'NSE_CURRENCY' END || ':' || user_id || ':' || event_id) AS event_id,
-       event_id AS sequence, {stamp('ts')} AS received_at, value AS last_price, '2024-01-31' AS snapshot_date
-FROM events WHERE event_type <> 'error' AND user_id % 5 <> 4 AND user_id > 0
-""")
+@query(f"SELECT *, '2024-01-31' AS snapshot_date FROM ({TICKS})")
 def model_live_ticks(spark, sf):
     # The ticks arrive twice; the model has each of them once.
     space, sheet = layers(spark), market_contract(TICK_KEY)
@@ -138,8 +151,7 @@ def model_live_ticks(spark, sf):
         ingest(spark, space, "ticks", ticks, sheet, "2024-01-31", "append")
     bronze_full(spark, space, "ticks", "2024-01-31", sheet)
     live_ticks_model(spark, space, "ticks", "2024-01-31")
-    return tables.read(spark, space.resolve("nse_live_ticks", "silver")).select(
-        "event_id", "sequence", "received_at", "last_price", "snapshot_date")
+    return tables.read(spark, space.resolve("nse_live_ticks", "silver"))
 
 
 @query("""
