@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -193,8 +194,8 @@ class Vocabulary:
                 out += [x.encode() for x in self.words.findall(plain)]
         return out
 
-    def encode_words(self, words: list[bytes]) -> list[tuple[list[int], str]]:
-        """Ids, and ids as text, of each distinct word."""
+    def encode_words(self, words: list[bytes]) -> list[tuple[bytes, str]]:
+        """Ids, of four bytes each, and ids as text, of each distinct word."""
         cache = self.word_cache
         if len(cache) > CACHE_WORDS:
             cache.clear()
@@ -203,7 +204,7 @@ class Vocabulary:
         known = dict(self.encode_sorted(plain))
         for word, parts in fresh.items():
             ids = [i for p in parts for i in (known[p] if isinstance(p, bytes) else (p,))]
-            cache[word] = ids, " ".join(map(str, ids))
+            cache[word] = array("i", ids).tobytes(), " ".join(map(str, ids))
         return [cache[w] for w in words]
 
 
@@ -227,8 +228,8 @@ def _encode(path: str, data: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Ar
     distinct, number = distinct_words(words)
     made = vocabulary(path).encode_words(distinct)
     ids, lines = [x[0] for x in made], [x[1] for x in made]
-    count = np.array([len(x) for x in ids], np.int64)
-    flat = np.fromiter((i for x in ids for i in x), np.int32, int(count.sum()))
+    count = np.array([len(x) // 4 for x in ids], np.int64)
+    flat = np.frombuffer(b"".join(ids), np.int32)
     # The ids of all words in a row: each word's stretch of the distinct words' ids.
     size = count[number]
     end = np.cumsum(size)
