@@ -7,8 +7,8 @@ of length i ends with token t exactly if t is a suffix of it and the pair (last
 that is, BPE over the two tokens' symbols gives the two tokens again. So each distinct prefix is worked out
 once, and an encoding is read by following last tokens back.
 
-Decoding is a step of its own over a column of ids: each id is looked up in the vocabulary's tokens, which are joined
-as the file says (no decoder: by a space). The digest of the decoded text is taken from what the ids decode to.
+Decoding goes from lists of ids: each id is looked up in the vocabulary's tokens, which are joined as the file says (no
+decoder: by a space). decoded() does so for a column of any table; encode() takes its digest from what its ids decode to.
 
 The vocabulary is a `tokenizers` JSON file of BPE kind with word ends, found on every executor under the given
 path. It is parsed once per Python worker. There is no shuffle.
@@ -248,13 +248,6 @@ def _encode(path: str, data: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Ar
     }
 
 
-def encoded(docs: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
-    """One row per document: the kept columns, n_tokens, ids_sha256 and token_ids."""
-    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    schema += ", n_tokens bigint, ids_sha256 string, token_ids array<int>"
-    return map_texts(docs, text, keep, schema, lambda data, offsets: _encode(path, data, offsets))
-
-
 @lru_cache(maxsize=2)
 def tokens(path: str) -> pa.Array:
     """The token of each id, by its place."""
@@ -264,20 +257,22 @@ def tokens(path: str) -> pa.Array:
     return pa.array([known.get(i) for i in range(max(known) + 1)], pa.large_string())
 
 
+def _decode(path: str, lists: pa.ListArray) -> pa.Array:
+    """The text of each list of ids; null of a null list."""
+    size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    bounds = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int64))
+    words = pa.LargeListArray.from_arrays(bounds, tokens(path).take(lists.flatten()))
+    return pc.if_else(lists.is_valid(), pc.binary_join(words, pa.scalar(" ", pa.large_string())), None).cast(pa.string())
+
+
 def decoded(rows: DataFrame, path: str, ids: str = "token_ids", into: str = "decoded") -> DataFrame:
     """The rows with a column of the text that their ids decode to; a null list stays null, an empty one is ''."""
     at, names = rows.columns.index(ids), [*rows.columns, into]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema) + f", {into} string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokens(path)
         for batch in batches:
-            lists = batch.column(at)
-            size = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            bounds = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int64))
-            words = pa.LargeListArray.from_arrays(bounds, known.take(lists.flatten()))
-            text = pc.if_else(lists.is_valid(), pc.binary_join(words, pa.scalar(" ", pa.large_string())), None)
-            yield pa.RecordBatch.from_arrays([*batch.columns, text.cast(pa.string())], names=names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decode(path, batch.column(at))], names=names)
 
     return rows.mapInArrow(run, schema)
 
@@ -290,8 +285,16 @@ def encode(
     The output columns n_tokens, ids_sha256, decoded_sha256 and token_ids must not be among the kept ones.
     """
     keep = ["doc_id"] if keep is None else keep
-    both = decoded(encoded(docs, path, keep, text), path)
-    return both.select(
+    schema = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    schema += ", n_tokens bigint, ids_sha256 string, token_ids array<int>, decoded string"
+
+    def work(data: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+        # Decoded in the same Python worker: a second one beside it would hold the vocabulary again.
+        made = _encode(path, data, offsets)
+        return made | {"decoded": _decode(path, made["token_ids"])}
+
+    made = map_texts(docs, text, keep, schema, work)
+    return made.select(
         *keep, "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"), *["token_ids"] * with_ids
     )
 
