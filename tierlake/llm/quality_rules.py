@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .text import LOWER, Words, again, byte_sums, chunks, covered, inside, map_texts, per_row, span_hash, sums, windows
+from .text import LOWER, Words, again, chunks, covered, inside, map_texts, per_row, pieces_hash, sums, windows
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
@@ -68,7 +68,7 @@ def _measure(data: np.ndarray, offsets: np.ndarray, rules: Rules) -> dict[str, n
     chars = points[stop] - points[start]
     full = np.flatnonzero(chars > 0)
     line_row = np.searchsorted(offsets, start[full], "right") - 1
-    line_hash = span_hash(byte_sums(data), start[full], stop[full]) if len(full) else np.zeros(0, np.uint64)
+    line_hash = pieces_hash(data, start[full], stop[full])
     line_bounds = np.searchsorted(line_row, np.arange(len(offsets)))
     own = line_hash ^ (line_row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     _, first = np.unique(own, return_index=True)

@@ -12,10 +12,11 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 U64 = np.uint64
 PRIME = U64((1 << 61) - 1)
 BASE = 0x1A35E6C1D9F0B47D
@@ -145,7 +146,8 @@ class Words:
         np.cumsum(self.end - self.start, out=size[1:])
         raw = np.ascontiguousarray(self.data[~self.gap])
         words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.start), [None, pa.py_buffer(size), pa.py_buffer(raw)])
-        coded = words.dictionary_encode()
+        # The system's allocator gives scratch memory back; Arrow's own keeps it.
+        coded = pc.dictionary_encode(words, memory_pool=pa.system_memory_pool())
         return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
     def hashes(self) -> np.ndarray:
@@ -153,6 +155,12 @@ class Words:
         return np.fromiter(map(xxhash.xxh3_64_intdigest, distinct.to_pylist()), U64, len(distinct))[number]
 
 
+def pieces_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """xxh3 of byte spans, for few and long ones."""
+    raw = memoryview(np.ascontiguousarray(data))
+    return np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(start.tolist(), end.tolist())), U64, len(start))
+
+
 def distinct_words(words: Words) -> tuple[list[bytes], np.ndarray]:
     """The distinct pieces of a chunk and, for each piece, the number of its distinct one."""
     distinct, number = words.numbers()
