@@ -49,18 +49,20 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return found.replace("-", "")[:16]
 
 
-def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
-                  ingest_date: str | None, checkpoint: str, strict: bool) -> Callable[[DataFrame, int], None]:
+def publish_batch(spark: SparkSession, name: TableName, rows: DataFrame) -> None:
+    """Write the partitions of a micro-batch; one that runs again overwrites its own partitions only."""
+    if tables.exists(spark, name):
+        tables.overwrite_partitions(spark, name, rows)
+    else:
+        tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True)
+
+
+def append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
+                 ingest_date: str | None, checkpoint: str, strict: bool) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that takes landed lines to the Lake, faulty ones to the table of rejects."""
     table = layers.resolve(job_name(app), "lake")
     refused = layers.resolve(job_name(f"{app}_rejected"), "lake")
 
-    def publish(spark: SparkSession, name: TableName, rows: DataFrame) -> None:
-        if tables.exists(spark, name):
-            # A batch that runs again overwrites its own partitions only.
-            tables.overwrite_partitions(spark, name, rows)
-        else:
-            tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True)
-
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         mark = F.lit(f"{checkpoint_id(spark, checkpoint)}-{epoch}")
@@ -73,11 +75,11 @@ def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
             good = fault.isNull()
         rows = prepare(tagged.filter(good).select(*contract.names), contract, keys)
         day = F.to_date(contract.order_by) if ingest_date is None else F.lit(run_day(ingest_date))
-        publish(spark, table, rows.withColumns({"ingest_date": day, "stream_batch": mark}))
+        publish_batch(spark, table, rows.withColumns({"ingest_date": day, "stream_batch": mark}))
         bad = tagged.filter(fault.isNotNull()).select(F.col("_line").alias("value"), fault.alias("reason"))
         if not strict and not bad.isEmpty():
             today = F.current_date() if ingest_date is None else F.lit(run_day(ingest_date))
-            publish(spark, refused, bad.withColumns({"ingest_date": today, "stream_batch": mark}))
+            publish_batch(spark, refused, bad.withColumns({"ingest_date": today, "stream_batch": mark}))
 
     return write
 
@@ -101,7 +103,7 @@ def ingest_stream(spark: SparkSession, path: str, layers: Layers, app: str, cont
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
         read_landed(spark, path, max_files=max_files).writeStream
-        .foreachBatch(_append_batch(layers, app, contract, keys, ingest_date, checkpoint, strict))
+        .foreachBatch(append_batch(layers, app, contract, keys, ingest_date, checkpoint, strict))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
