@@ -9,6 +9,7 @@ from catalogue.market import packets, record_sql, ticks_sql
 from tierlake import tables
 from tierlake.plans.bronze import bronze_full
 from tierlake.session import workspace
+from tierlake.streaming.compaction import compact_dates
 from tierlake.streaming.ingest import dedup_stream, ingest_stream, upsert_batch
 from tierlake.sources.market import TICK_KEY, market_contract
 from tierlake.streaming.state import keep_state, publish_state, read_state
@@ -58,6 +59,18 @@ def stream_ingest_twice(spark, sf):
     return tables.read(spark, space.resolve("events", "lake")).drop("ingest_date")
 
 
+@query(f"SELECT {EVENT_COLUMNS} FROM events UNION ALL SELECT {EVENT_COLUMNS} FROM events")
+def stream_compacted(spark, sf):
+    # Past dates are compacted after each of two ingests; the second adds rows to compacted dates.
+    folder, sheet, space = landed(spark, sf), contract(spark, EVENTS_BY_ID), layers(spark)
+    table = space.resolve("events", "lake")
+    for run in ("first", "replay"):
+        ingest_stream(spark, f"{folder}/events", space, "events", sheet, f"{folder}/{run}",
+                      max_files=10).awaitTermination()
+        compact_dates(spark, table, ["event_id"], "2024-01-21")
+    return tables.read(spark, table).drop("ingest_date")
+
+
 @query(f"SELECT DISTINCT {EVENT_COLUMNS}, '2024-01-31' AS snapshot_date FROM events")
 def stream_replay_without_keys(spark, sf):
     # A contract without keys keeps distinct rows; the replay adds none.

@@ -18,6 +18,8 @@ from tierlake.plans.lake import prepare
 # The physical partitions of a streamed Lake table; the batch is not among its columns.
 STREAM_PARTITIONS = ("ingest_date", "stream_batch")
 HIDDEN = ("stream_batch",)
+# What readers see until a compaction is published.
+BATCHES = "NOT coalesce(stream_batch LIKE 'compact-%', false)"
 
 
 def read_landed(spark: SparkSession, path: str, *, max_files: int | None = None) -> DataFrame:
@@ -54,11 +56,11 @@ def publish_batch(spark: SparkSession, name: TableName, rows: DataFrame) -> None
     if tables.exists(spark, name):
         tables.overwrite_partitions(spark, name, rows)
     else:
-        tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True)
+        tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True, condition=BATCHES)
 
 
-def append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
-                 ingest_date: str | None, checkpoint: str, strict: bool) -> Callable[[DataFrame, int], None]:
+def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
+                  ingest_date: str | None, checkpoint: str, strict: bool) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that takes landed lines to the Lake, faulty ones to the table of rejects."""
     table = layers.resolve(job_name(app), "lake")
     refused = layers.resolve(job_name(f"{app}_rejected"), "lake")
@@ -103,7 +105,7 @@ def ingest_stream(spark: SparkSession, path: str, layers: Layers, app: str, cont
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return (
         read_landed(spark, path, max_files=max_files).writeStream
-        .foreachBatch(append_batch(layers, app, contract, keys, ingest_date, checkpoint, strict))
+        .foreachBatch(_append_batch(layers, app, contract, keys, ingest_date, checkpoint, strict))
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tierlake.contract import Contract
 from tierlake.functions.privacy import Keys
 from tierlake.names import Layers, job_name
-from tierlake.streaming.ingest import append_batch, checkpoint_id, publish_batch
+from tierlake.streaming.ingest import _append_batch as append_batch, checkpoint_id, publish_batch
 
 FILE = "file string, minute timestamp"
 

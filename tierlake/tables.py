@@ -100,7 +100,8 @@ def _verify(found: DataFrame, wanted: Mapping, what: str) -> None:
 
 def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by: Sequence[str] = (),
             *, day: str | None = None, hidden: Sequence[str] = (), allow_empty: bool = False,
-            rebalance: bool = True, notes: Mapping[str, str] | None = None, verify: str | None = None) -> int:
+            rebalance: bool = True, notes: Mapping[str, str] | None = None, verify: str | None = None,
+            condition: str | None = None) -> int:
     """Write ``df`` as a new version and point the table at it. Returns the row count.
 
     ``notes`` become properties of the table in the same step, so no reader and no later
@@ -108,7 +109,7 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
 
     ``day`` names a timestamp column: the physical table is partitioned by its day, in a
     column that the view leaves out. So it does with the ``hidden`` text columns; rows that
-    come without them later have null there.
+    come without them later have null there. Readers see rows that meet the ``condition`` only.
 
     ``verify`` compares the new version with what was written before anybody sees it: its
     ``rows``, from footers, or its ``values`` too, by checksums, which reads it once.
@@ -141,12 +142,24 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
              _PARTS: ",".join(partition_by), _HIDDEN: ",".join(hidden)} | ({_DAY_OF: day} if day else {})
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
     spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) "
-              f"AS SELECT {columns} FROM {target.sql}")
+              f"AS SELECT {columns} FROM {target.sql} WHERE {condition or 'true'}")
     if known.get(_PREVIOUS):
         spark.sql(f"DROP TABLE IF EXISTS {TableName(table.database, known[_PREVIOUS]).sql}")
     return rows
 
 
+def show(spark: SparkSession, table: TableName, condition: str, notes: Mapping[str, str]) -> None:
+    """Let readers see only rows of the current version that meet a condition, also on hidden columns.
+
+    The view and its notes change in one step; a note of ``""`` stands for none.
+    """
+    known = {key: value for key, value in properties(spark, table).items() if key.startswith("tierlake.")}
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in {**known, **notes}.items())
+    columns = ", ".join(f"`{name}`" for name in read(spark, table).columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {table.sql} TBLPROPERTIES ({listed}) AS SELECT {columns} "
+              f"FROM {physical(spark, table).sql} WHERE {condition}")
+
+
 def check_compatible(source: DataFrame, target: DataFrame) -> None:
     """Same names (any case), same order, same types."""
     def shape(df: DataFrame) -> list:
