@@ -9,6 +9,7 @@ from tierlake import tables
 from tierlake.functions.privacy import Keys, decrypt, hmac_sha256, mask, protect
 from tierlake.operators.quality import duplicate_names
 from tierlake.plans.lake import ingest, prepare
+from tierlake.plans.quarantine import ingest_checked
 from tierlake.session import workspace
 from tierlake.sources.files import read_files, resolve_dated_file
 
@@ -202,3 +203,38 @@ def lake_replace(spark, sf):
     ingest(spark, space, "orders", orders.select(*wide.names), wide, "2024-01-15")
     ingest(spark, space, "orders", orders.select(*slim.names), slim, "2024-01-16", "replace")
     return tables.read(spark, space.resolve("orders", "lake"))
+
+
+# A line of four cells; of five rows one has a cell that is no number, one a cell too many, one a cell too few.
+ODD_USER = "CASE WHEN event_id % 5 = 1 THEN 'x' ELSE '' END || coalesce(CAST(user_id AS {text}), '')"
+
+
+@query(f"""
+WITH lines AS (SELECT event_id, event_type, {ODD_USER.format(text='VARCHAR')} AS cell,
+  CASE WHEN event_id % 10 = 1 THEN 'never' ELSE {stamp('ts')} END AS moment FROM events),
+texts AS (SELECT *, event_id || ',' || moment || ',' || event_type || ',' || cell AS line FROM lines)
+SELECT event_id, NULL AS reason, NULL AS "column", NULL AS value FROM texts WHERE event_id % 5 IN (0, 4)
+UNION ALL SELECT event_id, 'uncastable', 'user_id', cell FROM texts WHERE event_id % 5 = 1
+UNION ALL SELECT event_id, 'uncastable', 'ts', 'never' FROM texts WHERE event_id % 10 = 1
+UNION ALL SELECT NULL, 'ragged', NULL, line || ',more' FROM texts WHERE event_id % 5 = 2
+UNION ALL SELECT NULL, 'ragged', NULL, event_id || ',' || moment FROM texts WHERE event_id % 5 = 3
+""")
+def quarantine_faults(spark, sf):
+    # CSV files with planted faults; a row for each good row, each faulty cell and each ragged line.
+    folder, space = workspace(spark, "quarantine"), layers(spark)
+    sheet = contract(spark, "event_id bigint key\nts timestamp\nevent_type string\nuser_id bigint")
+    moment = F.expr("CASE WHEN event_id % 10 = 1 THEN 'never' ELSE date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSSSSS') END")
+    cells = [F.col("event_id").cast("string"), moment, F.col("event_type"), F.expr(ODD_USER.format(text="STRING"))]
+    kind = F.col("event_id") % 5
+    line = F.when(kind == 2, F.concat_ws(",", *cells, F.lit("more"))).when(
+        kind == 3, F.concat_ws(",", *cells[:2])).otherwise(F.concat_ws(",", *cells))
+    # The name of the only column is the header, and the line its only cell.
+    lines = load(spark, sf, "events").select(line.alias("event_id,ts,event_type,user_id"))
+    lines.write.option("header", True).option("sep", "\u0001").option("quote", "").csv(f"{folder}/events")
+    ingest_checked(spark, space, "events", f"{folder}/events/*.csv", sheet, "2024-01-31")
+    good = tables.read(spark, space.resolve("events", "lake")).select("event_id")
+    bad = tables.read(spark, space.resolve("events_quarantine", "lake")).filter("file LIKE '%.csv'")
+    cells = bad.select("reason", "row", F.explode("faults").alias("cell")).select(
+        F.get_json_object("row", "$.event_id").cast("bigint").alias("event_id"), "reason", "cell.*")
+    ragged = bad.filter("reason = 'ragged'").select("reason", F.col("row").alias("value"))
+    return good.unionByName(cells, True).unionByName(ragged, True)

@@ -105,7 +105,7 @@ def _read_json(spark: SparkSession, path: str, contract: Contract | None, strict
     return known.select(F.variant_get("_line", "$", f"struct<{kinds}>").alias("_row")).select("_row.*")
 
 
-def _header_groups(spark: SparkSession, path: str) -> list[list[str]]:
+def header_groups(spark: SparkSession, path: str) -> list[list[str]]:
     """The files of a path in groups of one header each; one group needs no look into the files."""
     files = spark.read.option("header", True).csv(path).inputFiles()
     if len(files) < 2:
@@ -121,7 +121,7 @@ def _header_groups(spark: SparkSession, path: str) -> list[list[str]]:
 def _read_csv(spark: SparkSession, path: str, infer: bool) -> DataFrame:
     """Columns by name, whatever their order in a file; a row with a cell too many or too few fails the job."""
     parts = []
-    for files in _header_groups(spark, path):
+    for files in header_groups(spark, path):
         reader = spark.read.option("header", True)
         schema = reader.option("inferSchema", infer).csv(files).schema
         reader = spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)

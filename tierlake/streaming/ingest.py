@@ -34,15 +34,16 @@ def tag_lines(lines: DataFrame, contract: Contract) -> DataFrame:
     """Lines as ``_line``, the contract's columns as text, and ``_reason`` where there is a fault.
 
     A line that is no JSON object is ``unparsable``; one with fields outside the contract
-    names them. A contract field that a line lacks is null.
+    names them. A contract field that a line lacks is null. Other columns of ``lines`` follow.
     """
     names = F.json_object_keys("value")
     extra = F.array_except(names, F.array(*(F.lit(name) for name in contract.names)))
     reason = F.when(names.isNull(), "unparsable").when(
         F.size(extra) > 0, F.concat(F.lit("undeclared: "), F.concat_ws(", ", extra)))
     fields = F.from_json("value", contract.text_schema())
-    return lines.select(F.col("value").alias("_line"), reason.alias("_reason"), fields.alias("_fields")).select(
-        "_line", "_reason", "_fields.*")
+    rest = [c for c in lines.columns if c != "value"]
+    return lines.select(F.col("value").alias("_line"), reason.alias("_reason"), fields.alias("_fields"), *rest).select(
+        "_line", "_reason", "_fields.*", *rest)
 
 
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
