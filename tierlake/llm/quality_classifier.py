@@ -61,7 +61,7 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     if len(row):
         parts.append((row[1:][two], mix(word[1:] * U64(3) + word[:-1])[two]))
         parts.append((row[1:][two], mix(shape[1:] * U64(5) + shape[:-1])[two]))
-        parts.append((row[1:], np.where(two & (word[1:] == word[:-1]), U64(11), U64(13))))
+        parts.append((row[1:][two], np.where(word[1:] == word[:-1], U64(11), U64(13))[two]))
     rows = np.concatenate([p[0] for p in parts]).astype(np.int64)
     slots = (np.concatenate([p[1] for p in parts]) & U64(2**BITS - 1)).astype(np.int64)
     key, count = np.unique(rows << BITS | slots, return_counts=True)
