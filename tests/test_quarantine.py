@@ -44,6 +44,9 @@ def test_count_of_text_only_rows_sees_ragged_ones(spark, tmp_path, sheet):
     write(tmp_path / "in", t="a,b\n1,2\n3\n4,5,6\n")
     good, bad = split_rows(tag_rows(spark, f"{tmp_path}/in/t.csv", contract), contract)
     assert good.count() == 1 and bad.count() == 2
+    write(tmp_path / "in", u="b,a\n7,8\n9\n")
+    good, bad = split_rows(tag_rows(spark, f"{tmp_path}/in/*.csv", contract), contract)
+    assert good.count() == 2 and bad.count() == 3 and rows(good) == [("1", "2"), ("8", "7")]
 
 
 def test_json_faults(spark, tmp_path, sheet):

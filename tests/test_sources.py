@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tests.conftest import rows
 from tierlake.plans import audit
 from tierlake.plans.lake import ingest
-from tierlake.sources.files import file_format, list_files, newest_file, read_files, resolve_dated_file
+from tierlake.sources.files import _inferred, file_format, list_files, newest_file, read_files, resolve_dated_file
 from tierlake.sources.jdbc import narrow, table_options
 
 DAY = "2024-01-05"
@@ -110,12 +110,49 @@ def test_csv_columns_go_by_name(spark, tmp_path, sheet):
     found = read_files(spark, f"{folder}/*.csv", contract)
     assert rows(found, "a", "b") == [(str(i), "10") for i in range(4)]
     assert rows(read_files(spark, f"{folder}/*.csv"), "a", "b") == [(i, 10) for i in range(4)]
+    with pytest.raises(Exception, match="header|schema"):
+        read_files(spark, f"{folder}/*.csv", contract, one_header=True).collect()
     for ragged in ("a,b\n1\n", "a,b\n1,2,3\n"):
+        (folder / "x4.csv").write_text(ragged)
+        with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+            read_files(spark, f"{folder}/*.csv", contract).collect()
         (tmp_path / "r.csv").write_text(ragged)
         with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
             read_files(spark, f"{tmp_path}/r.csv", contract).collect()
 
 
+def test_csv_files_with_several_headers_are_one_scan(spark, tmp_path, sheet):
+    contract = sheet([("code", "string"), ("n", "int"), ("at", "timestamp")])
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text('code,n,at\n007,1,2026-01-01\n"x,y",,2026-01-02 10:00:00\n')
+    (folder / "b.csv").write_text('\n"at","code",n\n2026-01-03,"say \\"hi\\"",3\n\n')
+    (folder / "c.csv").write_text("n,at,code\n")
+    (folder / "d.csv").write_text("")
+    found = read_files(spark, f"{folder}/*.csv", contract)
+    assert rows(found, "code", "n", "at") == [
+        ("007", "1", "2026-01-01"), ('say "hi"', "3", "2026-01-03"), ("x,y", None, "2026-01-02 10:00:00")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1 and "FileScan text" not in plan and "Python" not in plan
+    assert found.select("n").count() == 3
+    # Without a contract a type is found over the rows of all files.
+    kinds = dict(read_files(spark, f"{folder}/*.csv").dtypes)
+    assert kinds == {"code": "string", "n": "int", "at": "timestamp"}
+    for wrong in ("code,n\n1,2\n", "code,n,at,more\n1,2,3,4\n", "code,n,At\n1,2,3\n", "n,n,at\n1,2,3\n"):
+        (folder / "e.csv").write_text(wrong)
+        with pytest.raises(ValueError, match="A file has the columns"):
+            read_files(spark, f"{folder}/*.csv", contract)
+
+
+@pytest.mark.parametrize("values, kind", [
+    (["1", None, "-2"], "int"), (["1", "3000000000"], "bigint"), (["1", "2.5", "1e3"], "double"), ([None, None], "string"),
+    (["2026-01-05", "2026-1-6"], "date"), (["2026-01-05", "2026-01-05 10:00:00"], "timestamp"), (["true", "False"], "boolean"),
+    (["1", "x"], "string"), (["2026-01-05", "1"], "string"), ([], "string")])
+def test_inferred_types(spark, values, kind):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    assert dict(_inferred(df).dtypes) == {"v": kind}
+
+
 def test_jdbc_options(spark):
     base = {"url": "jdbc:x", "user": "u"}
     assert table_options(base, "orders", "public") == base | {"dbtable": '"public"."orders"'}

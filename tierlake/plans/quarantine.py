@@ -15,28 +15,20 @@ from tierlake.contract import Contract
 from tierlake.functions.privacy import Keys
 from tierlake.names import Layers, identifier, job_name, run_day
 from tierlake.plans.lake import ingest
-from tierlake.sources.files import exists, file_format, header_groups
+from tierlake.sources.files import CsvFiles, exists, file_format
 from tierlake.streaming.ingest import tag_lines
 
 _TAGS = ("_line", "_reason", "_file")
 
 
 def _tag_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
-    parts = []
-    for files in header_groups(spark, path):
-        names = spark.read.option("header", True).csv(files).columns
-        contract.check(spark.createDataFrame([], ", ".join(f"`{name}` string" for name in names)))
-        # Without pruning a row is judged by all its cells, whatever columns are asked for.
-        reader = (spark.read.option("header", True).option("mode", "PERMISSIVE").option("columnPruning", False)
-                  .option("columnNameOfCorruptRecord", "_line"))
-        schema = ", ".join(f"`{name}` string" for name in [*names, "_line"])
-        lines = reader.schema(schema).csv(files)
-        reason = F.when(F.col("_line").isNotNull(), "ragged").alias("_reason")
-        parts.append(lines.select(*contract.names, "_line", reason, F.col("_metadata.file_path").alias("_file")))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    files = CsvFiles(spark, path, contract.names)
+    if files.heads is None:
+        contract.check(spark.createDataFrame([], ", ".join(f"`{name}` string" for name in files.first)))
+    # Without pruning a row is judged by all its cells, whatever columns are asked for.
+    lines = files.rows(files.reader(mode="PERMISSIVE", columnPruning=False, columnNameOfCorruptRecord="_line"), ["_line"])
+    reason = F.when(F.col("_line").isNotNull(), "ragged").alias("_reason")
+    return lines.select(*contract.names, "_line", reason, "_file")
 
 
 def tag_rows(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
