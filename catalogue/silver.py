@@ -9,8 +9,9 @@ from tierlake import tables
 from tierlake.operators.checksums import differing_rows
 from tierlake.operators.filters import date_scope
 from tierlake.operators.joins import missing_keys
-from tierlake.operators.quality import run_tests
+from tierlake.operators.quality import require_passing, run_tests
 from tierlake.operators.sequences import day_gap
+from tierlake.plans.batch_tests import run_batch_tests
 from tierlake.plans.bronze import bronze_full
 from tierlake.plans.gold import publish_gold
 from tierlake.plans.lake import ingest
@@ -347,6 +348,38 @@ def quality_labels(spark, sf):
     ])
 
 
+@query("""
+WITH late AS (SELECT event_id, event_type, user_id, value FROM events WHERE ts >= TIMESTAMP '2024-01-25'),
+ again AS (SELECT event_id, event_type, user_id, value FROM events WHERE ts < TIMESTAMP '2024-01-05' AND event_id % 11 = 0),
+ twice AS (SELECT event_id, upper(event_type), user_id, value FROM late WHERE event_id % 7 = 0),
+ whole AS (SELECT event_id, event_type, user_id, value FROM events UNION ALL FROM again UNION ALL FROM twice)
+SELECT 'not_null' AS test, 'user_id' AS "column", count_if(user_id IS NULL) AS violations FROM whole
+UNION ALL SELECT 'accepted_values', 'event_type',
+ count_if(event_type NOT IN (SELECT DISTINCT event_type FROM events)) FROM whole
+UNION ALL SELECT 'unique', 'event_id', count(*) FROM (FROM whole SELECT event_id
+   WHERE event_id IS NOT NULL GROUP BY event_id HAVING count(*) > 1)
+UNION ALL SELECT 'unique_combination', 'event_id,event_type', count(*) FROM (FROM whole SELECT event_id, event_type
+   GROUP BY ALL HAVING count(*) > 1)
+""")
+def silver_batch_tests(spark, sf):
+    # An append that brings ids of the first days again and some of its own twice, tested without the history between.
+    space, events = layers(spark), daily(load(spark, sf, "events"))
+    kinds = [row[0] for row in events.select("event_type").distinct().collect()]
+    late = F.col("ts") >= F.lit("2024-01-25").cast("timestamp_ntz")
+    again = events.filter((F.col("ts") < F.lit("2024-01-05").cast("timestamp_ntz")) & (F.col("event_id") % 11 == 0)).withColumn(
+        "snapshot_date", F.lit("2024-01-31").cast("date"))
+    twice = events.filter(late & (F.col("event_id") % 7 == 0)).withColumn("event_type", F.upper("event_type"))
+    batch = events.filter(late).unionByName(again).unionByName(twice)
+    tests = [{"test": "not_null", "column": "user_id"}, {"test": "accepted_values", "column": "event_type", "values": kinds},
+             {"test": "unique", "column": "event_id"}, {"test": "unique_combination", "columns": ["event_id", "event_type"]}]
+    table = space.resolve("events", "silver")
+    write_silver(spark, space, "events", events.filter(~late))
+    # A first batch without rows builds the indexes, as the tests of an earlier run have done.
+    require_passing(run_batch_tests(spark, table, events.limit(0), tests))
+    write_silver(spark, space, "events", batch, "append", keep_index=True)
+    return run_batch_tests(spark, table, batch, tests)
+
+
 @query("""
 SELECT l_orderkey, l_linenumber, CASE kind WHEN 1 THEN 'lost' WHEN 2 THEN 'doubled' ELSE 'changed' END AS status,
        CASE kind WHEN 2 THEN 0 ELSE n END AS missing, CASE kind WHEN 1 THEN 0 ELSE n END AS extra

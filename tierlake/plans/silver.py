@@ -17,6 +17,7 @@ from tierlake.operators.filters import apply_filters, day_literal, on_date
 from tierlake.operators.joins import equal_pairs, join_on, join_type
 from tierlake.operators.quality import require_passing, run_tests
 from tierlake.operators.sequences import day_gap
+from tierlake.plans.batch_tests import run_batch_tests
 from tierlake.sources.instruments import SEGMENTS
 from tierlake.sources.market import RECORD, SNAPSHOT_KEY, TICK_KEY
 
@@ -138,14 +139,15 @@ def explain_silver(spark: SparkSession, spec: Mapping, day: str | None = None) -
 
 def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame, strategy: str = "overwrite",
                  *, keys: Sequence[str] = (), delete_date: str | None = None,
-                 one_day: bool = False, stage: bool = False, verify: str | None = None) -> int:
+                 one_day: bool = False, stage: bool = False, verify: str | None = None,
+                 keep_index: bool = False) -> int:
     """Write a model. Tables with a ``snapshot_date`` are partitioned by it.
 
     ``insert_overwrite`` replaces the dates that arrive, keeps rows without a date, and with
     ``delete_date`` clears that date even when nothing arrives for it. ``merge`` updates by
     key; ``stage`` writes its source out first. ``one_day``: all rows have one date, so the
     write needs no shuffle. ``verify`` compares what was written with what is then there, by
-    ``rows`` or by ``values`` (``append``: by rows).
+    ``rows`` or by ``values`` (``append``: by rows). ``keep_index``: see ``tables.append``.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"Silver is written by the strategy {', '.join(STRATEGIES)}, not {strategy!r}")
@@ -159,7 +161,7 @@ def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame,
     if strategy == "overwrite" or not tables.exists(spark, table):
         return tables.replace(spark, table, df, parts, allow_empty=True, rebalance=not one_day, verify=verify)
     if strategy == "append":
-        return tables.append(spark, table, df, verify=bool(verify))
+        return tables.append(spark, table, df, verify=bool(verify), keep_index=keep_index)
     seen = Observation()
     if delete_date is not None:
         arrives = F.col("snapshot_date") == F.lit(run_day(delete_date))
@@ -173,17 +175,28 @@ def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame,
 
 
 def run_silver(spark: SparkSession, layers: Layers, spec: Mapping, run_date: str | None = None,
-               tests: Sequence[Mapping] = (), verify: str | None = "rows") -> int:
-    """Build a specification, write it by its strategy, verify the write, then test the written table."""
+               tests: Sequence[Mapping] = (), verify: str | None = "rows", *, whole: bool = True) -> int:
+    """Build a specification, write it by its strategy, verify the write, then test the written table.
+
+    With ``whole=False`` the tests after an append or a merge leave out the history that earlier runs have
+    tested (``run_batch_tests``); the rows to write are then stored once, beside the table.
+    """
     name = identifier((spec.get("target_table") or "").strip(), "target_table")
     strategy = (spec.get("strategy") or "overwrite").strip()
+    table, keys = layers.resolve(name, "silver"), spec.get("keys") or ()
+    built = build_silver(spark, spec, run_date)
+    if tests and not whole and strategy in ("append", "merge") and tables.exists(spark, table):
+        with tables.staged(spark, table, built) as batch:
+            count = write_silver(spark, layers, name, batch, strategy, keys=keys, verify=verify, keep_index=True)
+            require_passing(run_batch_tests(spark, table, batch, tests))
+        return count
     count = write_silver(
-        spark, layers, name, build_silver(spark, spec, run_date), strategy,
-        keys=spec.get("keys") or (), delete_date=run_date if strategy == "insert_overwrite" else None,
+        spark, layers, name, built, strategy, keys=keys,
+        delete_date=run_date if strategy == "insert_overwrite" else None,
         one_day=any(source.get("snapshot_date") for source in spec["sources"]),
         stage=len(spec["sources"]) > 1, verify=verify)
     if tests:
-        require_passing(run_tests(tables.read(spark, layers.resolve(name, "silver")), tests))
+        require_passing(run_tests(tables.read(spark, table), tests))
     return count
 
 

@@ -26,7 +26,7 @@ from tierlake.operators import checksums
 _CURRENT, _PREVIOUS = "tierlake.current", "tierlake.previous"
 _PARTS, _DAY_OF, _HIDDEN = "tierlake.partitions", "tierlake.day_of", "tierlake.hidden"
 _DAY = "_day"
-# "<folder>:<slots>:<keys>" of the key index of the current version, below that table's own folder.
+# "<folder>:<slots>:<keys>" of every key index of the current version, joined by ";", below that table's own folder.
 _INDEX = "tierlake.key_index"
 
 
@@ -184,10 +184,18 @@ def _aligned(spark: SparkSession, table: TableName, df: DataFrame) -> tuple[str,
     return target, df.select(*(F.col(f"`{c}`") for c in columns))
 
 
-def append(spark: SparkSession, table: TableName, df: DataFrame, *, verify: bool = False) -> int:
-    """Add rows. ``verify`` counts the table, from footers, before and after."""
+def append(spark: SparkSession, table: TableName, df: DataFrame, *, verify: bool = False,
+           keep_index: bool = False) -> int:
+    """Add rows. ``verify`` counts the table, from footers, before and after.
+
+    ``keep_index`` adds their keys to the key indexes, which are dropped otherwise. That reads ``df`` once
+    more per index, so it must give the same rows each time, as a stored table does.
+    """
     target, rows = _aligned(spark, table, df)
-    _forget_index(spark, table)
+    if keep_index:
+        _extend_indexes(spark, table, df)
+    else:
+        _forget_index(spark, table)
     before = spark.table(target).count() if verify else 0
     counted, seen = _counted(rows)
     counted.write.insertInto(target)
@@ -201,7 +209,7 @@ def overwrite_partitions(spark: SparkSession, table: TableName, df: DataFrame,
     """Replace exactly the partitions that occur in ``df``, which may read the table itself.
 
     ``verify`` compares the partitions afterwards with what was written, by ``rows`` or ``values``.
-    A key index is dropped unless ``indexed`` says that it already has the keys of ``df``.
+    Key indexes are dropped unless ``indexed`` says that they already have the keys of ``df``.
     """
     parts = partition_columns(spark, table)
     if not parts:
@@ -258,7 +266,7 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
 
 
 def _forget_index(spark: SparkSession, table: TableName) -> None:
-    """Take the key index out of use before rows are written that it does not know."""
+    """Take the key indexes out of use before rows are written that they do not know."""
     if properties(spark, table).get(_INDEX):
         spark.sql(f"ALTER VIEW {table.sql} UNSET TBLPROPERTIES IF EXISTS ('{_INDEX}')")
 
@@ -269,32 +277,44 @@ def _index_path(spark: SparkSession, table: TableName, folder: str) -> str:
     return f"{found.first()['data_type'].rstrip('/')}/{folder}"
 
 
+def _indexes(spark: SparkSession, table: TableName) -> dict[tuple[str, ...], tuple[str, int]]:
+    """Folder and slots of every key index of a table, by its keys."""
+    notes = (note.split(":", 2) for note in properties(spark, table).get(_INDEX, "").split(";") if note)
+    return {tuple(keys.split(",")): (folder, int(slots)) for folder, slots, keys in notes}
+
+
 def _write_index(spark: SparkSession, table: TableName, rows: DataFrame, slots: int, keys: Sequence[str]) -> str:
     """A new index, named by the table's note only once it is whole. Returns its path."""
     folder = f"_keys_{uuid.uuid4().hex[:16]}"
     path = _index_path(spark, table, folder)
     rows.write.parquet(path)
-    set_property(spark, table, _INDEX, f"{folder}:{slots}:{','.join(keys)}")
+    known = {**_indexes(spark, table), tuple(keys): (folder, slots)}
+    set_property(spark, table, _INDEX, ";".join(f"{place}:{n}:{','.join(of)}" for of, (place, n) in known.items()))
     return path
 
 
 def _index(spark: SparkSession, table: TableName, keys: Sequence[str], slots: int) -> tuple[str, int]:
     """Path and slots of a table's key index; built by one pass over the key columns where there is none."""
-    folder, _, rest = properties(spark, table).get(_INDEX, "").partition(":")
-    known, _, of = rest.partition(":")
-    if folder and of == ",".join(keys):
-        return _index_path(spark, table, folder), int(known)
+    known = _indexes(spark, table).get(tuple(keys))
+    if known:
+        return _index_path(spark, table, known[0]), known[1]
     rows = key_index.bitmaps(read(spark, table), keys, partition_columns(spark, table), slots)
     return _write_index(spark, table, rows, slots, keys), slots
 
 
+def _extend_indexes(spark: SparkSession, table: TableName, df: DataFrame) -> None:
+    """Add the keys of rows that are about to be written: one too many costs a read, one too few would be lost."""
+    parts, kinds = partition_columns(spark, table), read(spark, table).schema
+    for keys, (folder, slots) in _indexes(spark, table).items():
+        typed = df.select(*(F.col(f"`{c}`").cast(kinds[c].dataType).alias(c) for c in dict.fromkeys([*keys, *parts])))
+        key_index.bitmaps(typed, keys, parts, slots).write.mode("append").parquet(_index_path(spark, table, folder))
+
+
 def compact_index(spark: SparkSession, table: TableName) -> None:
-    """Write the key index anew, with one row per partition and stretch."""
-    note = properties(spark, table).get(_INDEX)
-    if note:
-        folder, slots, keys = note.split(":", 2)
+    """Write the key indexes anew, with one row per partition and stretch."""
+    for keys, (folder, slots) in _indexes(spark, table).items():
         rows = key_index.merged(spark.read.parquet(_index_path(spark, table, folder)), partition_columns(spark, table))
-        _write_index(spark, table, rows, int(slots), keys.split(","))
+        _write_index(spark, table, rows, slots, keys)
 
 
 def holding(spark: SparkSession, table: TableName, batch: DataFrame, keys: Sequence[str],
@@ -347,8 +367,9 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     # Lists of partition values: as many as there are date partitions.
     arriving = source.select(*parts).distinct().collect()
     if set(parts) <= set(keys):
+        _extend_indexes(spark, table, source)
         return overwrite_partitions(
-            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys), verify=verify)
+            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys), indexed=True, verify=verify)
     # Only key and partition columns are read, and only of partitions that the index names.
     maybe = holding(spark, table, source, keys, slots)
     matched = (
@@ -367,10 +388,8 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
                  .groupBy(*parts).agg(F.count(F.lit(1)).alias("_rows")).collect())
         emptied = [row for row in sizes if row["_rows"] == left[place(row)]["_rows"]]
     old = target.filter(_any_of(parts, [*left.values(), *arriving]))
-    # The index first: a key too many in it costs a read, a key too few would be lost.
-    path, slots = _index(spark, table, keys, slots)
-    typed = source.select(*(F.col(f"`{c}`").cast(target.schema[c].dataType).alias(c) for c in dict.fromkeys([*keys, *parts])))
-    key_index.bitmaps(typed, keys, parts, slots).write.mode("append").parquet(path)
+    _index(spark, table, keys, slots)
+    _extend_indexes(spark, table, source)
     rows = overwrite_partitions(spark, table, upsert_rows(old, source, keys), indexed=True, verify=verify)
     for row in emptied:
         drop_partition(spark, table, {p: row[p] for p in parts})
