@@ -31,8 +31,9 @@ def record_sql(**given):
 
 
 def dealt(payloads):
-    """The texts over all cores: they come from one file here, and reading them costs many times the shuffle."""
-    return payloads.repartition(payloads.sparkSession.sparkContext.defaultParallelism)
+    """The rows over all cores, in tasks small enough to even out: they come from one file here, and reading the
+    payloads made of them costs many times the shuffle."""
+    return payloads.repartition(4 * payloads.sparkSession.sparkContext.defaultParallelism)
 
 
 QUOTES = f"""

@@ -206,3 +206,11 @@ def test_snapshots_know_their_keys(spark, layers, sheet, quotes):
     assert rebuild_from(spark, layers, "quotes", DAY1, quotes) == [date.fromisoformat(d) for d in (DAY1, DAY2)]
     assert _built_with(spark, table, date.fromisoformat(DAY1), quotes)
     assert state(spark, layers, "quotes", DAY2) == {"1333": 102.0, "13": 25000.0, "11536": 150.0}
+
+
+def test_ingest_computes_its_source_once(spark, layers, sheet):
+    seen = spark.sparkContext.accumulator(0)
+    source = spark.createDataFrame(
+        spark.sparkContext.parallelize(range(20), 4).map(lambda i: seen.add(1) or (i,)), "id bigint")
+    assert ingest(spark, layers, "once", source, sheet([("id", "bigint")]), DAY1) == 20
+    assert seen.value == 20

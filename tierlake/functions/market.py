@@ -23,8 +23,8 @@ def fields(document: Column | str, path: str, types: str) -> Column:
 
 def stable_json(part: Column) -> Column:
     """Compact JSON with sorted keys of a VARIANT; null when absent or null."""
-    text = F.to_json(part)
-    return F.when(text != "null", text)
+    # The text is used once: inside a lambda each use would write it again.
+    return F.to_json(F.when(~F.is_variant_null(part), part))
 
 
 def normalise_json(document: Column | str) -> Column:

@@ -11,7 +11,6 @@ from tierlake import tables
 from tierlake.contract import Contract
 from tierlake.functions.privacy import Keys, protect
 from tierlake.names import Layers, TableName, identifier, job_name, run_day
-from tierlake.operators.filters import require_rows
 
 MODES = ("append", "overwrite", "replace")
 
@@ -33,17 +32,24 @@ def write_lake(spark: SparkSession, df: DataFrame, table: TableName, ingest_date
     if mode not in MODES:
         raise ValueError(f"The Lake is written by {', '.join(MODES)}, not by {mode!r}")
     extras = {job_name(k, "partition column"): v for k, v in (extra_partitions or {}).items()}
-    require_rows(df, "The source has no rows for the Lake; nothing was written")
     stamped = df.withColumns({
         "ingest_date": F.lit(run_day(ingest_date)),
         **{name: F.lit(value) for name, value in extras.items()},
     })
     parts = [*extras, "ingest_date"]
-    if mode == "replace" or not tables.exists(spark, table):
-        return tables.replace(spark, table, stamped, parts, rebalance=False)
-    if mode == "append":
-        return tables.append(spark, table, stamped)
-    return tables.overwrite_partitions(spark, table, stamped, rebalance=False)
+    # The rows are counted by the write: looking for a first one would run a shuffle in front of it twice.
+    try:
+        if mode == "replace" or not tables.exists(spark, table):
+            count = tables.replace(spark, table, stamped, parts, rebalance=False)
+        elif mode == "append":
+            count = tables.append(spark, table, stamped)
+        else:
+            count = tables.overwrite_partitions(spark, table, stamped, rebalance=False)
+    except tables.NoRows:
+        count = 0
+    if count == 0:
+        raise ValueError("The source has no rows for the Lake; nothing was written")
+    return count
 
 
 def ingest(spark: SparkSession, layers: Layers, app: str, df: DataFrame, contract: Contract,

@@ -157,7 +157,7 @@ def write_silver(spark: SparkSession, layers: Layers, name: str, df: DataFrame,
     if strategy == "insert_overwrite" and not parts:
         raise ValueError("insert_overwrite needs a snapshot_date column")
     if strategy == "merge":
-        return tables.merge_by_key(spark, table, df, keys, parts, stage=stage, verify=verify)
+        return tables.merge_by_key(spark, table, df, keys, parts, stage=stage, verify=verify, rebalance=not one_day)
     if strategy == "overwrite" or not tables.exists(spark, table):
         return tables.replace(spark, table, df, parts, allow_empty=True, rebalance=not one_day, verify=verify)
     if strategy == "append":
@@ -231,7 +231,7 @@ def market_snapshot_model(spark: SparkSession, layers: Layers, bronze: str, day:
                           name: str = "nse_market_snapshot") -> int:
     """Daily instrument snapshots; a replay updates the same instrument and date."""
     rows = on_date(tables.read(spark, layers.resolve(bronze, "bronze")), "snapshot_date", day)
-    count = write_silver(spark, layers, name, rows, "merge", keys=SNAPSHOT_KEYS)
+    count = write_silver(spark, layers, name, rows, "merge", keys=SNAPSHOT_KEYS, one_day=True)
     written = on_date(tables.read(spark, layers.resolve(name, "silver")), "snapshot_date", day)
     require_passing(run_tests(written, SNAPSHOT_TESTS))
     return count

@@ -88,9 +88,10 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
     no shuffle is needed.
     """
     parsed = payloads.withColumn("_doc", F.try_parse_json("payload"))
-    status = F.lower(F.coalesce(m.fields("_doc", "$.status", "string"), F.lit("")))
+    # No other letters than these become these in lower case.
+    success = F.coalesce(m.fields("_doc", "$.status", "string"), F.lit("")).rlike(r"(?i)\Asuccess\z")
     data = m.fields("_doc", "$.data", f"map<string, map<string, {QUOTE}>>")
-    parsed = parsed.withColumn("_data", F.when(status == "success", data).otherwise(
+    parsed = parsed.withColumn("_data", F.when(success, data).otherwise(
         F.raise_error(F.lit("A snapshot payload reports no success"))))
 
     def quotes(segment: Column) -> Column:
@@ -103,7 +104,7 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
 
     segments = F.filter(F.map_entries("_data"), lambda e: e["value"].isNotNull())
     listed = parsed.select("batch_id", "received_at", F.when(
-        F.col("_data").isNotNull(), F.array_sort(F.flatten(F.transform(segments, quotes))),
+        F.col("_data").isNotNull(), F.sort_array(F.flatten(F.transform(segments, quotes))),
     ).otherwise(F.raise_error(F.lit("A snapshot payload holds no data object"))).alias("_quotes"))
     in_order = listed.select("batch_id", "received_at", F.when(
         F.size("_quotes") > 0, F.col("_quotes"),
@@ -131,10 +132,8 @@ def flatten_snapshots(payloads: DataFrame, mode: str, source: str = "broker") ->
 
 
 def _lookup(key: Column, table: dict) -> Column:
-    result = F.lit(None).cast("string")
-    for known, value in table.items():
-        result = F.when(key == F.lit(known), F.lit(value)).otherwise(result)
-    return result
+    # One use of the key: each branch of a CASE would compute it again.
+    return F.try_element_at(F.create_map(*(F.lit(v) for pair in table.items() for v in pair)), key)
 
 
 def tag_packets(packets: DataFrame, source: str = "broker") -> DataFrame:
@@ -150,7 +149,8 @@ def tag_packets(packets: DataFrame, source: str = "broker") -> DataFrame:
     read = F.struct(m.fields(document, "$", PACKET).alias("p"), F.schema_of_variant(document).startswith("OBJECT").alias("ok"))
     parsed = packets.select("*", F.explode(F.array(read)).alias("_read")).select("*", "_read.*").drop("_read")
     feed = _lookup(F.lower(F.trim("p.type")), FEED_TYPES)
-    segment = _lookup(F.col("p.exchange_segment"), SEGMENT_CODES)
+    codes = {str(code): name for code, name in SEGMENT_CODES.items()}
+    segment = _lookup(F.col("p.exchange_segment").cast("string"), codes)
     ok = F.coalesce(F.col("ok"), F.lit(False))
     known = parsed.withColumns({"_feed": feed, "_segment": segment}).filter(~ok | F.col("_feed").isNotNull())
     reason = (

@@ -70,6 +70,10 @@ def spread(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *(F.col(c) for c in partition_by)) if partition_by else df
 
 
+class NoRows(ValueError):
+    """A table was to be replaced with no rows."""
+
+
 class Mismatch(RuntimeError):
     """What readers see is not what was written."""
 
@@ -137,7 +141,7 @@ def replace(spark: SparkSession, table: TableName, df: DataFrame, partition_by:
             raise
     if rows == 0 and not allow_empty:
         spark.sql(f"DROP TABLE {target.sql}")
-        raise ValueError(f"Refusing to replace {table.sql} with no rows; it was not changed")
+        raise NoRows(f"Refusing to replace {table.sql} with no rows; it was not changed")
     notes = {**(notes or {}), _CURRENT: target.table, _PREVIOUS: known.get(_CURRENT, ""),
              _PARTS: ",".join(partition_by), _HIDDEN: ",".join(hidden)} | ({_DAY_OF: day} if day else {})
     listed = ", ".join(f"'{key}' = '{value}'" for key, value in notes.items())
@@ -335,7 +339,7 @@ def holding(spark: SparkSession, table: TableName, batch: DataFrame, keys: Seque
 
 def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys: Sequence[str],
                  partition_by: Sequence[str] = (), *, atomic: bool = False, stage: bool = False,
-                 slots: int = key_index.SLOTS, verify: str | None = None) -> int:
+                 slots: int = key_index.SLOTS, verify: str | None = None, rebalance: bool = True) -> int:
     """Update rows with a known key, insert the others. Returns the rows written.
 
     Only partitions that hold a matched key or receive a row are rewritten. Which ones may hold
@@ -344,18 +348,20 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     touched partitions the change becomes visible partition by partition;
     ``atomic`` publishes a whole new version instead. Running it again with the same
     source gives the same table. The source is read several times, mostly by few columns;
-    ``stage`` writes it out first, which pays for one that takes more than a scan.
+    ``stage`` writes it out first, which pays for one that takes more than a scan. ``rebalance=False``
+    is for a source of one partition: each task then writes its own file, and no row is shuffled for the write alone.
     """
     if not keys:
         raise ValueError("A merge needs at least one key column")
     if stage:
         with staged(spark, table, source) as rows:
-            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic, slots=slots, verify=verify)
+            return merge_by_key(spark, table, rows, keys, partition_by, atomic=atomic, slots=slots, verify=verify,
+                                rebalance=rebalance)
     repeated = source.dropna(subset=list(keys)).groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"Merge source has several rows for one key {list(keys)}")
     if not exists(spark, table):
-        return replace(spark, table, source, partition_by, verify=verify)
+        return replace(spark, table, source, partition_by, verify=verify, rebalance=rebalance)
     target = read(spark, table)
     if sorted(c.lower() for c in source.columns) != sorted(c.lower() for c in target.columns):
         raise ValueError(f"Merge source columns do not match those of {table.sql}")
@@ -369,7 +375,8 @@ def merge_by_key(spark: SparkSession, table: TableName, source: DataFrame, keys:
     if set(parts) <= set(keys):
         _extend_indexes(spark, table, source)
         return overwrite_partitions(
-            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys), indexed=True, verify=verify)
+            spark, table, upsert_rows(target.filter(_any_of(parts, arriving)), source, keys), indexed=True,
+            rebalance=rebalance or len(arriving) > 1, verify=verify)
     # Only key and partition columns are read, and only of partitions that the index names.
     maybe = holding(spark, table, source, keys, slots)
     matched = (
