@@ -208,3 +208,15 @@ def test_a_lost_driver_leaves_a_usable_table(spark, layers, monkeypatch):
         assert resize_buckets(spark, layers, "state", ["event_id"], 7) == 5
     write(events(spark, range(8), 1), 1)
     assert tables.read(spark, layers.resolve("state", "silver")).count() == 8
+
+
+def test_faultless_lines_are_read_once(spark, tmp_path, layers, contract, monkeypatch):
+    land_minutes(events(spark, range(4)), f"{tmp_path}/raw")
+
+    def again(self):
+        raise AssertionError("the lines are read again")
+
+    monkeypatch.setattr(type(spark.range(1)), "isEmpty", again)
+    ingest_stream(spark, f"{tmp_path}/raw", layers, "ticks", contract, f"{tmp_path}/c",
+                  ingest_date="2026-10-25").awaitTermination()
+    assert tables.read(spark, layers.resolve("ticks", "lake")).count() == 4

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -52,12 +52,16 @@ def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     return found.replace("-", "")[:16]
 
 
-def publish_batch(spark: SparkSession, name: TableName, rows: DataFrame) -> None:
-    """Write the partitions of a micro-batch; one that runs again overwrites its own partitions only."""
+def publish_batch(spark: SparkSession, name: TableName, rows: DataFrame, *, one_day: bool = False) -> None:
+    """Write the partitions of a micro-batch; one that runs again overwrites its own partitions only.
+
+    ``one_day``: all rows go to one partition, so the write needs no shuffle.
+    """
     if tables.exists(spark, name):
-        tables.overwrite_partitions(spark, name, rows)
+        tables.overwrite_partitions(spark, name, rows, rebalance=not one_day)
     else:
-        tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True, condition=BATCHES)
+        tables.replace(spark, name, rows, STREAM_PARTITIONS, hidden=HIDDEN, allow_empty=True, rebalance=not one_day,
+                       condition=BATCHES)
 
 
 def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
@@ -69,18 +73,20 @@ def _append_batch(layers: Layers, app: str, contract: Contract, keys: Keys,
     def write(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
         mark = F.lit(f"{checkpoint_id(spark, checkpoint)}-{epoch}")
-        tagged = tag_lines(batch, contract)
-        fault = F.col("_reason")
+        tagged, fault, seen = tag_lines(batch, contract), F.col("_reason"), Observation()
+        # Whether there are faults is seen by the write of the good rows; the lines are read again only if so.
+        noted = tagged.observe(seen, F.count_if(fault.isNotNull()).alias("faults"))
         if strict:
             good = F.when(fault.isNull(), True).otherwise(F.raise_error(
                 F.concat(F.lit("A landed line is refused: "), fault)).cast("boolean"))
         else:
             good = fault.isNull()
-        rows = prepare(tagged.filter(good).select(*contract.names), contract, keys)
+        rows = prepare(noted.filter(good).select(*contract.names), contract, keys)
         day = F.to_date(contract.order_by) if ingest_date is None else F.lit(run_day(ingest_date))
-        publish_batch(spark, table, rows.withColumns({"ingest_date": day, "stream_batch": mark}))
+        publish_batch(spark, table, rows.withColumns({"ingest_date": day, "stream_batch": mark}),
+                      one_day=ingest_date is not None)
         bad = tagged.filter(fault.isNotNull()).select(F.col("_line").alias("value"), fault.alias("reason"))
-        if not strict and not bad.isEmpty():
+        if not strict and seen.get["faults"]:
             today = F.current_date() if ingest_date is None else F.lit(run_day(ingest_date))
             publish_batch(spark, refused, bad.withColumns({"ingest_date": today, "stream_batch": mark}))
 
