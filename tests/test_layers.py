@@ -211,6 +211,6 @@ def test_snapshots_know_their_keys(spark, layers, sheet, quotes):
 def test_ingest_computes_its_source_once(spark, layers, sheet):
     seen = spark.sparkContext.accumulator(0)
     source = spark.createDataFrame(
-        spark.sparkContext.parallelize(range(20), 4).map(lambda i: seen.add(1) or (i,)), "id bigint")
+        spark.sparkContext.parallelize(range(20), 4).map(lambda i: seen.add(1) or (i,)), "id bigint").repartition(3)
     assert ingest(spark, layers, "once", source, sheet([("id", "bigint")]), DAY1) == 20
     assert seen.value == 20
